@@ -1 +1,83 @@
-"""Queries (filled in below)."""
+"""Type queries: schema inference and typed bins (SRC-6, SRC-7), storage types (SNK-14), map to record (FN-14)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from recordset.functions.types import map_to_struct, normalise_types
+from recordset.plans.registry import query
+from recordset.sources.schema import infer_bin_types, infer_schema, typed_bins
+
+SAMPLE = 100
+
+
+def _events(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+@query("infer_bin_schema", "SELECT 'k' AS bin, 'BIGINT' AS type", ("SRC-6",))
+def infer_bin_schema_q(spark, sf_dir):
+    return infer_bin_types(_events(spark, sf_dir), "props", sample=SAMPLE, order_by="event_id")
+
+
+@query(
+    "typed_bins",
+    "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS missing FROM events",
+    ("SRC-7",),
+)
+def typed_bins_q(spark, sf_dir):
+    e = _events(spark, sf_dir)
+    schema = infer_schema(e, "props", sample=SAMPLE, order_by="event_id")
+    # A bin no record has: typed, present in the schema, always null.
+    schema = T.StructType(schema.fields + [T.StructField("missing", T.StringType(), True)])
+    return typed_bins(e, "props", schema, keep=["event_id"])
+
+
+@query(
+    "normalise_types",
+    """SELECT o_orderkey,
+              CAST(o_custkey AS BIGINT) AS i, CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) AS f,
+              CAST(o_orderstatus = 'F' AS VARCHAR) AS b,
+              (CAST(o_orderdate AS DATE) - DATE '1970-01-01') * 86400000 AS d,
+              CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS VARCHAR) AS dec,
+              CAST(o_orderdate AS VARCHAR) AS ts,
+              CAST(o_custkey % 100 AS BIGINT) AS s,
+              CAST(o_custkey AS BIGINT) AS first_elem
+         FROM orders""",
+    ("SNK-14",),
+)
+def normalise_types_q(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    raw = o.select(
+        "o_orderkey",
+        F.col("o_custkey").cast("int").alias("i"),
+        F.col("o_totalprice").cast("float").alias("f"),
+        (F.col("o_orderstatus") == "F").alias("b"),
+        F.to_date("o_orderdate").alias("d"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("dec"),
+        F.col("o_orderdate").alias("ts"),
+        (F.col("o_custkey") % 100).cast("short").alias("s"),
+        F.array(F.col("o_custkey").cast("int")).alias("arr"),
+    )
+    n = normalise_types(raw)
+    return n.select("o_orderkey", "i", "f", "b", "d", "dec", "ts", "s", F.element_at("arr", 1).alias("first_elem"))
+
+
+CUSTOMER_CASE = T.StructType([
+    T.StructField("name", T.StringType(), False),
+    T.StructField("segment", T.StringType(), True),
+    T.StructField("phone", T.StringType(), True),  # optional, absent from every map
+])
+
+
+@query(
+    "map_to_struct",
+    "SELECT c_custkey, c_name AS name, c_mktsegment AS segment, CAST(NULL AS VARCHAR) AS phone FROM customer",
+    ("FN-14",),
+)
+def map_to_struct_q(spark, sf_dir):
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    m = F.create_map(F.lit("name"), F.col("c_name"), F.lit("segment"), F.col("c_mktsegment"),
+                     F.lit("nation"), F.col("c_nationkey").cast("string"))  # extra entry, ignored
+    return c.select("c_custkey", map_to_struct(m, CUSTOMER_CASE).alias("r")).select("c_custkey", "r.*")
