@@ -23,7 +23,13 @@ def _c(c: Column | str) -> Column:
 
 def epoch_millis(ts: Column | str) -> Column:
     """Epoch milliseconds of a TIMESTAMP_NTZ (or TIMESTAMP) column, truncated, zone free."""
-    ts = _c(ts)
+    if isinstance(ts, str):
+        # One parsed expression instead of a dozen Column calls.
+        c = f"`{ts}`"
+        return F.expr(
+            f"CAST(unix_date(to_date({c})) AS BIGINT) * {DAY_MS} + CAST(hour({c}) AS BIGINT) * 3600000"
+            f" + CAST(minute({c}) AS BIGINT) * 60000 + CAST(floor(date_part('SECOND', {c}) * 1000) AS BIGINT)"
+        )
     secs = F.date_part(F.lit("SECOND"), ts)  # decimal seconds incl. fraction
     return (
         F.unix_date(F.to_date(ts)).cast("bigint") * F.lit(DAY_MS)

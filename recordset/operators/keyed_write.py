@@ -130,12 +130,15 @@ def prepare_incoming(incoming: DataFrame, spec: WriteSpec) -> DataFrame:
 def _dedupe(pre: DataFrame, spec: WriteSpec) -> DataFrame:
     """One row per key. Without ``order_by`` duplicates are an error."""
     k = spec.join_col
-    if spec.order_by is None:
-        dup = pre.groupBy(k).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-        if dup.limit(1).count() > 0:
-            raise ValueError("incoming rows repeat a key; pass order_by to choose one")
-        return pre
     cols = [c for c in pre.columns if c != k]
+    if spec.order_by is None:
+        # Checked inside the write's own plan: the aggregation hash-partitions
+        # by key, which the key join then reuses, so the check costs no extra
+        # job or shuffle; a repeated key fails the job.
+        agg = pre.groupBy(k).agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*cols)).alias("__r"))
+        guard = F.when(F.col("__n") > 1, F.raise_error(F.lit("incoming rows repeat a key; pass order_by to choose one")))
+        return agg.select(k, *[F.coalesce(guard, F.col(f"__r.{c}")).alias(c) if i == 0 else F.col(f"__r.{c}").alias(c)
+                               for i, c in enumerate(cols)])
     pick = F.min_by if spec.mode in ("errorifexists", "ignore") else F.max_by  # create-only: first wins
     return (
         pre.groupBy(k)
@@ -145,7 +148,7 @@ def _dedupe(pre: DataFrame, spec: WriteSpec) -> DataFrame:
     )
 
 
-def _join(target: DataFrame, inc: DataFrame, spec: WriteSpec) -> tuple[DataFrame, list[str], list[str]]:
+def _join(target: DataFrame, inc: DataFrame, spec: WriteSpec, small: bool) -> tuple[DataFrame, list[str], list[str]]:
     """Target and incoming side by side, one row per key: __t_* and __i_* columns."""
     k = spec.join_col
     t_cols = [c for c in target.columns if c != "__ttl"]
@@ -153,7 +156,7 @@ def _join(target: DataFrame, inc: DataFrame, spec: WriteSpec) -> tuple[DataFrame
     t = target.select(*[F.col(c).alias(f"__t_{c}") for c in t_cols], F.lit(True).alias("__t_present"))
     i = inc.select(*[F.col(c).alias(f"__i_{c}") for c in i_cols], F.lit(True).alias("__i_present"))
     cond = t[f"__t_{k}"] == i[f"__i_{k}"]
-    if is_bounded(inc, spec.broadcast_rows):
+    if small:
         bi = F.broadcast(i)
         left = t.join(bi, cond, "left")
         hit_keys = F.broadcast(t.select(F.col(f"__t_{k}").alias("__hk")).join(
@@ -190,7 +193,7 @@ def _outcome(spec: WriteSpec) -> Column:
 def classify(target: DataFrame, incoming: DataFrame, spec: WriteSpec) -> DataFrame:
     """SNK-17: (key, digest, outcome) for every incoming row."""
     inc = prepare_incoming(incoming, spec)
-    j, _, _ = _join(target, inc, spec)
+    j, _, _ = _join(target, inc, spec, is_bounded(incoming, spec.broadcast_rows))
     return j.where(F.col("__i_present")).select(
         F.col(f"__i_{KEY}").alias(KEY), F.col(f"__i_{DIGEST}").alias(DIGEST), _outcome(spec).alias("outcome")
     )
@@ -202,7 +205,7 @@ def merge(target: DataFrame, incoming: DataFrame, spec: WriteSpec) -> DataFrame:
     Raises ``WriteConflict`` for mode errorifexists when any key exists.
     """
     inc = prepare_incoming(incoming, spec)
-    j, t_cols, i_cols = _join(target, inc, spec)
+    j, t_cols, i_cols = _join(target, inc, spec, is_bounded(incoming, spec.broadcast_rows))
     j = j.withColumn("__outcome", _outcome(spec))
     if spec.mode == "errorifexists":
         if j.where(F.col("__outcome") == "exists_error").limit(1).count() > 0:

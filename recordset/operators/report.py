@@ -134,10 +134,24 @@ def segment_report(
     Output: day (yyyy-MM-dd), days_ago (1..days), segment, one BIGINT column per
     metric (see ``METRICS``) and ``apps_total`` (all apps of the segment, not
     limited to the day, as the reference counts it).
+
+    Every contribution (event counts, app rows, spine) is a row of one wide
+    union, so the report ends in a single ``groupBy(day, segment)`` with
+    partial aggregation; there is no join on the (tiny) result.
     """
     end = date_ms(as_of)  # exclusive upper bound: midnight of as_of
     lo, hi = end - days * DAY_MS, end
     segs = app_segments(inputs.app, inputs.td)
+    cols = [METRICS[m] for m in METRICS if m in metrics] + (["apps_total"] if with_total else [])
+    zero = F.lit(0).cast("bigint")
+
+    def wide(df: DataFrame, values: dict[str, Column], facts: Column) -> DataFrame:
+        return df.select(
+            F.col("day_ms").cast("bigint").alias("day_ms"),
+            "segment",
+            *[values.get(c, zero).cast("bigint").alias(c) for c in cols],
+            facts.cast("bigint").alias("__facts"),
+        )
 
     event_parts = []
     if "push" in metrics:
@@ -157,57 +171,53 @@ def segment_report(
         # Pre-aggregate before the join: at most apps x days x metrics rows.
         per_app = facts.groupBy("oid", "day_ms", "metric").agg(F.count(F.lit(1)).alias("n"))
         seg_mult = segs.groupBy("oid", "segment").agg(F.sum("mult").alias("mult"))
+        j = per_app.join(seg_mult, "oid")
+        n = F.col("n") * F.col("mult")
         parts.append(
-            per_app.join(seg_mult, "oid").select(
-                "day_ms", "segment", "metric", (F.col("n") * F.col("mult")).alias("n")
-            )
+            wide(j, {METRICS[m]: F.when(F.col("metric") == m, n).otherwise(zero)
+                     for m in METRICS if m in metrics and m != "app_added"}, n)
         )
-    if "app_added" in metrics:
-        # AGG-6: apps created in the day, counted with their segment multiplicity.
+    if with_total:
+        # AGG-7 and AGG-6 together: every app row adds its multiplicity to the
+        # total of each report day, and to "added" on the day it was created.
+        per_day = segs.select(
+            "segment", "mult", "ct", F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("__d")
+        ).withColumn("day_ms", F.lit(lo) + F.col("__d").cast("bigint") * F.lit(DAY_MS))
+        added = F.when(in_day(F.col("ct"), F.col("day_ms")), F.col("mult")).otherwise(zero)
+        vals = {"apps_total": F.col("mult")}
+        if "app_added" in metrics:
+            vals["apps_added"] = added
+        parts.append(wide(per_day, vals, added if "app_added" in metrics else zero))
+    elif "app_added" in metrics:
+        # AGG-6 alone: apps created in the window, on their day.
         day = (F.floor(F.col("ct") / F.lit(DAY_MS)) * F.lit(DAY_MS)).cast("bigint")
-        added = (
-            segs.where((F.col("ct") > lo) & (F.col("ct") < hi))
-            .select("segment", "mult", "ct", day.alias("day_ms"))
-            .where(((F.col("ct") - F.col("day_ms")) > 0) & ((F.col("ct") - F.col("day_ms")) < DAY_LAST_MS))
-            .select("day_ms", "segment", F.lit("app_added").alias("metric"), F.col("mult").cast("bigint").alias("n"))
-        )
-        parts.append(added)
-
-    cols = [m for m in METRICS if m in metrics]
-    if parts:
-        long = reduce(DataFrame.unionByName, parts)
-        agg = long.groupBy("day_ms", "segment").agg(
-            *[F.sum(F.when(F.col("metric") == m, F.col("n"))).cast("bigint").alias(METRICS[m]) for m in cols]
-        )
-    else:
-        agg = None
+        a = segs.where((F.col("ct") > lo) & (F.col("ct") < hi)).withColumn("day_ms", day)
+        a = a.where(in_day(F.col("ct"), F.col("day_ms")))
+        parts.append(wide(a, {"apps_added": F.col("mult")}, F.col("mult")))
 
     spark = inputs.app.sparkSession
     if spine:
-        frame = day_segment_spine(spark, end, days)
-        out = frame if agg is None else frame.join(F.broadcast(agg), ["day_ms", "segment"], "left")
-        out = out.select(
-            "day_ms", "segment", *[F.coalesce(F.col(METRICS[m]), F.lit(0)).alias(METRICS[m]) for m in cols]
-        )
-    else:
-        out = agg.select("day_ms", "segment", *[F.coalesce(F.col(METRICS[m]), F.lit(0)).alias(METRICS[m]) for m in cols])
+        parts.append(wide(day_segment_spine(spark, end, days), {}, zero))
 
-    if with_total:
-        totals = segs.groupBy("segment").agg(F.sum("mult").cast("bigint").alias("apps_total"))
-        # At most three rows: a proven bound, safe to broadcast.
-        out = out.join(F.broadcast(totals), "segment", "left").withColumn(
-            "apps_total", F.coalesce("apps_total", F.lit(0)).cast("bigint")
-        )
-
-    return out.select(
+    long = reduce(DataFrame.unionByName, parts)
+    agg = long.groupBy("day_ms", "segment").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in cols], F.sum("__facts").alias("__facts")
+    )
+    if not spine:
+        agg = agg.where(F.col("__facts") > 0)
+    return agg.select(
         format_day(F.col("day_ms")).alias("day"),
         ((F.lit(end) - F.col("day_ms")) / F.lit(DAY_MS)).cast("int").alias("days_ago"),
         "segment",
-        *[METRICS[m] for m in cols],
-        *(["apps_total"] if with_total else []),
+        *cols,
     )
 
 
+def in_day(ms: Column, day_ms: Column) -> Column:
+    """FLT-16 against a day start: strictly after it and strictly before 23:59:59.999."""
+    return (ms > day_ms) & (ms < day_ms + F.lit(DAY_LAST_MS))
+
+
 def day_segment_spine(spark: SparkSession, end_ms: int, days: int) -> DataFrame:
     """(day_ms, segment) for every report day and segment, built without a cross join."""
     n = len(SEGMENTS)
@@ -234,23 +244,22 @@ def report_lines(report: DataFrame) -> DataFrame:
     """SNK-18: the report as (day, line_no, text), 15 lines a day.
 
     Lines are grouped by metric, then segment (app, game, none) within it,
-    as the reference writes them.
+    as the reference writes them. Each report row becomes its five lines
+    with one ``explode`` (no union of report copies).
     """
     seg_label = F.create_map(*[x for s, lab in REPORT_SEGMENT_LABELS.items() for x in (F.lit(s), F.lit(lab))])
     seg_idx = F.create_map(*[x for i, s in enumerate(SEGMENTS) for x in (F.lit(s), F.lit(i))])
-    rows = []
+    lines = []
     for mi, fmt in enumerate(REPORT_LINE_FORMATS):
-        # Build the text with format_string: placeholders become %s in order.
         names, spark_fmt = _to_format_string(fmt)
         args = [seg_label[F.col("segment")] if n == "seg" else F.col(n).cast("string") for n in names]
-        rows.append(
-            report.select(
-                "day",
+        lines.append(
+            F.struct(
                 (F.lit(mi * len(SEGMENTS)) + seg_idx[F.col("segment")] + 1).cast("int").alias("line_no"),
                 F.format_string(spark_fmt, *args).alias("text"),
             )
         )
-    return reduce(DataFrame.unionByName, rows)
+    return report.select("day", F.explode(F.array(*lines)).alias("l")).select("day", "l.line_no", "l.text")
 
 
 def _to_format_string(fmt: str) -> tuple[list[str], str]:

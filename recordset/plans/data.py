@@ -22,8 +22,18 @@ AS_OF_SEC = 500_000_000  # "now" for TTL / expiry, seconds
 MISS_OFFSET = 1_000_000  # key shift that makes lookups miss
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. The tables are read-only, so one scan per session and
+    path is kept and reused (file listing and footers are read once)."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark), path)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _SCANS[key] = spark.read.parquet(path)
+    return df
 
 
 def oid(c) -> F.Column:
