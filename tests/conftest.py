@@ -1,0 +1,23 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_CHECK = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from recordset.session import local_session
+
+    s = local_session("*", shuffle_partitions=8, app="recordset-tests")
+    yield s
+    s.stop()
+
+
+@pytest.fixture()
+def tmp_out(tmp_path):
+    return str(tmp_path)
