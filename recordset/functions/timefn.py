@@ -64,17 +64,30 @@ def days_before_ms(ms: Column | str, n: int | Column) -> Column:
 
 def millis_to_ntz(ms: Column | str) -> Column:
     """Epoch millis back to a zone-free TIMESTAMP_NTZ."""
-    return F.timestamp_add("MILLISECOND", _c(ms), F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz"))
+    return F.timestamp_add("MILLISECOND", _c(ms), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
 
 
 def format_datetime(ms: Column | str) -> Column:
-    """FN-4: ``yyyy-MM-dd HH:mm:ss`` of epoch millis, in UTC."""
-    return F.date_format(millis_to_ntz(ms), "yyyy-MM-dd HH:mm:ss")
+    """FN-4: ``yyyy-MM-dd HH:mm:ss`` of epoch millis, in UTC.
+
+    Built from NTZ fields (date, hour, minute, second): ``date_format`` would
+    pass through the session time zone.
+    """
+    t = millis_to_ntz(ms)
+
+    def two(c: Column) -> Column:
+        return F.lpad(c.cast("string"), 2, "0")
+
+    return F.concat(
+        F.to_date(t).cast("string"), F.lit(" "),
+        two(F.hour(t)), F.lit(":"), two(F.minute(t)), F.lit(":"), two(F.floor(F.second(t))),
+    )
 
 
 def format_day(ms: Column | str) -> Column:
     """``yyyy-MM-dd`` of epoch millis, in UTC."""
-    return F.date_format(millis_to_ntz(ms), "yyyy-MM-dd")
+    days = F.floor(_c(ms) / F.lit(DAY_MS)).cast("int")
+    return F.date_add(F.lit(_dt.date(1970, 1, 1)), days).cast("string")
 
 
 def date_ms(d: _dt.date | str) -> int:
