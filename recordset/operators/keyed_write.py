@@ -271,6 +271,67 @@ def save_set(spark: SparkSession, target_path: str, incoming: DataFrame, out_pat
     return spark.read.parquet(out_path)
 
 
+def write_set(
+    spark: SparkSession,
+    incoming: DataFrame,
+    set_name: str,
+    key_col: str | None = None,
+    *,
+    as_of: int,
+    mode: str | None = None,
+    **options,
+) -> DataFrame:
+    """SNK-2: save a DataFrame into a set by key (or digest), creating the set if needed.
+
+    The set is the folder ``<namespace>/<set_name>`` holding versions
+    ``v-<n>``; the write merges into the newest version and commits version
+    n+1. ``mode`` defaults to the session's ``recordset.saveMode`` (SNK-16).
+    Options are validated as for reads (updateByKey, updateByDigest,
+    ttlColumn, generationPolicy, broadcastRows, ...).
+    """
+    from recordset.options import resolve
+    from recordset.sources.store import STORED_META, latest_version, version_path
+
+    opts = resolve(spark, set=set_name, **({"updateByKey": key_col} if key_col else {}), **options)
+    kind, col = opts.write_key()
+    spec = WriteSpec(
+        set_name=set_name.rstrip("/").rsplit("/", 1)[-1],
+        mode=(mode or opts.saveMode).lower(),
+        key_col=col if kind == "key" else None,
+        digest_col=col if kind == "digest" else None,
+        as_of=as_of,
+        ttl_col=opts.ttlColumn if opts.ttlColumn in incoming.columns else None,
+        generation_col=opts.generationColumn,
+        generation_policy=opts.generationPolicy,
+        broadcast_rows=opts.broadcastRows,
+    )
+    root = opts.set_path()
+    return _commit_version(spark, root, incoming, spec, None)
+
+
+def _commit_version(spark: SparkSession, root: str, incoming: DataFrame, spec: WriteSpec, batch_id: int | None) -> DataFrame:
+    """Merge into the newest version of the set at ``root`` and commit the next one."""
+    from recordset.sources.store import STORED_META, latest_version, version_path
+
+    n, current = latest_version(spark, root)
+    if current is None:
+        empty = prepare_incoming(incoming, spec).limit(0)
+        target = empty.select(
+            F.col(KEY), F.col(DIGEST), F.lit(0).cast("int").alias(EXPIRY), F.lit(0).cast("int").alias(GENERATION),
+            *[c for c in empty.columns if c not in STORED_META and not c.startswith("__")],
+        )
+    else:
+        target = spark.read.parquet(current)
+    out = version_path(root, n + 1, batch_id)
+    merge(target, incoming, spec).write.mode("errorifexists").parquet(out)
+    return spark.read.parquet(out)
+
+
+def save_by_class(spark: SparkSession, incoming: DataFrame, record_class: type, key_col: str, **kw) -> DataFrame:
+    """SNK-2: save under the record class's simple name, as the set name."""
+    return write_set(spark, incoming, record_class.__name__, key_col, **kw)
+
+
 def default_mode(spark: SparkSession) -> str:
     """SNK-16: the session's default save mode, ``ignore`` when unset."""
     return str(spark.conf.get("recordset.saveMode", "ignore")).lower()

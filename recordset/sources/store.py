@@ -15,6 +15,8 @@ here returns a lazy DataFrame over ``spark.read.parquet``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,8 +99,62 @@ def live_records(stored: DataFrame, as_of: int) -> DataFrame:
     return stored.where((F.col(EXPIRY) == 0) | (F.col(EXPIRY) > F.lit(as_of)))
 
 
+VERSION_PREFIX = "v-"
+_VERSION_RE = re.compile(r"v-(\d+)(?:-b\d+)?")
+
+
+def _fs_list(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """(name, is_dir) of the entries of a folder on any Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [(st.getPath().getName(), st.isDirectory()) for st in fs.listStatus(p)]
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    return any(name == "_SUCCESS" for name, _ in _fs_list(spark, path))
+
+
+def latest_version(spark: SparkSession, set_root: str) -> tuple[int, str | None]:
+    """Newest complete version folder ``v-<n>`` of a versioned set, (0, None) if none.
+
+    Every keyed write produces a whole new version; a version counts once
+    Spark's committer has written its ``_SUCCESS`` marker, so readers never
+    see a half-written set.
+    """
+    versions = sorted(
+        (int(m.group(1)), name)
+        for name, is_dir in _fs_list(spark, set_root)
+        if is_dir and (m := _VERSION_RE.fullmatch(name))
+    )
+    for n, name in reversed(versions):
+        path = f"{set_root.rstrip('/')}/{name}"
+        if _complete(spark, path):
+            return n, path
+    return 0, None
+
+
+def version_path(set_root: str, n: int, batch_id: int | None = None) -> str:
+    """Folder of version n; a stream's batch id is kept in the name (``v-<n>-b<id>``)."""
+    tag = "" if batch_id is None else f"-b{batch_id:010d}"
+    return f"{set_root.rstrip('/')}/{VERSION_PREFIX}{n:08d}{tag}"
+
+
+def batch_applied(spark: SparkSession, set_root: str, batch_id: int) -> bool:
+    """True when a complete version was already written by this stream batch."""
+    suffix = f"-b{batch_id:010d}"
+    return any(
+        is_dir and name.endswith(suffix) and _complete(spark, f"{set_root.rstrip('/')}/{name}")
+        for name, is_dir in _fs_list(spark, set_root)
+    )
+
+
 def read_stored(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A stored set: the newest version of a versioned set folder, else the folder itself."""
+    _, latest = latest_version(spark, path)
+    return spark.read.parquet(latest or path)
 
 
 def scan_set(
