@@ -112,6 +112,26 @@ def _window_facts(df: DataFrame, oid: Column, t: str, metric: str, lo: int, hi:
     )
 
 
+def _device_facts(dv: DataFrame, facts: list[tuple[str, str, Column]], lo: int, hi: int) -> DataFrame:
+    """New (by ``ct``) and active (by ``mt``) devices from a single scan of the device set.
+
+    The OR of the window ranges reaches the parquet scan; each record then
+    yields one fact per metric it qualifies for.
+    """
+    in_window = [(F.col(t) > lo) & (F.col(t) < hi) for _, t, _ in facts]
+    pushed = reduce(lambda a, b: a | b, in_window)
+    entries = F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.when(ok & w, F.col(t)).alias("t"))
+        for (m, t, ok), w in zip(facts, in_window)
+    ])
+    return (
+        dv.where(pushed)
+        .select(F.col("app").alias("oid"), F.explode(entries).alias("e"))
+        .select("oid", "e.metric", "e.t")
+        .where(F.col("t").isNotNull())
+    )
+
+
 def _day_bucket(facts: DataFrame) -> DataFrame:
     """Day of each fact; drop the first and last millisecond of every day (FLT-16)."""
     day = (F.floor(F.col("t") / F.lit(DAY_MS)) * F.lit(DAY_MS)).cast("bigint")
@@ -158,12 +178,13 @@ def segment_report(
         event_parts.append(_window_facts(inputs.push, F.col("app.oid"), "ct", "push", lo, hi))
     if "activity" in metrics:
         event_parts.append(_window_facts(inputs.activity, F.col("app.oid"), "ct", "activity", lo, hi))
+    dv_facts = []
     if "new_device" in metrics:
-        dv_new = inputs.dv.where(countable_device())
-        event_parts.append(_window_facts(dv_new, F.col("app"), "ct", "new_device", lo, hi))
+        dv_facts.append(("new_device", "ct", countable_device()))
     if "active_device" in metrics:
-        dv_act = inputs.dv.where(F.col("mt").isNotNull())
-        event_parts.append(_window_facts(dv_act, F.col("app"), "mt", "active_device", lo, hi))
+        dv_facts.append(("active_device", "mt", F.col("mt").isNotNull()))
+    if dv_facts:
+        event_parts.append(_device_facts(inputs.dv, dv_facts, lo, hi))
 
     parts = []
     if event_parts:
