@@ -23,25 +23,43 @@ from pyspark.sql import types as T
 from recordset.sources.store import KEY, META
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# Largest broadcast we allow, measured as the rows' JSON text size.
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_bounded(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows of at most ``max_bytes`` in total.
+
+    One job over at most ``max_rows + 1`` rows (the limit stops the scan
+    early): it counts them and sums their serialized size, so a broadcast
+    behind this check has a proven bound in rows and bytes.
+    """
+    if max_rows <= 0:
+        return False
+    size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns]))) if df.columns else F.lit(0)
+    r = df.limit(max_rows + 1).select(size.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
+    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
 
 
 def _key_str(c: Column) -> Column:
     return c.cast("string")
 
 
-def fetch(ds: DataFrame, key_col: str, target: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+def fetch(
+    ds: DataFrame,
+    key_col: str,
+    target: DataFrame,
+    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    small: bool | None = None,
+) -> tuple[DataFrame, bool]:
     """Records of ``target`` whose ``__key`` is among the keys of ``ds``.
 
-    Returns (records, small) where ``small`` tells the dataset was proven to
-    be at most ``broadcast_rows`` rows (so the records are too).
+    Returns (records, small) where ``small`` tells the dataset's keys were
+    proven to be at most ``broadcast_rows`` rows (so the records are too).
     """
     keys = ds.select(_key_str(F.col(key_col)).alias("__lk")).where(F.col("__lk").isNotNull()).distinct()
-    small = is_bounded(ds, broadcast_rows)
+    if small is None:
+        small = is_bounded(ds.select(key_col), broadcast_rows)
     k = F.broadcast(keys) if small else keys
     return target.join(k, target[KEY] == k["__lk"], "left_semi"), small
 
@@ -126,12 +144,14 @@ def intersect_match(
     missing = [b for b in bins if b not in ds.columns]
     if missing:
         raise ValueError(f"dataset has no field for bins {missing}")
-    small = is_bounded(ds, broadcast_rows)
+    small = is_bounded(ds.select(key_col), broadcast_rows)
     if small:
-        # Cut the set to the dataset's keys without shuffling it, then
-        # broadcast the cut (at most as many rows as the small dataset).
-        found, _ = fetch(ds, key_col, target, broadcast_rows)
-        r = F.broadcast(found.select(F.col(KEY).alias("__rk"), *[F.col(b).alias(f"__r_{b}") for b in bins]))
+        # Cut the set to the dataset's keys with a broadcast key list (the set
+        # is streamed once, never shuffled). The cut has at most as many rows
+        # as the small dataset; the join with it is left to AQE, which
+        # broadcasts it only if its measured size allows.
+        found, _ = fetch(ds, key_col, target, broadcast_rows, small=True)
+        r = found.select(F.col(KEY).alias("__rk"), *[F.col(b).alias(f"__r_{b}") for b in bins])
     else:
         # One shuffle of each side on the key; a semi-join first would shuffle the set twice.
         r = target.select(F.col(KEY).alias("__rk"), *[F.col(b).alias(f"__r_{b}") for b in bins])
