@@ -292,7 +292,9 @@ def write_set(
     from recordset.options import resolve
     from recordset.sources.store import STORED_META, latest_version, version_path
 
-    opts = resolve(spark, set=set_name, **({"updateByKey": key_col} if key_col else {}), **options)
+    if key_col:
+        options["updateByKey"] = key_col
+    opts = resolve(spark, set=set_name, **options)
     kind, col = opts.write_key()
     spec = WriteSpec(
         set_name=set_name.rstrip("/").rsplit("/", 1)[-1],
