@@ -190,22 +190,30 @@ def _outcome(spec: WriteSpec) -> Column:
     return o.when(live, F.lit(exists)).otherwise(F.lit(absent))
 
 
-def classify(target: DataFrame, incoming: DataFrame, spec: WriteSpec) -> DataFrame:
-    """SNK-17: (key, digest, outcome) for every incoming row."""
+def _small(incoming: DataFrame, spec: WriteSpec, small: bool | None) -> bool:
+    return is_bounded(incoming, spec.broadcast_rows) if small is None else small
+
+
+def classify(target: DataFrame, incoming: DataFrame, spec: WriteSpec, small: bool | None = None) -> DataFrame:
+    """SNK-17: (key, digest, outcome) for every incoming row.
+
+    ``small`` may pass a size bound the caller already proved with
+    ``is_bounded(incoming, spec.broadcast_rows)``.
+    """
     inc = prepare_incoming(incoming, spec)
-    j, _, _ = _join(target, inc, spec, is_bounded(incoming, spec.broadcast_rows))
+    j, _, _ = _join(target, inc, spec, _small(incoming, spec, small))
     return j.where(F.col("__i_present")).select(
         F.col(f"__i_{KEY}").alias(KEY), F.col(f"__i_{DIGEST}").alias(DIGEST), _outcome(spec).alias("outcome")
     )
 
 
-def merge(target: DataFrame, incoming: DataFrame, spec: WriteSpec) -> DataFrame:
+def merge(target: DataFrame, incoming: DataFrame, spec: WriteSpec, small: bool | None = None) -> DataFrame:
     """The whole set after the write (stored form: key, digest, expiry, generation, bins).
 
     Raises ``WriteConflict`` for mode errorifexists when any key exists.
     """
     inc = prepare_incoming(incoming, spec)
-    j, t_cols, i_cols = _join(target, inc, spec, is_bounded(incoming, spec.broadcast_rows))
+    j, t_cols, i_cols = _join(target, inc, spec, _small(incoming, spec, small))
     j = j.withColumn("__outcome", _outcome(spec))
     if spec.mode == "errorifexists":
         if j.where(F.col("__outcome") == "exists_error").limit(1).count() > 0:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordset.operators import lookup as L
-from recordset.plans.data import MISS_OFFSET
+from recordset.plans.data import table, MISS_OFFSET
 from recordset.plans.q_scan import customer_set
 from recordset.plans.registry import query
 
@@ -19,7 +19,7 @@ found AS (SELECT c.* FROM customer c JOIN keys ON CAST(c.c_custkey AS VARCHAR) =
 
 
 def event_keys(spark, sf_dir):
-    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    e = table(spark, sf_dir, "events")
     shift = F.when(F.col("event_id") % 2 == 1, F.lit(MISS_OFFSET)).otherwise(F.lit(0))
     return e.select((F.col("user_id") + shift).alias("user_key"), "event_id")
 
@@ -70,7 +70,7 @@ _SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 def order_probe(spark, sf_dir):
     """Orders carrying a customer key (half shifted out of range) and a derived segment."""
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    o = table(spark, sf_dir, "orders")
     seg = F.element_at(F.array(*[F.lit(s) for s in _SEGMENTS]), (F.col("o_orderkey") % 5 + 1).cast("int"))
     shift = F.when(F.col("o_orderkey") % 2 == 1, F.lit(MISS_OFFSET)).otherwise(F.lit(0))
     return o.select("o_orderkey", (F.col("o_custkey") + shift).alias("c_custkey"), seg.alias("c_mktsegment"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recordset.plans.data import AS_OF_SEC
+from recordset.plans.data import table, AS_OF_SEC
 from recordset.plans.registry import query
 from recordset.sources import store as S
 
@@ -22,7 +22,7 @@ def orders_set(spark, sf_dir):
 
 def synthetic_customer_set(spark, sf_dir):
     """Customer as a stored set with varied generation and expiry."""
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     gen = 1 + k % 3
     expiry = F.when(k % 7 == 2, F.lit(0)).otherwise(F.lit(AS_OF_SEC) + (k % 7 - 2) * 100)

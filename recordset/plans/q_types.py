@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordset.functions.types import map_to_struct, normalise_types
+from recordset.plans.data import table
 from recordset.plans.registry import query
 from recordset.sources.schema import infer_bin_types, infer_schema, typed_bins
 
@@ -13,7 +14,7 @@ SAMPLE = 100
 
 
 def _events(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return table(spark, sf_dir, "events")
 
 
 @query("infer_bin_schema", "SELECT 'k' AS bin, 'BIGINT' AS type", ("SRC-6",))
@@ -48,7 +49,7 @@ def typed_bins_q(spark, sf_dir):
     ("SNK-14",),
 )
 def normalise_types_q(spark, sf_dir):
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    o = table(spark, sf_dir, "orders")
     raw = o.select(
         "o_orderkey",
         F.col("o_custkey").cast("int").alias("i"),
@@ -77,7 +78,7 @@ CUSTOMER_CASE = T.StructType([
     ("FN-14",),
 )
 def map_to_struct_q(spark, sf_dir):
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    c = table(spark, sf_dir, "customer")
     m = F.create_map(F.lit("name"), F.col("c_name"), F.lit("segment"), F.col("c_mktsegment"),
                      F.lit("nation"), F.col("c_nationkey").cast("string"))  # extra entry, ignored
     return c.select("c_custkey", map_to_struct(m, CUSTOMER_CASE).alias("r")).select("c_custkey", "r.*")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordset.operators import keyed_write as W
-from recordset.plans.data import AS_OF_SEC
+from recordset.plans.data import table, AS_OF_SEC
 from recordset.plans.q_scan import synthetic_customer_set
 from recordset.plans.registry import query
 from recordset.sources.store import digest, digest_hex
@@ -31,7 +31,7 @@ def target_set(spark, sf_dir):
 
 
 def incoming_rows(spark, sf_dir, with_ttl=False, null_bin=False):
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet").where(F.col("c_custkey") % 3 == 0)
+    c = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 3 == 0)
     k = F.col("c_custkey")
     stored_gen = 1 + k % 3
     cols = [
@@ -176,10 +176,14 @@ def _outcomes_sql() -> str:
 @query("write_outcomes", _outcomes_sql(), ("SNK-17",))
 def write_outcomes_q(spark, sf_dir):
     parts = []
+    incoming = incoming_rows(spark, sf_dir)
+    small = None
     for mode, gen in _OUTCOME_CASES:
         spec = W.WriteSpec(SET, mode=mode, key_col="c_custkey", as_of=AS_OF_SEC,
                            generation_policy="expect_gen_equal" if gen else "none")
-        o = W.classify(target_set(spark, sf_dir), incoming_rows(spark, sf_dir), spec)
+        if small is None:  # one size check serves all five modes
+            small = W.is_bounded(incoming, spec.broadcast_rows)
+        o = W.classify(target_set(spark, sf_dir), incoming, spec, small=small)
         parts.append(o.select(F.lit(mode + ("+gen" if gen else "")).alias("mode"), "__key", "outcome"))
     return reduce(DataFrame.unionByName, parts)
 
