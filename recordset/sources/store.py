@@ -85,7 +85,7 @@ def scan_view(stored: DataFrame, as_of: int, options: Options | None = None, liv
     df = stored
     if live_only:
         df = live_records(df, as_of)
-    bins = sorted(c for c in df.columns if c not in META)
+    bins = sorted(c for c in df.columns if c not in META and c != "__bucket")  # bucket: a storage column
     renames = dict(zip(META, opts.meta_columns))
     return df.select(
         *[F.col(m).alias(renames[m]) for m in STORED_META],
