@@ -309,3 +309,15 @@ def write_report_text(lines: DataFrame, path: str) -> None:
         .partitionBy("day")
         .text(path)
     )
+
+
+def run_daily_report(inputs: ReportInputs, as_of: _dt.date | str, out_path: str, days: int = 7) -> DataFrame:
+    """The report job end to end: counts for the ``days`` days before ``as_of``,
+    written as 15 labelled lines per day under ``out_path/day=<yyyy-MM-dd>``.
+
+    Returns the report rows, read back from nothing but the single plan that
+    also produced the text (no job per count).
+    """
+    report = segment_report(inputs, as_of, days)
+    write_report_text(report_lines(report), out_path)
+    return report

@@ -74,3 +74,10 @@ def test_report_lines_and_text_sink(spark, tmp_out):
     R.write_report_text(lines, f"{tmp_out}/report")
     txt = spark.read.text(f"{tmp_out}/report/day=2024-01-30").collect()
     assert len(txt) == 15
+
+
+def test_run_daily_report(spark, tmp_out):
+    rep = R.run_daily_report(inputs(spark), AS_OF, f"{tmp_out}/job")
+    assert rep.count() == 21
+    days = sorted(d for d in __import__("os").listdir(f"{tmp_out}/job") if d.startswith("day="))
+    assert len(days) == 7 and days[0] == "day=2024-01-24"
