@@ -45,7 +45,17 @@ def main():
     from recordset.session import local_session
     import __spark_entry__ as E
 
-    spark = local_session(8)
+    import os
+
+    if os.environ.get("ORACLE_PLAIN_SESSION"):
+        # A session with Spark's defaults only, like a driver that configures nothing.
+        from pyspark.sql import SparkSession
+
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.sql.session.timeZone", os.environ.get("ORACLE_TZ", "Asia/Kolkata")).getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = local_session(8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
