@@ -40,10 +40,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordset.functions.types import normalise_types
+from recordset.functions.types import to_storage
 from recordset.operators.lookup import is_bounded
 from recordset.options import GENERATION_POLICIES, SAVE_MODES
-from recordset.sources.store import DIGEST, EXPIRY, GENERATION, KEY, META, STORED_META, digest
+from recordset.sources.store import DIGEST, EXPIRY, GENERATION, KEY, META, STORED_META, TTL, digest
 
 OUTCOMES = (
     "created",
@@ -96,7 +96,6 @@ def _incoming_bins(incoming: DataFrame, spec: WriteSpec) -> list[str]:
 def prepare_incoming(incoming: DataFrame, spec: WriteSpec) -> DataFrame:
     """Incoming rows in stored form: __key, __digest, __in_gen, __in_expiry, bins (normalised)."""
     bins = _incoming_bins(incoming, spec)
-    norm = normalise_types(incoming.select(*bins))
     if spec.key_col:
         kt = incoming.schema[spec.key_col].dataType
         key = F.col(spec.key_col).cast("string")
@@ -117,12 +116,7 @@ def prepare_incoming(incoming: DataFrame, spec: WriteSpec) -> DataFrame:
         gen.alias("__in_gen"),
         expiry.cast("int").alias("__in_expiry"),
         *extra,
-        *bins,
-    )
-    # Apply the normalised bin types.
-    pre = pre.select(
-        *[F.col(c) for c in pre.columns if c not in bins],
-        *[F.col(c).cast(norm.schema[c].dataType).alias(c) for c in bins],
+        *[to_storage(F.col(c), incoming.schema[c].dataType).alias(c) for c in bins],  # SNK-14
     )
     return _dedupe(pre, spec)
 
@@ -134,11 +128,11 @@ def _dedupe(pre: DataFrame, spec: WriteSpec) -> DataFrame:
     if spec.order_by is None:
         # Checked inside the write's own plan: the aggregation hash-partitions
         # by key, which the key join then reuses, so the check costs no extra
-        # job or shuffle; a repeated key fails the job.
+        # job or shuffle; a repeated key fails the job. The guard sits on the
+        # key column, which the join always reads, so it cannot be pruned.
         agg = pre.groupBy(k).agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*cols)).alias("__r"))
         guard = F.when(F.col("__n") > 1, F.raise_error(F.lit("incoming rows repeat a key; pass order_by to choose one")))
-        return agg.select(k, *[F.coalesce(guard, F.col(f"__r.{c}")).alias(c) if i == 0 else F.col(f"__r.{c}").alias(c)
-                               for i, c in enumerate(cols)])
+        return agg.select(F.coalesce(guard, F.col(k)).alias(k), *[F.col(f"__r.{c}").alias(c) for c in cols])
     pick = F.min_by if spec.mode in ("errorifexists", "ignore") else F.max_by  # create-only: first wins
     return (
         pre.groupBy(k)
@@ -151,7 +145,7 @@ def _dedupe(pre: DataFrame, spec: WriteSpec) -> DataFrame:
 def _join(target: DataFrame, inc: DataFrame, spec: WriteSpec, small: bool) -> tuple[DataFrame, list[str], list[str]]:
     """Target and incoming side by side, one row per key: __t_* and __i_* columns."""
     k = spec.join_col
-    t_cols = [c for c in target.columns if c != "__ttl"]
+    t_cols = [c for c in target.columns if c != TTL]
     i_cols = inc.columns
     t = target.select(*[F.col(c).alias(f"__t_{c}") for c in t_cols], F.lit(True).alias("__t_present"))
     i = inc.select(*[F.col(c).alias(f"__i_{c}") for c in i_cols], F.lit(True).alias("__i_present"))
