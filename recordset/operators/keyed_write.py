@@ -101,7 +101,8 @@ def prepare_incoming(incoming: DataFrame, spec: WriteSpec) -> DataFrame:
         key = F.col(spec.key_col).cast("string")
         dig = digest(spec.set_name, spec.key_col, kt)
     else:
-        key = F.lit(None).cast("string")
+        # By digest the key is not needed; a scanned frame still carries it.
+        key = F.col(KEY).cast("string") if KEY in incoming.columns else F.lit(None).cast("string")
         dig = F.col(spec.digest_col).cast("binary")
     gen = F.col(spec.generation_col).cast("int") if spec.generation_col in incoming.columns else F.lit(None).cast("int")
     if spec.ttl_col:
