@@ -136,6 +136,33 @@ def latest_version(spark: SparkSession, set_root: str) -> tuple[int, str | None]
     return 0, None
 
 
+def drop_old_versions(spark: SparkSession, set_root: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest ``keep`` complete versions, and any incomplete
+    version older than the newest complete one (a failed write). Returns the
+    deleted folders. Readers of a dropped version fail, so keep enough for
+    the longest-running reader."""
+    if keep < 1:
+        raise ValueError("keep at least one version")
+    root = set_root.rstrip("/")
+    versions = sorted(
+        (int(m.group(1)), name)
+        for name, is_dir in _fs_list(spark, root)
+        if is_dir and (m := _VERSION_RE.fullmatch(name))
+    )
+    complete = [(n, name) for n, name in versions if _complete(spark, f"{root}/{name}")]
+    if not complete:
+        return []
+    kept = {name for _, name in complete[-keep:]}
+    newest = complete[-1][0]
+    doomed = [name for n, name in versions if name not in kept and n <= newest]
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in doomed:
+        p = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        p.getFileSystem(conf).delete(p, True)
+    return [f"{root}/{name}" for name in doomed]
+
+
 def version_path(set_root: str, n: int, batch_id: int | None = None) -> str:
     """Folder of version n; a stream's batch id is kept in the name (``v-<n>-b<id>``)."""
     tag = "" if batch_id is None else f"-b{batch_id:010d}"

@@ -172,3 +172,16 @@ def test_save_by_class(spark, tmp_out):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "a int, b string")
     out = W.save_by_class(spark, df, Data, "a", namespace=tmp_out, as_of=AS_OF)
     assert out.count() == 3 and sorted(r["__key"] for r in out.collect()) == ["1", "2", "3"]
+
+
+def test_drop_old_versions(spark, tmp_out):
+    from recordset.sources.store import drop_old_versions, latest_version, scan_set
+
+    for i in range(4):
+        df = spark.createDataFrame([("k", i)], "key string, v int")
+        W.write_set(spark, df, "hist", "key", namespace=tmp_out, as_of=AS_OF, mode="append")
+    root = f"{tmp_out}/hist"
+    dropped = drop_old_versions(spark, root, keep=2)
+    assert len(dropped) == 2 and latest_version(spark, root)[0] == 4
+    r = scan_set(spark, root, as_of=AS_OF).first()
+    assert r["v"] == 3 and r["__generation"] == 4
