@@ -191,8 +191,10 @@ def segment_report(
         facts = _day_bucket(reduce(DataFrame.unionByName, event_parts))
         # Pre-aggregate before the join: at most apps x days x metrics rows.
         per_app = facts.groupBy("oid", "day_ms", "metric").agg(F.count(F.lit(1)).alias("n"))
-        seg_mult = segs.groupBy("oid", "segment").agg(F.sum("mult").alias("mult"))
-        j = per_app.join(seg_mult, "oid")
+        # Joined with every app row of the segment as it is: summing n * mult
+        # over app rows equals n * (sum of mult), so no extra aggregation of
+        # the segment rows (and no extra shuffle) is needed.
+        j = per_app.join(segs.select("oid", "segment", "mult"), "oid")
         n = F.col("n") * F.col("mult")
         parts.append(
             wide(j, {METRICS[m]: F.when(F.col("metric") == m, n).otherwise(zero)

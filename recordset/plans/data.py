@@ -89,14 +89,22 @@ def dv_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_INPUTS: dict[tuple[int, str], ReportInputs] = {}
+
+
 def report_inputs(spark: SparkSession, sf_dir: str) -> ReportInputs:
-    return ReportInputs(
-        app=app_collection(spark, sf_dir),
-        td=td_collection(spark, sf_dir),
-        push=push_collection(spark, sf_dir),
-        activity=activity_collection(spark, sf_dir),
-        dv=dv_set(spark, sf_dir),
-    )
+    """The five report collections; the (lazy, immutable) plans are built once per session."""
+    key = (id(spark), sf_dir)
+    got = _INPUTS.get(key)
+    if got is None or got.app.sparkSession is not spark:
+        got = _INPUTS[key] = ReportInputs(
+            app=app_collection(spark, sf_dir),
+            td=td_collection(spark, sf_dir),
+            push=push_collection(spark, sf_dir),
+            activity=activity_collection(spark, sf_dir),
+            dv=dv_set(spark, sf_dir),
+        )
+    return got
 
 
 # DuckDB twins of the derivations above, as a WITH-clause prefix.
