@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordset.functions.timefn import (
-    DAY_MS,
     date_ms,
     day_end_ms,
     day_start_ms,

@@ -20,7 +20,6 @@ from recordset.plans.data import table, AS_OF_SEC
 from recordset.plans.q_scan import synthetic_customer_set
 from recordset.plans.registry import query
 from recordset.sources.store import digest, digest_hex
-from pyspark.sql import types as T
 
 SET = "customer"
 BINS = ["c_acctbal", "c_custkey", "c_mktsegment", "c_name", "c_nationkey"]

@@ -1,7 +1,5 @@
 """SRC-11, PRJ-4, FN-6..9: delimited lines with a header, empty values and 2400 times."""
 
-from pyspark.sql import functions as F
-
 from recordset.functions import parse as P
 from recordset.sources.ingest import ingest_delimited, read_lines
 

@@ -1,7 +1,5 @@
 """FLT-1..14, FN-10, FN-11: list/map equality, residual predicates."""
 
-from pyspark.sql import functions as F
-
 from recordset.operators import predicates as P
 
 

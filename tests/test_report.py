@@ -1,7 +1,5 @@
 """AGG-2..8, FLT-16/17, JN-5..7, SNK-18 on a tiny fixture with a brute-force check."""
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from recordset.functions.timefn import date_ms
