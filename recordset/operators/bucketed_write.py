@@ -88,3 +88,31 @@ def write_bucketed(
     )
     _delete(spark, staging)
     return spark.read.parquet(set_root)
+
+
+def bucket_cut(
+    spark: SparkSession,
+    set_root: str,
+    ds: DataFrame,
+    key_col: str,
+    set_name: str,
+    buckets: int,
+    *,
+    as_of: int,
+    live_only: bool = True,
+) -> DataFrame:
+    """The records of a bucketed set that can match the keys of ``ds``.
+
+    Only the buckets of the dataset's keys are read: their ids (at most
+    ``buckets`` small integers) are computed in one job and become a static
+    partition filter, so a lookup of a few keys reads a few bucket folders
+    instead of the whole set. The result is a normal set view, to pass as the
+    target of ``lookup_map`` / ``lookup_typed`` / ``lookup_wide`` /
+    ``intersect_match``.
+    """
+    from recordset.sources.store import scan_view
+
+    dig = digest(set_name, key_col, ds.schema[key_col].dataType)
+    ids = [r[0] for r in ds.where(F.col(key_col).isNotNull()).select(bucket_of(dig, buckets).alias("b")).distinct().collect()]
+    stored = spark.read.parquet(set_root).where(F.col(BUCKET).isin(ids))
+    return scan_view(stored, as_of, live_only=live_only)

@@ -40,3 +40,30 @@ def test_only_touched_buckets_change(spark, tmp_out):
                             base, spec), upd, spec)
     assert sorted(tuple(x) for x in whole.select("__key", "v", "__generation").collect()) == \
         sorted(tuple(x) for x in v.select("__key", "v", "__generation").collect())
+
+
+def test_lookup_reads_only_key_buckets(spark, tmp_out):
+    import contextlib
+    import io
+
+    from recordset.operators import lookup as L
+    from recordset.operators.bucketed_write import bucket_cut
+
+    root = f"{tmp_out}/people"
+    spec = W.WriteSpec("people", mode="append", key_col="k", as_of=AS_OF)
+    base = spark.range(300).select(F.col("id").alias("k"), F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"))
+    write_bucketed(spark, base, root, spec, buckets=16)
+    ds = spark.createDataFrame([(5,), (77,), (5000,)], "k bigint")
+    cut = bucket_cut(spark, root, ds, "k", "people", 16, as_of=AS_OF)
+    got = sorted((r.key, r.name) for r in L.lookup_wide(ds, "k", cut, ["name"]).collect())
+    assert got == [("5", "n5"), ("77", "n77")]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        cut.explain("formatted")
+    plan = buf.getvalue()
+    import re
+
+    assert re.search(r"PartitionFilters: \[__bucket#\d+ IN \(", plan)
+    # A selective cut: at most 3 of the 16 buckets are read.
+    n_read = cut.select(F.input_file_name().alias("f")).distinct().count()
+    assert n_read <= 3
