@@ -1,4 +1,4 @@
-"""SNK-1, 3..17: keyed writes, per-record modes, generations, TTL, outcomes."""
+"""SNK-1, SNK-3..17: keyed writes, per-record modes, generations, TTL, outcomes."""
 
 import pytest
 from pyspark.sql import Row

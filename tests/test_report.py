@@ -1,4 +1,4 @@
-"""AGG-2..8, FLT-16/17, JN-5..7, SNK-18 on a tiny fixture with a brute-force check."""
+"""AGG-2..8, FLT-16..18, JN-5..7, PRJ-2, FN-1..4, SNK-18 on a tiny fixture with a brute-force check."""
 
 from pyspark.sql import functions as F
 

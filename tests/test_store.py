@@ -1,4 +1,4 @@
-"""SRC-1, 3, 4, 5, 8, 9, 12, 13; FN-12, 13; FLT-15 on the 'things' fixture."""
+"""SRC-1, SRC-3, SRC-4, SRC-5, SRC-8, SRC-9, SRC-13, SNK-13; FN-12, FN-13 on the 'things' fixture."""
 
 from pyspark.sql import Row
 from pyspark.sql import functions as F
