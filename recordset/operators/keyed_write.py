@@ -135,9 +135,12 @@ def _dedupe(pre: DataFrame, spec: WriteSpec) -> DataFrame:
         guard = F.when(F.col("__n") > 1, F.raise_error(F.lit("incoming rows repeat a key; pass order_by to choose one")))
         return agg.select(F.coalesce(guard, F.col(k)).alias(k), *[F.col(f"__r.{c}").alias(c) for c in cols])
     pick = F.min_by if spec.mode in ("errorifexists", "ignore") else F.max_by  # create-only: first wins
+    # Ties on the order column are broken by a hash of the row, so a recomputed
+    # stage (after a lost executor) picks the same row again.
+    order = F.struct(F.col("__order"), F.xxhash64(*[F.col(c) for c in cols]))
     return (
         pre.groupBy(k)
-        .agg(pick(F.struct(*cols), F.col("__order")).alias("__r"))
+        .agg(pick(F.struct(*cols), order).alias("__r"))
         .select(k, *[F.col(f"__r.{c}").alias(c) for c in cols])
         .drop("__order")
     )
