@@ -8,11 +8,18 @@ An app with k matching td rows counts k times in its segment, as the plain
 inner joins do.
 
 Instead of one job per (day, segment, metric), the report is a single plan:
-every fact source is cut to the report window, pre-aggregated per
-(app, day, metric) with map-side partial aggregation (so a hot app costs one
-row per task, not a third of the shuffle), then joined once to the per-app
-segment multiplicities, which are app-sized. A day x segment spine keeps
-zero counts.
+every fact source is cut to the report window (a range on the raw time
+column, pushed into the scan), pre-aggregated per (app, day, metric) with
+map-side partial aggregation (so a hot app costs one row per task, not a
+third of the shuffle), then joined once to the app rows with their segment
+multiplicities (td reduced to one row per app first), which is app-sized on
+both sides. Event counts, app rows (added / total) and a day x segment spine
+that keeps zero counts are rows of one union ending in a single
+``groupBy(day, segment)``.
+
+Inputs are lazy DataFrames: a collection stored partitioned by day can be
+narrowed by its partition column before it is passed in, and the scan then
+reads only the report's days.
 """
 
 from __future__ import annotations
