@@ -291,7 +291,9 @@ def write_set(
 
     The set is the folder ``<namespace>/<set_name>`` holding versions
     ``v-<n>``; the write merges into the newest version and commits version
-    n+1. ``mode`` defaults to the session's ``recordset.saveMode`` (SNK-16).
+    n+1; with option ``buckets`` the set is bucketed by key instead and only
+    the touched buckets are rewritten (``bucketed_write``). ``mode`` defaults
+    to the session's ``recordset.saveMode`` (SNK-16).
     Options are validated as for reads (updateByKey, updateByDigest,
     ttlColumn, generationPolicy, broadcastRows, ...).
     """
@@ -314,6 +316,10 @@ def write_set(
         broadcast_rows=opts.broadcastRows,
     )
     root = opts.set_path()
+    if opts.buckets:
+        from recordset.operators.bucketed_write import write_bucketed
+
+        return write_bucketed(spark, incoming, root, spec, buckets=opts.buckets)
     return _commit_version(spark, root, incoming, spec, None)
 
 

@@ -31,6 +31,7 @@ DEFAULTS = {
     "saveMode": "ignore",
     "generationPolicy": "none",
     "broadcastRows": 1_000_000,
+    "buckets": None,  # set: keep the set bucketed by key and rewrite only touched buckets
 }
 _INT_OPTIONS = {"schemaScan", "broadcastRows"}
 _BY_LOWER = {k.lower(): k for k in DEFAULTS}
@@ -59,6 +60,7 @@ class Options:
     saveMode: str
     generationPolicy: str
     broadcastRows: int
+    buckets: int | None
 
     @property
     def meta_columns(self) -> tuple[str, ...]:
@@ -92,6 +94,13 @@ def resolve(spark: SparkSession | None = None, **opts) -> Options:
                 values[k] = v
     for name, v in opts.items():
         values[_canonical(name)] = v
+    if values["buckets"] is not None:
+        try:
+            values["buckets"] = int(values["buckets"])
+        except (TypeError, ValueError):
+            raise ValueError(f"option buckets must be an integer, got {values['buckets']!r}") from None
+        if values["buckets"] <= 0:
+            raise ValueError("option buckets must be positive")
     for k in _INT_OPTIONS:
         v = values[k]
         try:

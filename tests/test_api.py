@@ -23,3 +23,14 @@ def test_unknown_option_fails_early(spark):
         api.reader(spark).option("seedhost", "h")
     with pytest.raises(ValueError):
         api.writer(spark.range(1)).save(as_of=0)  # no set
+
+
+def test_bucketed_through_writer(spark, tmp_out):
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(50)], "a int, b string")
+    api.writer(df).mode("append").set("bk").key("a").option("namespace", tmp_out).option("buckets", "8").save(as_of=AS_OF)
+    upd = spark.createDataFrame([(3, "new")], "a int, b string")
+    api.writer(upd).mode("append").set("bk").key("a").options(namespace=tmp_out, buckets=8).save(as_of=AS_OF)
+    got = {r["__key"]: (r["b"], r["__generation"]) for r in api.reader(spark).option("namespace", tmp_out).load("bk", as_of=AS_OF).collect()}
+    assert len(got) == 50 and got["3"] == ("new", 2) and got["4"] == ("v4", 1)
+    with pytest.raises(ValueError):
+        api.writer(upd).set("bk").key("a").option("buckets", "x").save(as_of=AS_OF)
