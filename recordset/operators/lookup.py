@@ -37,7 +37,8 @@ def is_bounded(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_
     if max_rows <= 0:
         return False
     size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns]))) if df.columns else F.lit(0)
-    r = df.limit(max_rows + 1).select(size.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
+    # Size each row where it is read, so the global limit gathers one long per row, not whole rows.
+    r = df.select(size.alias("b")).limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
     return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
 
 
