@@ -325,9 +325,10 @@ def write_set(
 
 def _commit_version(spark: SparkSession, root: str, incoming: DataFrame, spec: WriteSpec, batch_id: int | None) -> DataFrame:
     """Merge into the newest version of the set at ``root`` and commit the next one."""
-    from recordset.sources.store import STORED_META, latest_version, version_path
+    from recordset.sources.store import STORED_META, latest_version, next_version, version_path
 
-    n, current = latest_version(spark, root)
+    _, current = latest_version(spark, root)
+    n = next_version(spark, root) - 1
     if current is None:
         empty = prepare_incoming(incoming, spec).limit(0)
         target = empty.select(

@@ -136,6 +136,17 @@ def latest_version(spark: SparkSession, set_root: str) -> tuple[int, str | None]
     return 0, None
 
 
+def next_version(spark: SparkSession, set_root: str) -> int:
+    """Number for a new version: above every existing version folder, complete or not
+    (a failed write's leftover folder is never reused)."""
+    nums = [
+        int(m.group(1))
+        for name, is_dir in _fs_list(spark, set_root)
+        if is_dir and (m := _VERSION_RE.fullmatch(name))
+    ]
+    return max(nums, default=0) + 1
+
+
 def drop_old_versions(spark: SparkSession, set_root: str, keep: int = 2) -> list[str]:
     """Delete all but the newest ``keep`` complete versions, and any incomplete
     version older than the newest complete one (a failed write). Returns the

@@ -185,3 +185,19 @@ def test_drop_old_versions(spark, tmp_out):
     assert len(dropped) == 2 and latest_version(spark, root)[0] == 4
     r = scan_set(spark, root, as_of=AS_OF).first()
     assert r["v"] == 3 and r["__generation"] == 4
+
+
+def test_drop_old_versions_removes_failed_write(spark, tmp_out):
+    import os
+
+    from recordset.sources.store import drop_old_versions, latest_version
+
+    root = f"{tmp_out}/hist2"
+    df = spark.createDataFrame([("k", 1)], "key string, v int")
+    W.write_set(spark, df, "hist2", "key", namespace=tmp_out, as_of=AS_OF, mode="append")
+    os.makedirs(f"{root}/v-00000002")  # a failed write: no _SUCCESS marker
+    W.write_set(spark, df, "hist2", "key", namespace=tmp_out, as_of=AS_OF, mode="append")
+    assert latest_version(spark, root)[0] == 3  # the incomplete version is never read
+    dropped = drop_old_versions(spark, root, keep=2)
+    assert [os.path.basename(p) for p in dropped] == ["v-00000002"]
+    assert sorted(os.listdir(root)) == ["v-00000001", "v-00000003"]

@@ -9,13 +9,14 @@ SCHEMA = "key string, first string, n bigint"
 
 def test_stream_into_set(spark, tmp_out):
     src, root = f"{tmp_out}/in", f"{tmp_out}/sets/people"
-    spark.createDataFrame([("a", "x", 1), ("b", "y", 2)], SCHEMA).write.parquet(f"{src}/1")
+    # One file per input folder: it appears atomically, so each folder is one micro-batch.
+    spark.createDataFrame([("a", "x", 1), ("b", "y", 2)], SCHEMA).coalesce(1).write.parquet(f"{src}/1")
     spec = W.WriteSpec("people", mode="append", key_col="key", as_of=0)
     stream = spark.readStream.schema(SCHEMA).parquet(f"{src}/*")
     q = write_stream_to_set(stream, root, spec, as_of=100, checkpoint_location=f"{tmp_out}/ckpt")
     try:
         q.processAllAvailable()
-        spark.createDataFrame([("a", "z", 3), ("c", "w", 4)], SCHEMA).write.parquet(f"{src}/2")
+        spark.createDataFrame([("a", "z", 3), ("c", "w", 4)], SCHEMA).coalesce(1).write.parquet(f"{src}/2")
         q.processAllAvailable()
     finally:
         q.stop()
