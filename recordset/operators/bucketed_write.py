@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from recordset.operators.keyed_write import WriteSpec, merge
 from recordset.session import ensure_checkpoint_dir
-from recordset.sources.store import DIGEST, _fs_list, digest
+from recordset.sources.store import DIGEST, digest, path_exists
 
 BUCKET = "__bucket"
 
@@ -61,7 +61,7 @@ def write_bucketed(
         r[0]
         for r in incoming.select(bucket_of(_incoming_digest(incoming, spec), buckets).alias("b")).distinct().collect()
     ]
-    exists = bool(_fs_list(spark, set_root))
+    exists = path_exists(spark, set_root)
     if exists:
         current = spark.read.parquet(set_root)
         target = current.where(F.col(BUCKET).isin(touched)).drop(BUCKET)

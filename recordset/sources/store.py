@@ -103,18 +103,31 @@ VERSION_PREFIX = "v-"
 _VERSION_RE = re.compile(r"v-(\d+)(?:-b\d+)?")
 
 
-def _fs_list(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
-    """(name, is_dir) of the entries of a folder on any Hadoop file system."""
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def _version_dirs(spark: SparkSession, set_root: str) -> list[str]:
+    """Names of ``v-*`` folders only: a glob, so a plain set folder with many
+    part files is not listed entry by entry through the driver."""
+    p, fs = _fs(spark, f"{set_root.rstrip('/')}/{VERSION_PREFIX}*")
+    found = fs.globStatus(p)
+    if found is None:
         return []
-    return [(st.getPath().getName(), st.isDirectory()) for st in fs.listStatus(p)]
+    return [st.getPath().getName() for st in found if st.isDirectory() and _VERSION_RE.fullmatch(st.getPath().getName())]
 
 
 def _complete(spark: SparkSession, path: str) -> bool:
-    return any(name == "_SUCCESS" for name, _ in _fs_list(spark, path))
+    """A version is complete once Spark's committer wrote its ``_SUCCESS`` marker."""
+    p, fs = _fs(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return bool(fs.exists(p))
 
 
 def latest_version(spark: SparkSession, set_root: str) -> tuple[int, str | None]:
@@ -124,11 +137,7 @@ def latest_version(spark: SparkSession, set_root: str) -> tuple[int, str | None]
     Spark's committer has written its ``_SUCCESS`` marker, so readers never
     see a half-written set.
     """
-    versions = sorted(
-        (int(m.group(1)), name)
-        for name, is_dir in _fs_list(spark, set_root)
-        if is_dir and (m := _VERSION_RE.fullmatch(name))
-    )
+    versions = sorted((int(_VERSION_RE.fullmatch(name).group(1)), name) for name in _version_dirs(spark, set_root))
     for n, name in reversed(versions):
         path = f"{set_root.rstrip('/')}/{name}"
         if _complete(spark, path):
@@ -139,11 +148,7 @@ def latest_version(spark: SparkSession, set_root: str) -> tuple[int, str | None]
 def next_version(spark: SparkSession, set_root: str) -> int:
     """Number for a new version: above every existing version folder, complete or not
     (a failed write's leftover folder is never reused)."""
-    nums = [
-        int(m.group(1))
-        for name, is_dir in _fs_list(spark, set_root)
-        if is_dir and (m := _VERSION_RE.fullmatch(name))
-    ]
+    nums = [int(_VERSION_RE.fullmatch(name).group(1)) for name in _version_dirs(spark, set_root)]
     return max(nums, default=0) + 1
 
 
@@ -155,11 +160,7 @@ def drop_old_versions(spark: SparkSession, set_root: str, keep: int = 2) -> list
     if keep < 1:
         raise ValueError("keep at least one version")
     root = set_root.rstrip("/")
-    versions = sorted(
-        (int(m.group(1)), name)
-        for name, is_dir in _fs_list(spark, root)
-        if is_dir and (m := _VERSION_RE.fullmatch(name))
-    )
+    versions = sorted((int(_VERSION_RE.fullmatch(name).group(1)), name) for name in _version_dirs(spark, root))
     complete = [(n, name) for n, name in versions if _complete(spark, f"{root}/{name}")]
     if not complete:
         return []
@@ -184,8 +185,8 @@ def batch_applied(spark: SparkSession, set_root: str, batch_id: int) -> bool:
     """True when a complete version was already written by this stream batch."""
     suffix = f"-b{batch_id:010d}"
     return any(
-        is_dir and name.endswith(suffix) and _complete(spark, f"{set_root.rstrip('/')}/{name}")
-        for name, is_dir in _fs_list(spark, set_root)
+        name.endswith(suffix) and _complete(spark, f"{set_root.rstrip('/')}/{name}")
+        for name in _version_dirs(spark, set_root)
     )
 
 
