@@ -205,6 +205,29 @@ def classify(target: DataFrame, incoming: DataFrame, spec: WriteSpec, small: boo
     )
 
 
+def classify_many(
+    target: DataFrame, incoming: DataFrame, specs: dict[str, WriteSpec], small: bool | None = None
+) -> DataFrame:
+    """SNK-17 for several modes at once: (label, key, digest, outcome) per incoming row and spec.
+
+    The specs must address records the same way (key or digest column,
+    order_by, TTL and generation columns); the key join is then done once and
+    each spec only adds its outcome rule, instead of one join per mode.
+    """
+    first = next(iter(specs.values()))
+    same = ("set_name", "key_col", "digest_col", "order_by", "ttl_col", "generation_col", "as_of")
+    if any(getattr(sp, f) != getattr(first, f) for sp in specs.values() for f in same):
+        raise ValueError("classify_many needs specs that differ only in mode and generation policy")
+    inc = prepare_incoming(incoming, first)
+    j, _, _ = _join(target, inc, first, _small(incoming, first, small))
+    outcomes = F.array(*[F.struct(F.lit(label).alias("label"), _outcome(sp).alias("outcome")) for label, sp in specs.items()])
+    return (
+        j.where(F.col("__i_present"))
+        .select(F.col(f"__i_{KEY}").alias(KEY), F.col(f"__i_{DIGEST}").alias(DIGEST), F.explode(outcomes).alias("o"))
+        .select("o.label", KEY, DIGEST, "o.outcome")
+    )
+
+
 def merge(target: DataFrame, incoming: DataFrame, spec: WriteSpec, small: bool | None = None) -> DataFrame:
     """The whole set after the write (stored form: key, digest, expiry, generation, bins).
 

@@ -174,17 +174,14 @@ def _outcomes_sql() -> str:
 
 @query("write_outcomes", _outcomes_sql(), ("SNK-17",))
 def write_outcomes_q(spark, sf_dir):
-    parts = []
-    target, incoming = target_set(spark, sf_dir), incoming_rows(spark, sf_dir)
-    small = None
-    for mode, gen in _OUTCOME_CASES:
-        spec = W.WriteSpec(SET, mode=mode, key_col="c_custkey", as_of=AS_OF_SEC,
-                           generation_policy="expect_gen_equal" if gen else "none")
-        if small is None:  # one size check serves all five modes
-            small = W.is_bounded(incoming, spec.broadcast_rows)
-        o = W.classify(target, incoming, spec, small=small)
-        parts.append(o.select(F.lit(mode + ("+gen" if gen else "")).alias("mode"), "__key", "outcome"))
-    return reduce(DataFrame.unionByName, parts)
+    # One key join serves all five modes; each mode only adds its outcome rule.
+    specs = {
+        mode + ("+gen" if gen else ""): W.WriteSpec(SET, mode=mode, key_col="c_custkey", as_of=AS_OF_SEC,
+                                                   generation_policy="expect_gen_equal" if gen else "none")
+        for mode, gen in _OUTCOME_CASES
+    }
+    o = W.classify_many(target_set(spark, sf_dir), incoming_rows(spark, sf_dir), specs)
+    return o.select(F.col("label").alias("mode"), "__key", "outcome")
 
 
 @query("write_by_digest", _write_sql("append", by_digest=True), ("SNK-9",))

@@ -201,3 +201,15 @@ def test_drop_old_versions_removes_failed_write(spark, tmp_out):
     dropped = drop_old_versions(spark, root, keep=2)
     assert [os.path.basename(p) for p in dropped] == ["v-00000002"]
     assert sorted(os.listdir(root)) == ["v-00000001", "v-00000003"]
+
+
+def test_classify_many_equals_single(spark, bound):
+    rows = [("p1", "ok", 3), ("p2", "stale", 2), ("p11", "new", 0)]
+    specs = {m: spec(m, broadcast_rows=bound) for m in ("ignore", "overwrite", "append", "update_only")}
+    specs["append+gen"] = spec("append", generation_policy="expect_gen_equal", broadcast_rows=bound)
+    many = {(r.label, r["__key"]): r.outcome for r in W.classify_many(people(spark), inc(spark, rows), specs).collect()}
+    single = {(label, r["__key"]): r.outcome for label, sp in specs.items()
+              for r in W.classify(people(spark), inc(spark, rows), sp).collect()}
+    assert many == single and len(many) == 15
+    with pytest.raises(ValueError):
+        W.classify_many(people(spark), inc(spark, rows), {"a": spec("append"), "b": spec("append", ttl_col="x")})
