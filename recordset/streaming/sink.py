@@ -2,7 +2,7 @@
 
 Each micro-batch goes through the same per-record merge as a batch write
 (``keyed_write.merge``) inside ``foreachBatch`` and commits one new set
-version. The version folder carries the batch id (``v-<n>-b<id>``); when a
+version (or, with ``buckets``, rewrites only the key buckets it touches). The version folder carries the batch id (``v-<n>-b<id>``); when a
 batch is replayed after a failure (its output committed, the stream's own
 checkpoint not yet), the existing version is found and the batch is skipped,
 so each batch is applied exactly once. The stream's checkpoint lives under
@@ -23,13 +23,39 @@ from recordset.session import ensure_checkpoint_dir
 AsOf = int | Callable[[DataFrame, int], int]
 
 
-def apply_batch(batch: DataFrame, batch_id: int, set_root: str, spec: WriteSpec, as_of: AsOf) -> bool:
-    """Merge one micro-batch into the set; False when it was applied before."""
+def _marker(set_root: str, batch_id: int) -> str:
+    # Under a hidden ("_") folder, which Spark's file readers skip.
+    return f"{set_root.rstrip('/')}/_batches/b-{batch_id:010d}"
+
+
+def apply_batch(
+    batch: DataFrame, batch_id: int, set_root: str, spec: WriteSpec, as_of: AsOf, buckets: int | None = None
+) -> bool:
+    """Merge one micro-batch into the set; False when it was applied before.
+
+    Versioned sets carry the batch id in the version name (exactly once).
+    Bucketed sets (``buckets``) rewrite only the touched buckets and record
+    the batch id in a marker written after the commit; a crash between the
+    two re-applies the batch once more (at least once).
+    """
     spark = batch.sparkSession
+    when = as_of(batch, batch_id) if callable(as_of) else as_of
+    run_spec = WriteSpec(**{**spec.__dict__, "as_of": when})
+    if buckets:
+        from recordset.operators.bucketed_write import write_bucketed
+        from recordset.sources.store import path_exists
+
+        marker = _marker(set_root, batch_id)
+        if path_exists(spark, marker):
+            return False
+        write_bucketed(spark, batch, set_root, run_spec, buckets=buckets)
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(marker)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
+        return True
     if batch_applied(spark, set_root, batch_id):
         return False
-    when = as_of(batch, batch_id) if callable(as_of) else as_of
-    _commit_version(spark, set_root, batch, WriteSpec(**{**spec.__dict__, "as_of": when}), batch_id)
+    _commit_version(spark, set_root, batch, run_spec, batch_id)
     return True
 
 
@@ -41,11 +67,15 @@ def write_stream_to_set(
     checkpoint_location: str | None = None,
     trigger: dict | None = None,
     query_name: str | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
-    """Start a streaming query that keeps the set at ``set_root`` up to date."""
+    """Start a streaming query that keeps the set at ``set_root`` up to date.
+
+    With ``buckets`` each micro-batch rewrites only the key buckets it touches.
+    """
     cp = checkpoint_location or f"{ensure_checkpoint_dir(stream.sparkSession).rstrip('/')}/stream-{spec.set_name}"
     w = (
-        stream.writeStream.foreachBatch(lambda df, bid: apply_batch(df, bid, set_root, spec, as_of))
+        stream.writeStream.foreachBatch(lambda df, bid: apply_batch(df, bid, set_root, spec, as_of, buckets))
         .option("checkpointLocation", cp)
     )
     if query_name:

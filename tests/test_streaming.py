@@ -28,3 +28,22 @@ def test_stream_into_set(spark, tmp_out):
     replay = spark.createDataFrame([("a", "again", 9)], SCHEMA)
     assert apply_batch(replay, 1, root, spec, 100) is False
     assert latest_version(spark, root)[0] == 2
+
+
+def test_stream_into_bucketed_set(spark, tmp_out):
+    src, root = f"{tmp_out}/in", f"{tmp_out}/sets/bk"
+    spark.createDataFrame([("a", "x", 1), ("b", "y", 2)], SCHEMA).coalesce(1).write.parquet(f"{src}/1")
+    spec = W.WriteSpec("bk", mode="append", key_col="key", as_of=0)
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{src}/*")
+    q = write_stream_to_set(stream, root, spec, as_of=100, checkpoint_location=f"{tmp_out}/ckpt", buckets=4)
+    try:
+        q.processAllAvailable()
+        spark.createDataFrame([("a", "z", 3)], SCHEMA).coalesce(1).write.parquet(f"{src}/2")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r["__key"]: (r["first"], r["__generation"]) for r in scan_set(spark, root, as_of=100).collect()}
+    assert got == {"a": ("z", 2), "b": ("y", 1)}
+    replay = spark.createDataFrame([("a", "again", 9)], SCHEMA)
+    assert apply_batch(replay, 1, root, spec, 100, buckets=4) is False
+    assert scan_set(spark, root, as_of=100).where("__key = 'a'").first()["first"] == "z"
