@@ -52,7 +52,8 @@ def main():
         from pyspark.sql import SparkSession
 
         spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
-                 .config("spark.sql.session.timeZone", os.environ.get("ORACLE_TZ", "Asia/Kolkata")).getOrCreate())
+                 .config("spark.sql.session.timeZone", os.environ.get("ORACLE_TZ", "Asia/Kolkata"))
+                 .config("spark.sql.ansi.enabled", os.environ.get("ORACLE_ANSI", "true")).getOrCreate())
         spark.sparkContext.setLogLevel("ERROR")
     else:
         spark = local_session(8)
