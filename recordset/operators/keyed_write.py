@@ -72,7 +72,7 @@ class WriteSpec:
     generation_col: str = GENERATION  # expected generation (SNK-11)
     generation_policy: str = "none"
     order_by: str | None = None  # resolves duplicate keys within one write
-    broadcast_rows: int = 1_000_000
+    broadcast_rows: int = 200_000
 
     def __post_init__(self):
         if self.mode not in SAVE_MODES:

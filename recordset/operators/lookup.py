@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from recordset.sources.store import KEY, META
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_ROWS = 200_000
 # Largest broadcast we allow, measured as the rows' JSON text size.
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
@@ -30,16 +30,18 @@ DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 def is_bounded(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
     """True when ``df`` has at most ``max_rows`` rows of at most ``max_bytes`` in total.
 
-    One job over at most ``max_rows + 1`` rows (the limit stops the scan
-    early): it counts them and sums their serialized size, so a broadcast
+    A top-level ``limit`` is collected incrementally (Spark scans one
+    partition, then a growing number, until it has ``max_rows + 1`` rows), so
+    the check reads about ``max_rows + 1`` rows however large ``df`` is; an
+    aggregate over the limit would instead run every scan task. Only each
+    row's serialized size (one long) reaches the driver, and a broadcast
     behind this check has a proven bound in rows and bytes.
     """
     if max_rows <= 0:
         return False
     size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns]))) if df.columns else F.lit(0)
-    # Size each row where it is read, so the global limit gathers one long per row, not whole rows.
-    r = df.select(size.alias("b")).limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
-    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
+    rows = df.select(size.alias("b")).limit(max_rows + 1).collect()
+    return len(rows) <= max_rows and sum(r[0] or 0 for r in rows) <= max_bytes
 
 
 def _key_str(c: Column) -> Column:

@@ -30,7 +30,7 @@ DEFAULTS = {
     "updateByDigest": None,
     "saveMode": "ignore",
     "generationPolicy": "none",
-    "broadcastRows": 1_000_000,
+    "broadcastRows": 200_000,
     "buckets": None,  # set: keep the set bucketed by key and rewrite only touched buckets
 }
 _INT_OPTIONS = {"schemaScan", "broadcastRows"}
