@@ -39,8 +39,15 @@ def _normalise_type(t: Column) -> Column:
 def _sample(df: DataFrame, sample: int | None, order_by: str | None) -> DataFrame:
     if sample is None:
         return df
-    # The sample is the feature (first n records); order makes it reproducible.
-    return (df.orderBy(order_by) if order_by else df).limit(sample)
+    # The sample is the feature (first n records); order makes it reproducible
+    # (a top-k: each task keeps n rows).
+    if order_by:
+        return df.orderBy(order_by).limit(sample)
+    # Unordered: a top-level limit is collected incrementally, touching only the
+    # first partitions of a large set; the n records (the sample size, a small
+    # bound) become a small DataFrame for the inference.
+    rows = df.limit(sample).collect()
+    return df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def infer_bin_types(df: DataFrame, json_col: str, sample: int | None = 100, order_by: str | None = None) -> DataFrame:

@@ -65,3 +65,9 @@ def test_map_to_struct(spark):
     assert sorted((r.t, r.ott or "") for r in ok) == [("a", ""), ("a", "b")]
     with pytest.raises(Exception, match="missing required field t"):
         df.select(map_to_struct("m", rec).alias("r")).collect()
+
+
+def test_unordered_sample_is_bounded(spark):
+    got = {r.bin for r in infer_bin_types(docs(spark), "j", sample=1).collect()}
+    all_bins = {r.bin for r in infer_bin_types(docs(spark), "j", sample=None).collect()}
+    assert got and got <= all_bins and len(got) < len(all_bins)
