@@ -1 +1 @@
-
+"""Structured Streaming: micro-batches merged into record sets."""
