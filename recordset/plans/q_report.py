@@ -134,12 +134,12 @@ def segment_split_q(spark, sf_dir):
 )
 def segment_unassigned_q(spark, sf_dir):
     i = report_inputs(spark, sf_dir)
-    # The reference states this one as SQL text over temp views; so do we.
-    i.app.createOrReplaceTempView("rs_app")
-    i.td.createOrReplaceTempView("rs_td")
+    # The reference states this one as SQL text; DataFrame arguments bind the
+    # inputs without shared view names (safe when queries run concurrently).
     return spark.sql(
-        "SELECT a._id.oid AS app_oid, a.name, a.ct FROM rs_app a "
-        "WHERE NOT EXISTS (SELECT 1 FROM rs_td t WHERE a._id = t.app)"
+        "SELECT a._id.oid AS app_oid, a.name, a.ct FROM {app} a "
+        "WHERE NOT EXISTS (SELECT 1 FROM {td} t WHERE a._id = t.app)",
+        app=i.app, td=i.td,
     )
 
 
