@@ -34,3 +34,17 @@ def test_bucketed_through_writer(spark, tmp_out):
     assert len(got) == 50 and got["3"] == ("new", 2) and got["4"] == ("v4", 1)
     with pytest.raises(ValueError):
         api.writer(upd).set("bk").key("a").option("buckets", "x").save(as_of=AS_OF)
+
+
+def test_errorifexists_through_writer_leaves_set_unchanged(spark, tmp_out):
+    from recordset.operators.keyed_write import WriteConflict
+    from recordset.sources.store import latest_version
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "a int, b string")
+    api.writer(df).mode("errorifexists").set("c").key("a").option("namespace", tmp_out).save(as_of=AS_OF)
+    clash = spark.createDataFrame([(2, "x"), (9, "y")], "a int, b string")
+    with pytest.raises(WriteConflict):
+        api.writer(clash).mode("errorifexists").set("c").key("a").option("namespace", tmp_out).save(as_of=AS_OF)
+    assert latest_version(spark, f"{tmp_out}/c")[0] == 1
+    got = {r["__key"]: r["b"] for r in api.reader(spark).option("namespace", tmp_out).load("c", as_of=AS_OF).collect()}
+    assert got == {"1": "a", "2": "b"}
