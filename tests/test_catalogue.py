@@ -8,6 +8,7 @@ from oracle_check import TABLES, table_hash
 from conftest import SF_SMALL
 
 SQL = E.oracle_sql()
+OWN = sorted(set(E.queries()) - set(E.LLM_QUERIES))  # the training-data operators are tested in tests/llm
 
 
 @pytest.fixture(scope="module")
@@ -25,10 +26,10 @@ def test_entry(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(SQL)
+    assert set(OWN) <= set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
