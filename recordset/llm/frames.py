@@ -22,18 +22,18 @@ def crc_fold(key: str, n: int) -> Column:
     return (F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % n).cast("int")
 
 
-def map_text(df: DataFrame, text: str, make: Callable[[], Callable[[pa.Array], list]], fields: list[T.StructField]) -> DataFrame:
+def map_text(df: DataFrame, text: str, make: Callable[[], Callable[..., list]], fields: list[T.StructField], also: tuple[str, ...] = ()) -> DataFrame:
     """Append columns computed from whole texts, in Arrow batches.
 
     ``make()`` runs once per task and returns a function from a text column
-    (nulls included) to the new columns, one value per row. A column of ``df`` with the name of a new
+    (nulls included), and those named in ``also``, to the new columns, one value per row. A column of ``df`` with the name of a new
     column is replaced. No row is added, dropped or moved, and nothing is shuffled.
     """
     new = {f.name.lower() for f in fields}
     kept = [c for c in df.columns if c.lower() not in new]
     schema = T.StructType([df.schema[c] for c in kept] + fields)
     names, i, types = kept + [f.name for f in fields], df.columns.index(text), [arrow_type(f.dataType) for f in fields]
-    at = [df.columns.index(c) for c in kept]
+    at, more = [df.columns.index(c) for c in kept], [df.columns.index(c) for c in also]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = None
@@ -41,7 +41,7 @@ def map_text(df: DataFrame, text: str, make: Callable[[], Callable[[pa.Array], l
             if not b.num_rows:
                 continue
             fn = fn or make()
-            cols = [pa.array(v, t) if not isinstance(v, pa.Array) else v for v, t in zip(fn(b.column(i)), types, strict=True)]
+            cols = [pa.array(v, t) if not isinstance(v, pa.Array) else v for v, t in zip(fn(b.column(i), *(b.column(j) for j in more)), types, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(j) for j in at] + cols, names=names)
 
     return df.mapInArrow(run, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordset.llm import quality, rules
+from recordset.llm import decontaminate, quality, rules, toxicity
 from recordset.llm.frames import crc_fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,9 +33,48 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, model).select("doc_id", (fold == 2).alias("held_out"), "score", "predicted")
 
 
+# Words and windows as in the operator; the spans of hit words come from a plain equality join on the window text.
+DECONTAMINATE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT DISTINCT item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+bk AS (SELECT item_id, w, least(len(w), 10) AS k FROM b WHERE len(w) > 0),
+bi AS (SELECT item_id, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM bk),
+p AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM bi),
+di AS (SELECT rid, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM p) WHERE len(w) >= k),
+hit AS (SELECT x.rid, x.i, x.k, p.item_id FROM (SELECT rid, k, i, array_to_string(w[i:i + k - 1], ' ') AS g FROM di) x JOIN p USING (k, g)),
+words AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest(range(i, i + k)) AS j FROM hit) GROUP BY rid),
+items AS (SELECT rid, count(*) AS n, string_agg(s, ',' ORDER BY s) AS ids FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY rid)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(items.n, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
+""".replace("\\", "\")
+
+
+@register("op2_benchmark_decontamination", DECONTAMINATE_SQL)
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hits = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), spans=False)
+    return hits.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join(F.array_sort("item_ids"), ","), 256).alias("items_sha256"), "contaminated")
+
+
 @register("op3_quality_rules")
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned from all labelled rows; every document is judged."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = rules.fit_rule_model(docs, table(spark, sf_dir, "labels"))
     return rules.apply_rules(docs, model).select("doc_id", *rules.STATS, "base_failed", "quality_probability", "kept")
+
+
+@register("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from labels of rows with crc32(doc_id) mod 5 other than 0; every document is scored."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = crc_fold("doc_id", 5)
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), keep=fold != 0)
+    return toxicity.score_toxicity(docs, model).select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
