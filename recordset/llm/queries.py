@@ -53,7 +53,7 @@ items AS (SELECT rid, count(*) AS n, string_agg(s, ',' ORDER BY s) AS ids FROM (
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(items.n, 0) AS BIGINT) AS n_items,
   sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
-""".replace("\\", "\")
+"""
 
 
 @register("op2_benchmark_decontamination", DECONTAMINATE_SQL)
