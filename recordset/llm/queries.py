@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordset.llm import decontaminate, quality, rules, toxicity
+from recordset.llm import decontaminate, lm, quality, rules, toxicity
 from recordset.llm.frames import crc_fold, table
+from recordset.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -71,6 +72,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_rules(docs, model).select("doc_id", *rules.STATS, "base_failed", "quality_probability", "kept")
 
 
+@register("op4_lm_scoring")
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted over rows with crc32(doc_id) mod 5 other than 1; every document is scored."""
+    ensure_checkpoint_dir(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = crc_fold("doc_id", 5)
+    scored = lm.score_with_language_model(docs, fold != 1)
+    return scored.select("doc_id", (fold == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @register("op7_toxicity")
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned from labels of rows with crc32(doc_id) mod 5 other than 0; every document is scored."""
