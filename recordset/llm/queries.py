@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordset.llm import decontaminate, lm, quality, rules, toxicity
+from recordset.llm import decontaminate, html_text, licenses, lm, mixing, quality, rules, toxicity
 from recordset.llm.frames import crc_fold, table
 from recordset.session import ensure_checkpoint_dir
 
@@ -82,6 +82,11 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@register("op5_html_extraction")
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 @register("op7_toxicity")
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned from labels of rows with crc32(doc_id) mod 5 other than 0; every document is scored."""
@@ -89,3 +94,36 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = crc_fold("doc_id", 5)
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), keep=fold != 0)
     return toxicity.score_toxicity(docs, model).select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
+
+
+@register("op8_source_mixing")
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, weighted by the square root of the size of their source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix_sources(docs)
+
+
+def license_sql(templates: dict[str, str]) -> str:
+    """Brute force: for every window of a template's class the template shingles in it are counted."""
+    rows = []
+    for name, text in templates.items():
+        shingles = licenses.template_shingles(text)
+        cls = licenses.template_class(len(shingles))
+        rows += [f"('{name}', {max(cls // 2, 1)}, {1 if cls == 1 else 3}, {licenses.needed(len(shingles))}, '{x}')" for x in shingles]
+    return f"""
+WITH t(license, block, span, need, sh) AS (VALUES {", ".join(rows)}),
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z]+') AS w FROM documents),
+n AS (SELECT *, CASE WHEN len(w) = 0 THEN 0 ELSE greatest(len(w) - 4, 1) END AS n FROM d),
+s AS (SELECT rid, n, w, unnest(range(0, n)) AS i FROM n),
+hit AS (SELECT s.rid, s.n, s.i, t.* FROM (SELECT rid, n, i, array_to_string(w[i + 1:i + 5], ' ') AS sh FROM s) s JOIN t USING (sh)),
+win AS (SELECT rid, license, need, sh, unnest(range(greatest(i // block - (span - 1), 0), least(i // block, (n - 1) // block) + 1)) AS k FROM hit),
+found AS (SELECT DISTINCT rid, license FROM (SELECT rid, license, k FROM win GROUP BY rid, license, need, k HAVING count(DISTINCT sh) >= need)),
+per AS (SELECT rid, count(*) AS n, string_agg(license, ',' ORDER BY license) AS licenses FROM found GROUP BY rid)
+SELECT d.doc_id, CAST(coalesce(per.n, 0) AS BIGINT) AS n_licenses, coalesce(per.licenses, '') AS licenses FROM d LEFT JOIN per USING (rid)
+"""
+
+
+@register("op10_license_scan", license_sql(licenses.TEMPLATES))
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_licenses", F.array_join("licenses", ",").alias("licenses"))
