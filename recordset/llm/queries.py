@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordset.llm import decontaminate, html_text, licenses, lm, mixing, quality, rules, toxicity
+from recordset.llm import decontaminate, html_text, licenses, lm, mixing, ngram_join, quality, rules, toxicity
 from recordset.llm.frames import crc_fold, table
 from recordset.session import ensure_checkpoint_dir
 
@@ -103,6 +103,13 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs)
 
 
+@register("op9_ngram_jaccard_join")
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    found = ngram_join.link_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def license_sql(templates: dict[str, str]) -> str:
     """Brute force: for every window of a template's class the template shingles in it are counted."""
     rows = []
