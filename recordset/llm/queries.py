@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordset.llm import decontaminate, html_text, licenses, lm, mixing, ngram_join, quality, rules, toxicity
+from recordset.llm import decontaminate, html_text, licenses, lm, mixing, ngram_join, quality, rules, suffix_dedup, toxicity
 from recordset.llm.frames import crc_fold, table
 from recordset.session import ensure_checkpoint_dir
 
@@ -87,6 +87,12 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+@register("op6_suffix_dedup")
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @register("op7_toxicity")
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned from labels of rows with crc32(doc_id) mod 5 other than 0; every document is scored."""
