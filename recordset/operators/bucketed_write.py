@@ -1,40 +1,31 @@
-"""Keyed writes that rewrite only the touched part of a large set.
-
-A bucketed set is a parquet folder partitioned by ``__bucket`` =
-``pmod(xxhash64(__digest), buckets)``. The digest identifies a record
-whether it is addressed by key or by digest, so both write styles agree on
-the bucket. A write:
-
-1. computes the buckets its incoming records fall in (at most ``buckets``
-   small integers reach the driver - a proven bound);
-2. reads only those buckets of the set (partition pruning);
-3. merges them with the incoming rows by the per-record rules of
-   ``keyed_write.merge``;
-4. stages the merged buckets in the shared checkpoint folder (this cuts the
-   lineage, so the set is never overwritten while it is being read);
-5. replaces just those bucket folders with dynamic partition overwrite.
-
-So an upsert of a few keys into a 100 TB set rewrites a few buckets, not the
-set. Each bucket is replaced as a whole; a failure mid-commit can leave some
-buckets new and some old, but every record is either entirely old or new.
+"""Keyed writes into a stored set: only the buckets that the incoming records fall in are rewritten.
+
+A write
+
+1. reads the newest manifest (``sources.layout``) and computes the buckets its
+   incoming records fall in (at most ``buckets`` small integers reach the driver);
+2. merges those buckets with the incoming rows by the rules of ``keyed_write.merge``;
+3. writes them to a folder of its own, one file a bucket;
+4. publishes the next version. If another writer was first it begins again with that version, so no update is lost.
+
+So an upsert of a few keys into a 100 TB set rewrites a few buckets. The
+number of buckets is chosen with the first write and kept with the set.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from recordset.operators.keyed_write import WriteSpec, merge
-from recordset.session import ensure_checkpoint_dir
-from recordset.sources.store import DIGEST, digest, path_exists
-
-BUCKET = "__bucket"
+from recordset.operators.keyed_write import WriteSpec, conflicts_raised, merge, prepare_incoming
+from recordset.sources.layout import (
+    BUCKET, Manifest, PublishConflict, bucket_of, choose_buckets, delete_path, latest_version, path_exists, publish, read_buckets, write_buckets,
+)
+from recordset.sources.store import DIGEST, EXPIRY, GENERATION, KEY, STORED_META, digest, key_type_tag, scan_view, tagged_digest
 
-
-def bucket_of(dig: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(dig), F.lit(buckets)).cast("int")
+# Times a write that lost the race for a version begins again.
+ATTEMPTS = 20
 
 
 def _incoming_digest(incoming: DataFrame, spec: WriteSpec) -> Column:
@@ -43,10 +34,31 @@ def _incoming_digest(incoming: DataFrame, spec: WriteSpec) -> Column:
     return F.col(spec.digest_col).cast("binary")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def _touched(rows: DataFrame, dig: Column, buckets: int) -> list[int]:
+    return [r[0] for r in rows.select(bucket_of(dig, buckets).alias("b")).distinct().collect()]
+
+
+def _stored_schema(merged: DataFrame, old: T.StructType | None) -> T.StructType:
+    """The set's columns after a write; a bin keeps its type."""
+    fields = {f.name: T.StructField(f.name, f.dataType, True) for f in merged.schema.fields}
+    for f in old.fields if old else ():
+        now = fields.setdefault(f.name, f)
+        if now.dataType != f.dataType:
+            raise ValueError(f"bin {f.name} is stored as {f.dataType.simpleString()}, not {now.dataType.simpleString()}")
+    bins = sorted(n for n in fields if n not in STORED_META)
+    return T.StructType([fields[n] for n in (*STORED_META, *bins)])
+
+
+def _empty_target(spark: SparkSession, incoming: DataFrame, spec: WriteSpec) -> DataFrame:
+    bins = [f for f in prepare_incoming(incoming, spec).schema.fields if not f.name.startswith("__")]
+    meta = zip((KEY, DIGEST, EXPIRY, GENERATION), (T.StringType(), T.BinaryType(), T.IntegerType(), T.IntegerType()))
+    return spark.createDataFrame([], T.StructType([*(T.StructField(n, t) for n, t in meta), *bins]))
+
+
+def _has_parquet(spark: SparkSession, root: str) -> bool:
+    from recordset.sources.layout import _names
+
+    return path_exists(spark, root) and bool(_names(spark, f"{root.rstrip('/')}/*.parquet"))
 
 
 def write_bucketed(
@@ -54,40 +66,56 @@ def write_bucketed(
     incoming: DataFrame,
     set_root: str,
     spec: WriteSpec,
-    buckets: int = 1024,
-) -> DataFrame:
-    """Merge ``incoming`` into the bucketed set at ``set_root``; returns the set."""
-    touched = [
-        r[0]
-        for r in incoming.select(bucket_of(_incoming_digest(incoming, spec), buckets).alias("b")).distinct().collect()
-    ]
-    exists = path_exists(spark, set_root)
-    if exists:
-        current = spark.read.parquet(set_root)
-        target = current.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-    else:
-        target = None
-    if target is None:
-        from recordset.operators.keyed_write import prepare_incoming
-        from recordset.sources.store import EXPIRY, GENERATION, KEY, STORED_META
-
-        empty = prepare_incoming(incoming, spec).limit(0)
-        target = empty.select(
-            F.col(KEY), F.col(DIGEST), F.lit(0).cast("int").alias(EXPIRY), F.lit(0).cast("int").alias(GENERATION),
-            *[c for c in empty.columns if c not in STORED_META and not c.startswith("__")],
-        )
-    merged = merge(target, incoming, spec).withColumn(BUCKET, bucket_of(F.col(DIGEST), buckets))
-    staging = f"{ensure_checkpoint_dir(spark).rstrip('/')}/recordset-staging/{spec.set_name}-{uuid.uuid4().hex}"
-    merged.write.partitionBy(BUCKET).parquet(staging)
-    (
-        spark.read.parquet(staging)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(set_root)
-    )
-    _delete(spark, staging)
-    return spark.read.parquet(set_root)
+    buckets: int | None = None,
+    batch: tuple[str, int] | None = None,
+) -> DataFrame | None:
+    """Merge ``incoming`` into the set at ``set_root`` and return the set as it then is.
+
+    ``buckets`` counts for the first write only; a different number later raises. A plain parquet folder of stored
+    records found at ``set_root`` is taken into the new layout with all its records. ``batch`` (stream, number)
+    is published with the version; a batch that a version already has is skipped, and None is returned.
+    """
+    for _ in range(ATTEMPTS):
+        version, manifest = latest_version(spark, set_root)
+        if manifest and batch and manifest.batches.get(batch[0], -1) >= batch[1]:
+            return None
+        if manifest and buckets and buckets != manifest.buckets:
+            raise ValueError(f"{set_root} has {manifest.buckets} buckets, not {buckets}")
+        dig = _incoming_digest(incoming, spec)
+        plain = manifest is None and _has_parquet(spark, set_root)
+        if plain:
+            target = spark.read.parquet(set_root)
+            missing = [c for c in STORED_META if c not in target.columns]
+            if missing:
+                raise ValueError(f"{set_root} holds files that are no stored set: no column {missing}")
+            target = target.drop(BUCKET)
+        elif manifest is None:
+            target = _empty_target(spark, incoming, spec)
+        n = manifest.buckets if manifest else buckets or choose_buckets(target.select(KEY) if plain else incoming)
+        touched = list(range(n)) if plain else _touched(incoming, dig, n)
+        if manifest:
+            target = read_buckets(spark, set_root, manifest, touched).drop(BUCKET)
+        merged = merge(target, incoming, spec)
+        schema = _stored_schema(merged, manifest.columns() if manifest else None)
+        with conflicts_raised():
+            write, got = write_buckets(spark, set_root, merged.select(*schema.fieldNames()), n)
+        folders = {b: w for b, w in (manifest.folders if manifest else {}).items() if b not in set(touched)} | {b: write for b in got}
+        tags = set(manifest.key_tags if manifest else ())
+        if spec.key_col:
+            tags.add(key_type_tag(incoming.schema[spec.key_col].dataType))
+        elif plain or not tags:
+            tags |= {"L", "S", "B"}  # addressed by digest, or taken over: any type may be there
+        batches = dict(manifest.batches) if manifest else {}
+        if batch:
+            batches[batch[0]] = batch[1]
+        try:
+            publish(spark, set_root, Manifest(version + 1, n, schema.json(), folders, tuple(sorted(tags)), batches))
+        except PublishConflict:
+            delete_path(spark, f"{set_root.rstrip('/')}/data/w={write}")
+            continue
+        _, now = latest_version(spark, set_root)
+        return read_buckets(spark, set_root, now)
+    raise PublishConflict(f"gave up writing to {set_root} after {ATTEMPTS} versions by others")
 
 
 def bucket_cut(
@@ -96,23 +124,23 @@ def bucket_cut(
     ds: DataFrame,
     key_col: str,
     set_name: str,
-    buckets: int,
     *,
     as_of: int,
     live_only: bool = True,
 ) -> DataFrame:
-    """The records of a bucketed set that can match the keys of ``ds``.
-
-    Only the buckets of the dataset's keys are read: their ids (at most
-    ``buckets`` small integers) are computed in one job and become a static
-    partition filter, so a lookup of a few keys reads a few bucket folders
-    instead of the whole set. The result is a normal set view, to pass as the
-    target of ``lookup_map`` / ``lookup_typed`` / ``lookup_wide`` /
-    ``intersect_match``.
-    """
-    from recordset.sources.store import scan_view
+    """The records of a stored set that can match the keys of ``ds``.
 
-    dig = digest(set_name, key_col, ds.schema[key_col].dataType)
-    ids = [r[0] for r in ds.where(F.col(key_col).isNotNull()).select(bucket_of(dig, buckets).alias("b")).distinct().collect()]
-    stored = spark.read.parquet(set_root).where(F.col(BUCKET).isin(ids))
+    Only the buckets of the dataset's keys, taken as every key type the set has, are read: their ids
+    (at most as many as the set has buckets) are computed in one job, so a lookup of a few keys
+    reads a few buckets. The result is a normal set view, to pass as the
+    target of ``lookup_map`` / ``lookup_typed`` / ``lookup_wide`` / ``intersect_match``.
+    """
+    _, manifest = latest_version(spark, set_root)
+    if manifest is None:
+        raise ValueError(f"{set_root} has no published version")
+    key = F.col(key_col)
+    text = F.hex(key) if isinstance(ds.schema[key_col].dataType, T.BinaryType) else key.cast("string")
+    each = F.explode(F.array(*(tagged_digest(set_name, t, text) for t in manifest.key_tags)))
+    rows = ds.where(key.isNotNull()).select(each.alias("d"))
+    stored = read_buckets(spark, set_root, manifest, _touched(rows, F.col("d"), manifest.buckets))
     return scan_view(stored, as_of, live_only=live_only)

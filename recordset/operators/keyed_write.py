@@ -22,26 +22,25 @@ Generation becomes 1 on create and stored + 1 on every other write. Expiry
 is ``as_of + ttl`` when a TTL column is given (TTL -1 = never), else 0 on
 create and unchanged on update.
 
-Plan shape. The result is the whole new set, computed by one key join:
-* general case: ``target FULL OUTER JOIN incoming`` (one shuffle per side;
-  set keys are unique so there is no key skew);
-* incoming proven small (bounded ``limit().count()``): ``target LEFT JOIN
-  broadcast(incoming)`` plus the incoming rows whose keys the target lacks,
-  found through a broadcast semi-join; the target is never shuffled.
-Duplicate keys in one write are rejected unless ``order_by`` picks a row;
-the pick is a ``max_by`` aggregation (map-side partial, skew safe).
-Writing goes to a new folder; the set being read is never overwritten.
+Plan shape. The result is the whole new set, computed by one join on the
+digest, which identifies a record (set, key type, key): ``target FULL OUTER
+JOIN incoming``, one shuffle and one sort per side. A caller that knows the incoming rows to
+be few passes ``small=True``: ``target LEFT JOIN broadcast(incoming)`` plus the incoming
+rows the target lacks; the target is then never shuffled. No job runs while
+the plan is built. Null keys and, unless ``order_by`` picks a row, keys repeated within one write fail the job.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordset.functions.types import to_storage
-from recordset.operators.lookup import is_bounded
 from recordset.options import GENERATION_POLICIES, SAVE_MODES
 from recordset.sources.store import DIGEST, EXPIRY, GENERATION, KEY, META, STORED_META, TTL, digest
 
@@ -72,7 +71,7 @@ class WriteSpec:
     generation_col: str = GENERATION  # expected generation (SNK-11)
     generation_policy: str = "none"
     order_by: str | None = None  # resolves duplicate keys within one write
-    broadcast_rows: int = 200_000
+    meta_columns: tuple[str, ...] = META  # names the metadata columns go by in the incoming rows
 
     def __post_init__(self):
         if self.mode not in SAVE_MODES:
@@ -82,19 +81,21 @@ class WriteSpec:
         if bool(self.key_col) == bool(self.digest_col):
             raise ValueError("give exactly one of key_col (updateByKey) or digest_col (updateByDigest)")
 
-    @property
-    def join_col(self) -> str:
-        return KEY if self.key_col else DIGEST
+
+EXISTS_MESSAGE = "keys already exist in the set"
 
 
 def _incoming_bins(incoming: DataFrame, spec: WriteSpec) -> list[str]:
-    """SNK-13: written bins = incoming columns minus metadata; the key column stays a bin."""
-    skip = set(META) | {spec.ttl_col, spec.generation_col, spec.digest_col, spec.order_by} - {None}
+    """SNK-13: written bins = incoming columns minus metadata (under either name); the key column stays a bin."""
+    skip = (set(META) | set(spec.meta_columns) | {spec.ttl_col, spec.generation_col, spec.digest_col, spec.order_by}) - {spec.key_col, None}
     return sorted(c for c in incoming.columns if c not in skip)
 
 
 def prepare_incoming(incoming: DataFrame, spec: WriteSpec) -> DataFrame:
-    """Incoming rows in stored form: __key, __digest, __in_gen, __in_expiry, bins (normalised)."""
+    """Incoming rows in stored form: __key, __digest, __in_gen, __in_expiry, __ok, bins (normalised); one row a digest.
+
+    ``__ok`` is true; reading it fails on a null key and, without ``order_by``, on a repeated one.
+    """
     bins = _incoming_bins(incoming, spec)
     if spec.key_col:
         kt = incoming.schema[spec.key_col].dataType
@@ -102,7 +103,8 @@ def prepare_incoming(incoming: DataFrame, spec: WriteSpec) -> DataFrame:
         dig = digest(spec.set_name, spec.key_col, kt)
     else:
         # By digest the key is not needed; a scanned frame still carries it.
-        key = F.col(KEY).cast("string") if KEY in incoming.columns else F.lit(None).cast("string")
+        name = next((c for c in (spec.meta_columns[0], KEY) if c in incoming.columns), None)
+        key = (F.col(name) if name else F.lit(None)).cast("string")
         dig = F.col(spec.digest_col).cast("binary")
     gen = F.col(spec.generation_col).cast("int") if spec.generation_col in incoming.columns else F.lit(None).cast("int")
     if spec.ttl_col:
@@ -119,40 +121,28 @@ def prepare_incoming(incoming: DataFrame, spec: WriteSpec) -> DataFrame:
         *extra,
         *[to_storage(F.col(c), incoming.schema[c].dataType).alias(c) for c in bins],  # SNK-14
     )
-    return _dedupe(pre, spec)
-
-
-def _dedupe(pre: DataFrame, spec: WriteSpec) -> DataFrame:
-    """One row per key. Without ``order_by`` duplicates are an error."""
-    k = spec.join_col
-    cols = [c for c in pre.columns if c != k]
+    no_key = F.when(F.col(DIGEST).isNull(), F.raise_error(F.lit("a keyed write needs a key in every row")))
     if spec.order_by is None:
-        # Checked inside the write's own plan: the aggregation hash-partitions
-        # by key, which the key join then reuses, so the check costs no extra
-        # job or shuffle; a repeated key fails the job. The guard sits on the
-        # key column, which the join always reads, so it cannot be pruned.
-        agg = pre.groupBy(k).agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*cols)).alias("__r"))
-        guard = F.when(F.col("__n") > 1, F.raise_error(F.lit("incoming rows repeat a key; pass order_by to choose one")))
-        return agg.select(F.coalesce(guard, F.col(k)).alias(k), *[F.col(f"__r.{c}").alias(c) for c in cols])
+        # The window has the shuffle and the sort that the join on the digest needs anyway.
+        n = F.count(F.lit(1)).over(Window.partitionBy(DIGEST))
+        twice = F.when(F.col("__n") > 1, F.raise_error(F.lit("incoming rows repeat a key; pass order_by to choose one")))
+        return pre.withColumn("__n", n).withColumn("__ok", F.coalesce(no_key.cast("boolean"), twice.cast("boolean"), F.lit(True))).drop("__n")
     pick = F.min_by if spec.mode in ("errorifexists", "ignore") else F.max_by  # create-only: first wins
+    cols = [c for c in pre.columns if c != DIGEST]
     # Ties on the order column are broken by a hash of the row, so a recomputed
     # stage (after a lost executor) picks the same row again.
     order = F.struct(F.col("__order"), F.xxhash64(*[F.col(c) for c in cols]))
-    return (
-        pre.groupBy(k)
-        .agg(pick(F.struct(*cols), order).alias("__r"))
-        .select(k, *[F.col(f"__r.{c}").alias(c) for c in cols])
-        .drop("__order")
-    )
+    picked = pre.groupBy(DIGEST).agg(pick(F.struct(*cols), order).alias("__r"))
+    return picked.select(DIGEST, *[F.col(f"__r.{c}").alias(c) for c in cols], F.coalesce(no_key.cast("boolean"), F.lit(True)).alias("__ok")).drop("__order")
 
 
 def _join(target: DataFrame, inc: DataFrame, spec: WriteSpec, small: bool) -> tuple[DataFrame, list[str], list[str]]:
     """Target and incoming side by side, one row per key: __t_* and __i_* columns."""
-    k = spec.join_col
+    k = DIGEST
     t_cols = [c for c in target.columns if c != TTL]
-    i_cols = inc.columns
+    i_cols = [c for c in inc.columns if c != "__ok"]
     t = target.select(*[F.col(c).alias(f"__t_{c}") for c in t_cols], F.lit(True).alias("__t_present"))
-    i = inc.select(*[F.col(c).alias(f"__i_{c}") for c in i_cols], F.lit(True).alias("__i_present"))
+    i = inc.select(*[F.col(c).alias(f"__i_{c}") for c in i_cols], F.col("__ok").alias("__i_present"))
     cond = t[f"__t_{k}"] == i[f"__i_{k}"]
     if small:
         bi = F.broadcast(i)
@@ -188,25 +178,17 @@ def _outcome(spec: WriteSpec) -> Column:
     return o.when(live, F.lit(exists)).otherwise(F.lit(absent))
 
 
-def _small(incoming: DataFrame, spec: WriteSpec, small: bool | None) -> bool:
-    return is_bounded(incoming, spec.broadcast_rows) if small is None else small
-
-
-def classify(target: DataFrame, incoming: DataFrame, spec: WriteSpec, small: bool | None = None) -> DataFrame:
-    """SNK-17: (key, digest, outcome) for every incoming row.
-
-    ``small`` may pass a size bound the caller already proved with
-    ``is_bounded(incoming, spec.broadcast_rows)``.
-    """
+def classify(target: DataFrame, incoming: DataFrame, spec: WriteSpec, small: bool = False) -> DataFrame:
+    """SNK-17: (key, digest, outcome) for every incoming row."""
     inc = prepare_incoming(incoming, spec)
-    j, _, _ = _join(target, inc, spec, _small(incoming, spec, small))
+    j, _, _ = _join(target, inc, spec, small)
     return j.where(F.col("__i_present")).select(
         F.col(f"__i_{KEY}").alias(KEY), F.col(f"__i_{DIGEST}").alias(DIGEST), _outcome(spec).alias("outcome")
     )
 
 
 def classify_many(
-    target: DataFrame, incoming: DataFrame, specs: dict[str, WriteSpec], small: bool | None = None
+    target: DataFrame, incoming: DataFrame, specs: dict[str, WriteSpec], small: bool = False
 ) -> DataFrame:
     """SNK-17 for several modes at once: (label, key, digest, outcome) per incoming row and spec.
 
@@ -219,7 +201,7 @@ def classify_many(
     if any(getattr(sp, f) != getattr(first, f) for sp in specs.values() for f in same):
         raise ValueError("classify_many needs specs that differ only in mode and generation policy")
     inc = prepare_incoming(incoming, first)
-    j, _, _ = _join(target, inc, first, _small(incoming, first, small))
+    j, _, _ = _join(target, inc, first, small)
     outcomes = F.array(*[F.struct(F.lit(label).alias("label"), _outcome(sp).alias("outcome")) for label, sp in specs.items()])
     return (
         j.where(F.col("__i_present"))
@@ -228,17 +210,17 @@ def classify_many(
     )
 
 
-def merge(target: DataFrame, incoming: DataFrame, spec: WriteSpec, small: bool | None = None) -> DataFrame:
+def merge(target: DataFrame, incoming: DataFrame, spec: WriteSpec, small: bool = False) -> DataFrame:
     """The whole set after the write (stored form: key, digest, expiry, generation, bins).
 
-    Raises ``WriteConflict`` for mode errorifexists when any key exists.
+    In mode errorifexists the job that reads the result fails when any key exists.
     """
     inc = prepare_incoming(incoming, spec)
-    j, t_cols, i_cols = _join(target, inc, spec, _small(incoming, spec, small))
+    j, t_cols, i_cols = _join(target, inc, spec, small)
     j = j.withColumn("__outcome", _outcome(spec))
     if spec.mode == "errorifexists":
-        if j.where(F.col("__outcome") == "exists_error").limit(1).count() > 0:
-            raise WriteConflict("keys already exist in the set")
+        conflict = F.when(F.col("__outcome") == "exists_error", F.raise_error(F.lit(EXISTS_MESSAGE)).cast("boolean"))
+        j = j.where(F.coalesce(conflict, F.lit(True)))
 
     t_bins = [c for c in t_cols if c not in META]
     i_bins = [c for c in i_cols if c not in STORED_META and not c.startswith("__")]
@@ -295,8 +277,8 @@ def save_set(spark: SparkSession, target_path: str, incoming: DataFrame, out_pat
     """
     if out_path.rstrip("/") == target_path.rstrip("/"):
         raise ValueError("write the new set to a new folder, not over the one being read")
-    new = merge(spark.read.parquet(target_path), incoming, spec)
-    new.write.mode("errorifexists").parquet(out_path)
+    with conflicts_raised():
+        merge(spark.read.parquet(target_path), incoming, spec).write.mode("errorifexists").parquet(out_path)
     return spark.read.parquet(out_path)
 
 
@@ -308,20 +290,17 @@ def write_set(
     *,
     as_of: int,
     mode: str | None = None,
+    order_by: str | None = None,
     **options,
 ) -> DataFrame:
     """SNK-2: save a DataFrame into a set by key (or digest), creating the set if needed.
 
-    The set is the folder ``<namespace>/<set_name>`` holding versions
-    ``v-<n>``; the write merges into the newest version and commits version
-    n+1; with option ``buckets`` the set is bucketed by key instead and only
-    the touched buckets are rewritten (``bucketed_write``). ``mode`` defaults
-    to the session's ``recordset.saveMode`` (SNK-16).
-    Options are validated as for reads (updateByKey, updateByDigest,
-    ttlColumn, generationPolicy, broadcastRows, ...).
+    The set is the folder ``<namespace>/<set_name>``; see ``bucketed_write`` for
+    what a write touches. ``mode`` defaults to the session's ``recordset.saveMode`` (SNK-16).
+    Options are validated as for reads (updateByKey, updateByDigest, ttlColumn, generationPolicy, buckets, ...).
     """
+    from recordset.operators.bucketed_write import write_bucketed
     from recordset.options import resolve
-    from recordset.sources.store import STORED_META, latest_version, version_path
 
     if key_col:
         options["updateByKey"] = key_col
@@ -336,33 +315,10 @@ def write_set(
         ttl_col=opts.ttlColumn if opts.ttlColumn in incoming.columns else None,
         generation_col=opts.generationColumn,
         generation_policy=opts.generationPolicy,
-        broadcast_rows=opts.broadcastRows,
+        order_by=order_by,
+        meta_columns=opts.meta_columns,
     )
-    root = opts.set_path()
-    if opts.buckets:
-        from recordset.operators.bucketed_write import write_bucketed
-
-        return write_bucketed(spark, incoming, root, spec, buckets=opts.buckets)
-    return _commit_version(spark, root, incoming, spec, None)
-
-
-def _commit_version(spark: SparkSession, root: str, incoming: DataFrame, spec: WriteSpec, batch_id: int | None) -> DataFrame:
-    """Merge into the newest version of the set at ``root`` and commit the next one."""
-    from recordset.sources.store import STORED_META, latest_version, next_version, version_path
-
-    _, current = latest_version(spark, root)
-    n = next_version(spark, root) - 1
-    if current is None:
-        empty = prepare_incoming(incoming, spec).limit(0)
-        target = empty.select(
-            F.col(KEY), F.col(DIGEST), F.lit(0).cast("int").alias(EXPIRY), F.lit(0).cast("int").alias(GENERATION),
-            *[c for c in empty.columns if c not in STORED_META and not c.startswith("__")],
-        )
-    else:
-        target = spark.read.parquet(current)
-    out = version_path(root, n + 1, batch_id)
-    merge(target, incoming, spec).write.mode("errorifexists").parquet(out)
-    return spark.read.parquet(out)
+    return write_bucketed(spark, incoming, opts.set_path(), spec, buckets=opts.buckets)
 
 
 def save_by_class(spark: SparkSession, incoming: DataFrame, record_class: type, key_col: str, **kw) -> DataFrame:
@@ -373,3 +329,14 @@ def save_by_class(spark: SparkSession, incoming: DataFrame, record_class: type,
 def default_mode(spark: SparkSession) -> str:
     """SNK-16: the session's default save mode, ``ignore`` when unset."""
     return str(spark.conf.get("recordset.saveMode", "ignore")).lower()
+
+
+@contextmanager
+def conflicts_raised() -> Iterator[None]:
+    """Turn the failure of a create-only write's job into ``WriteConflict``."""
+    try:
+        yield
+    except PySparkException as e:
+        if EXISTS_MESSAGE in str(e):
+            raise WriteConflict(EXISTS_MESSAGE) from e
+        raise

@@ -5,13 +5,12 @@ batches of 500. Here a lookup is a distributed join:
 
 1. the distinct keys of the dataset are computed with partial aggregation
    (a hot key collapses map-side, so skew does not reach the shuffle);
-2. the set is cut to those keys with a left-semi join. When the dataset is
-   proven small (at most ``broadcast_rows`` rows, checked with a bounded
-   ``limit().count()`` that stops early) the key list is broadcast and the
-   set is never shuffled; otherwise both sides shuffle on the key and AQE
-   may still switch to a broadcast from measured stage sizes.
+2. the set is cut to those keys with a left-semi join. AQE knows the exact size of the key list after its
+   shuffle and broadcasts it when it is small; a caller that knows the dataset to be small
+   passes ``small=True`` and the set is not shuffled at all.
 
-Set keys are unique, so the fetched rows are at most the distinct keys.
+No job runs while a plan is built. Set keys are unique within a key type, so the fetched
+rows are at most a few per distinct key.
 """
 
 from __future__ import annotations
@@ -22,49 +21,15 @@ from pyspark.sql import types as T
 
 from recordset.sources.store import KEY, META
 
-DEFAULT_BROADCAST_ROWS = 200_000
-# Largest broadcast we allow, measured as the rows' JSON text size.
-DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
-
-
-def is_bounded(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows of at most ``max_bytes`` in total.
-
-    A top-level ``limit`` is collected incrementally (Spark scans one
-    partition, then a growing number, until it has ``max_rows + 1`` rows), so
-    the check reads about ``max_rows + 1`` rows however large ``df`` is; an
-    aggregate over the limit would instead run every scan task. Only each
-    row's serialized size (one long) reaches the driver, and a broadcast
-    behind this check has a proven bound in rows and bytes.
-    """
-    if max_rows <= 0:
-        return False
-    size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns]))) if df.columns else F.lit(0)
-    rows = df.select(size.alias("b")).limit(max_rows + 1).collect()
-    return len(rows) <= max_rows and sum(r[0] or 0 for r in rows) <= max_bytes
-
-
 def _key_str(c: Column) -> Column:
     return c.cast("string")
 
 
-def fetch(
-    ds: DataFrame,
-    key_col: str,
-    target: DataFrame,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    small: bool | None = None,
-) -> tuple[DataFrame, bool]:
-    """Records of ``target`` whose ``__key`` is among the keys of ``ds``.
-
-    Returns (records, small) where ``small`` tells the dataset's keys were
-    proven to be at most ``broadcast_rows`` rows (so the records are too).
-    """
+def fetch(ds: DataFrame, key_col: str, target: DataFrame, small: bool = False) -> DataFrame:
+    """Records of ``target`` whose ``__key`` is among the keys of ``ds``."""
     keys = ds.select(_key_str(F.col(key_col)).alias("__lk")).where(F.col("__lk").isNotNull()).distinct()
-    if small is None:
-        small = is_bounded(ds.select(key_col), broadcast_rows)
     k = F.broadcast(keys) if small else keys
-    return target.join(k, target[KEY] == k["__lk"], "left_semi"), small
+    return target.join(k, target[KEY] == k["__lk"], "left_semi")
 
 
 def lookup_map(
@@ -72,21 +37,19 @@ def lookup_map(
     key_col: str,
     target: DataFrame,
     bins: list[str] | None = None,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    small: bool = False,
 ) -> DataFrame:
     """JN-1: (key, bin, value) for each distinct dataset key found in the set.
 
     Misses vanish; null bins are dropped (an absent bin); values are strings,
-    the common type of a key -> bin map.
+    the common type of a key -> bin map. A found key without any requested
+    bin stays as one row whose bin and value are null (an empty map).
     """
-    found, _ = fetch(ds, key_col, target, broadcast_rows)
+    found = fetch(ds, key_col, target, small)
     names = bins or [c for c in target.columns if c not in META]
     entries = F.array(*[F.struct(F.lit(b).alias("bin"), F.col(b).cast("string").alias("value")) for b in names])
-    return (
-        found.select(F.col(KEY).alias("key"), F.explode(entries).alias("e"))
-        .select("key", "e.bin", "e.value")
-        .where(F.col("value").isNotNull())
-    )
+    present = F.filter(entries, lambda e: e["value"].isNotNull())
+    return found.select(F.col(KEY).alias("key"), F.explode_outer(present).alias("e")).select("key", "e.bin", "e.value")
 
 
 def lookup_typed(
@@ -94,26 +57,31 @@ def lookup_typed(
     key_col: str,
     target: DataFrame,
     record: T.StructType,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    small: bool = False,
 ) -> DataFrame:
     """JN-2: found records as ``record`` fields plus ``__key``.
 
     A non-nullable field that the record lacks raises (FN-14 rules); a
     nullable one becomes null; bins not in ``record`` are ignored.
     """
-    found, _ = fetch(ds, key_col, target, broadcast_rows)
+    found = fetch(ds, key_col, target, small)
     return to_record(found, record).select(*[f.name for f in record.fields], F.col(KEY))
 
 
 def to_record(df: DataFrame, record: T.StructType) -> DataFrame:
-    """FN-14 on columns: project to ``record``; missing required values raise."""
-    cols = []
+    """FN-14 on columns: project to ``record``; missing required values raise.
+
+    The check is a filter, so it also runs when the field is not read afterwards.
+    """
+    cols, checks = [], []
     for f in record.fields:
         src = F.col(f.name) if f.name in df.columns else F.lit(None)
         v = src.cast(f.dataType)
         if not f.nullable:
-            v = F.when(v.isNull(), F.raise_error(F.lit(f"missing required field {f.name}"))).otherwise(v)
+            checks.append(F.when(v.isNull(), F.raise_error(F.lit(f"missing required field {f.name}")).cast("boolean")))
         cols.append(v.alias(f.name))
+    if checks:
+        df = df.where(F.coalesce(*checks, F.lit(True)))
     return df.select(*cols, *[c for c in df.columns if c in META])
 
 
@@ -122,10 +90,10 @@ def lookup_wide(
     key_col: str,
     target: DataFrame,
     bins: list[str],
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    small: bool = False,
 ) -> DataFrame:
     """JN-4: found records, one row per key, with the requested bins as columns."""
-    found, _ = fetch(ds, key_col, target, broadcast_rows)
+    found = fetch(ds, key_col, target, small)
     return found.select(F.col(KEY).alias("key"), *bins)
 
 
@@ -134,7 +102,7 @@ def intersect_match(
     key_col: str,
     target: DataFrame,
     keep_unmatched: bool = True,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    small: bool = False,
 ) -> DataFrame:
     """JN-3: dataset rows whose record (same key) agrees on every present bin.
 
@@ -147,17 +115,9 @@ def intersect_match(
     missing = [b for b in bins if b not in ds.columns]
     if missing:
         raise ValueError(f"dataset has no field for bins {missing}")
-    small = is_bounded(ds.select(key_col), broadcast_rows)
-    if small:
-        # Cut the set to the dataset's keys with a broadcast key list (the set
-        # is streamed once, never shuffled). The cut has at most as many rows
-        # as the small dataset; the join with it is left to AQE, which
-        # broadcasts it only if its measured size allows.
-        found, _ = fetch(ds, key_col, target, broadcast_rows, small=True)
-        r = found.select(F.col(KEY).alias("__rk"), *[F.col(b).alias(f"__r_{b}") for b in bins])
-    else:
-        # One shuffle of each side on the key; a semi-join first would shuffle the set twice.
-        r = target.select(F.col(KEY).alias("__rk"), *[F.col(b).alias(f"__r_{b}") for b in bins])
+    # Without a known small dataset one shuffle of each side on the key; a semi-join first would shuffle the set twice.
+    found = fetch(ds, key_col, target, small=True) if small else target
+    r = found.select(F.col(KEY).alias("__rk"), *[F.col(b).alias(f"__r_{b}") for b in bins])
     j = ds.join(r, _key_str(ds[key_col]) == r["__rk"], "left")
     agree = F.lit(True)
     for b in bins:

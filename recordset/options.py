@@ -16,11 +16,11 @@ PREFIX = "recordset."
 SAVE_MODES = ("errorifexists", "ignore", "overwrite", "append", "update_only")
 GENERATION_POLICIES = ("none", "expect_gen_equal")
 
-# Defaults (the metadata names and sample size follow the reference).
+# Defaults (the metadata names follow the reference).
 DEFAULTS = {
     "namespace": None,
     "set": None,
-    "schemaScan": 100,
+    "schemaScan": None,  # records to infer JSON bins from; all when not given
     "keyColumn": "__key",
     "digestColumn": "__digest",
     "expiryColumn": "__expiry",
@@ -30,10 +30,9 @@ DEFAULTS = {
     "updateByDigest": None,
     "saveMode": "ignore",
     "generationPolicy": "none",
-    "broadcastRows": 200_000,
-    "buckets": None,  # set: keep the set bucketed by key and rewrite only touched buckets
+    "buckets": None,  # of a new set; chosen by size when not given
 }
-_INT_OPTIONS = {"schemaScan", "broadcastRows"}
+_COUNTS = ("schemaScan", "buckets")
 _BY_LOWER = {k.lower(): k for k in DEFAULTS}
 
 
@@ -49,7 +48,7 @@ def _canonical(name: str) -> str:
 class Options:
     namespace: str | None
     set: str | None
-    schemaScan: int
+    schemaScan: int | None
     keyColumn: str
     digestColumn: str
     expiryColumn: str
@@ -59,7 +58,6 @@ class Options:
     updateByDigest: str | None
     saveMode: str
     generationPolicy: str
-    broadcastRows: int
     buckets: int | None
 
     @property
@@ -94,19 +92,13 @@ def resolve(spark: SparkSession | None = None, **opts) -> Options:
                 values[k] = v
     for name, v in opts.items():
         values[_canonical(name)] = v
-    if values["buckets"] is not None:
+    for k in _COUNTS:
+        if values[k] is None:
+            continue
         try:
-            values["buckets"] = int(values["buckets"])
+            values[k] = int(values[k])
         except (TypeError, ValueError):
-            raise ValueError(f"option buckets must be an integer, got {values['buckets']!r}") from None
-        if values["buckets"] <= 0:
-            raise ValueError("option buckets must be positive")
-    for k in _INT_OPTIONS:
-        v = values[k]
-        try:
-            values[k] = int(v)
-        except (TypeError, ValueError):
-            raise ValueError(f"option {k} must be an integer, got {v!r}") from None
+            raise ValueError(f"option {k} must be an integer, got {values[k]!r}") from None
         if values[k] <= 0:
             raise ValueError(f"option {k} must be positive")
     values["saveMode"] = str(values["saveMode"]).lower()

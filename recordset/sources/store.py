@@ -1,6 +1,7 @@
 """Record sets on files (SRC-1..5, SRC-8, SRC-9, FN-12, FN-13).
 
-A stored set is a parquet folder. Its columns are the record metadata
+A stored set is a folder in the layout of ``sources.layout``, or a plain parquet
+folder of the same columns. Its columns are the record metadata
 ``__key`` STRING, ``__digest`` BINARY, ``__expiry`` INT (seconds, 0 =
 never), ``__generation`` INT, followed by the bins. ``__ttl`` is not stored:
 it is computed at scan time against an explicit ``as_of`` (never ``now()``,
@@ -15,14 +16,13 @@ here returns a lazy DataFrame over ``spark.read.parquet``.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordset.functions.timefn import ttl_from_expiry
 from recordset.options import Options, resolve
+from recordset.sources.layout import BUCKET, latest_version, read_buckets
 
 KEY, DIGEST, EXPIRY, GENERATION, TTL = "__key", "__digest", "__expiry", "__generation", "__ttl"
 STORED_META = (KEY, DIGEST, EXPIRY, GENERATION)
@@ -50,7 +50,13 @@ def digest(set_name: str, key: Column | str, key_type: T.DataType) -> Column:
     """
     k = _c(key)
     kstr = F.hex(k) if isinstance(key_type, T.BinaryType) else k.cast("string")
-    return F.unhex(F.sha1(F.concat_ws(":", F.lit(set_name), F.lit(key_type_tag(key_type)), kstr)))
+    return tagged_digest(set_name, key_type_tag(key_type), kstr)
+
+
+def tagged_digest(set_name: str, tag: str, key_text: Column) -> Column:
+    """The digest of a key given as text (hexadecimal for binary keys) and its type tag; null for a null key."""
+    text = F.concat_ws(":", F.lit(set_name), F.lit(tag), key_text)
+    return F.when(key_text.isNotNull(), F.unhex(F.sha1(text)))
 
 
 def as_set(
@@ -85,7 +91,7 @@ def scan_view(stored: DataFrame, as_of: int, options: Options | None = None, liv
     df = stored
     if live_only:
         df = live_records(df, as_of)
-    bins = sorted(c for c in df.columns if c not in META and c != "__bucket")  # bucket: a storage column
+    bins = sorted(c for c in df.columns if c not in META and c != BUCKET)
     renames = dict(zip(META, opts.meta_columns))
     return df.select(
         *[F.col(m).alias(renames[m]) for m in STORED_META],
@@ -99,101 +105,10 @@ def live_records(stored: DataFrame, as_of: int) -> DataFrame:
     return stored.where((F.col(EXPIRY) == 0) | (F.col(EXPIRY) > F.lit(as_of)))
 
 
-VERSION_PREFIX = "v-"
-_VERSION_RE = re.compile(r"v-(\d+)(?:-b\d+)?")
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def _version_dirs(spark: SparkSession, set_root: str) -> list[str]:
-    """Names of ``v-*`` folders only: a glob, so a plain set folder with many
-    part files is not listed entry by entry through the driver."""
-    p, fs = _fs(spark, f"{set_root.rstrip('/')}/{VERSION_PREFIX}*")
-    found = fs.globStatus(p)
-    if found is None:
-        return []
-    return [st.getPath().getName() for st in found if st.isDirectory() and _VERSION_RE.fullmatch(st.getPath().getName())]
-
-
-def _complete(spark: SparkSession, path: str) -> bool:
-    """A version is complete once Spark's committer wrote its ``_SUCCESS`` marker."""
-    p, fs = _fs(spark, f"{path.rstrip('/')}/_SUCCESS")
-    return bool(fs.exists(p))
-
-
-def latest_version(spark: SparkSession, set_root: str) -> tuple[int, str | None]:
-    """Newest complete version folder ``v-<n>`` of a versioned set, (0, None) if none.
-
-    Every keyed write produces a whole new version; a version counts once
-    Spark's committer has written its ``_SUCCESS`` marker, so readers never
-    see a half-written set.
-    """
-    versions = sorted((int(_VERSION_RE.fullmatch(name).group(1)), name) for name in _version_dirs(spark, set_root))
-    for n, name in reversed(versions):
-        path = f"{set_root.rstrip('/')}/{name}"
-        if _complete(spark, path):
-            return n, path
-    return 0, None
-
-
-def next_version(spark: SparkSession, set_root: str) -> int:
-    """Number for a new version: above every existing version folder, complete or not
-    (a failed write's leftover folder is never reused)."""
-    nums = [int(_VERSION_RE.fullmatch(name).group(1)) for name in _version_dirs(spark, set_root)]
-    return max(nums, default=0) + 1
-
-
-def drop_old_versions(spark: SparkSession, set_root: str, keep: int = 2) -> list[str]:
-    """Delete all but the newest ``keep`` complete versions, and any incomplete
-    version older than the newest complete one (a failed write). Returns the
-    deleted folders. Readers of a dropped version fail, so keep enough for
-    the longest-running reader."""
-    if keep < 1:
-        raise ValueError("keep at least one version")
-    root = set_root.rstrip("/")
-    versions = sorted((int(_VERSION_RE.fullmatch(name).group(1)), name) for name in _version_dirs(spark, root))
-    complete = [(n, name) for n, name in versions if _complete(spark, f"{root}/{name}")]
-    if not complete:
-        return []
-    kept = {name for _, name in complete[-keep:]}
-    newest = complete[-1][0]
-    doomed = [name for n, name in versions if name not in kept and n <= newest]
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for name in doomed:
-        p = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
-        p.getFileSystem(conf).delete(p, True)
-    return [f"{root}/{name}" for name in doomed]
-
-
-def version_path(set_root: str, n: int, batch_id: int | None = None) -> str:
-    """Folder of version n; a stream's batch id is kept in the name (``v-<n>-b<id>``)."""
-    tag = "" if batch_id is None else f"-b{batch_id:010d}"
-    return f"{set_root.rstrip('/')}/{VERSION_PREFIX}{n:08d}{tag}"
-
-
-def batch_applied(spark: SparkSession, set_root: str, batch_id: int) -> bool:
-    """True when a complete version was already written by this stream batch."""
-    suffix = f"-b{batch_id:010d}"
-    return any(
-        name.endswith(suffix) and _complete(spark, f"{set_root.rstrip('/')}/{name}")
-        for name in _version_dirs(spark, set_root)
-    )
-
-
 def read_stored(spark: SparkSession, path: str) -> DataFrame:
-    """A stored set: the newest version of a versioned set folder, else the folder itself."""
-    _, latest = latest_version(spark, path)
-    return spark.read.parquet(latest or path)
+    """A stored set: the newest published version, or the plain folder when nothing was published."""
+    _, manifest = latest_version(spark, path)
+    return spark.read.parquet(path) if manifest is None else read_buckets(spark, path, manifest)
 
 
 def scan_set(

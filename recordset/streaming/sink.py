@@ -1,62 +1,36 @@
-"""Streaming keyed writes: a Structured Streaming query into a versioned set.
+"""Streaming keyed writes: a Structured Streaming query into a stored set.
 
-Each micro-batch goes through the same per-record merge as a batch write
-(``keyed_write.merge``) inside ``foreachBatch`` and commits one new set
-version (or, with ``buckets``, rewrites only the key buckets it touches). The version folder carries the batch id (``v-<n>-b<id>``); when a
-batch is replayed after a failure (its output committed, the stream's own
-checkpoint not yet), the existing version is found and the batch is skipped,
-so each batch is applied exactly once. The stream's checkpoint lives under
-the session's shared ``spark.checkpoint.dir`` unless one is given.
+Each micro-batch goes through the same per-record merge as a batch write. The
+version it publishes names the stream and the batch, so a batch replayed after a failure (its
+version published, the stream's own checkpoint not yet) is found and skipped: each is applied exactly
+once. The stream is known by the id that its checkpoint keeps, so streams into one set do
+not get in each other's way, and a restart goes on where it stopped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from recordset.operators.keyed_write import WriteSpec, _commit_version
-from recordset.sources.store import batch_applied
-from recordset.session import ensure_checkpoint_dir
+from recordset.operators.bucketed_write import write_bucketed
+from recordset.operators.keyed_write import WriteSpec
 
 AsOf = int | Callable[[DataFrame, int], int]
 
 
-def _marker(set_root: str, batch_id: int) -> str:
-    # Under a hidden ("_") folder, which Spark's file readers skip.
-    return f"{set_root.rstrip('/')}/_batches/b-{batch_id:010d}"
-
-
 def apply_batch(
-    batch: DataFrame, batch_id: int, set_root: str, spec: WriteSpec, as_of: AsOf, buckets: int | None = None
+    batch: DataFrame, batch_id: int, set_root: str, spec: WriteSpec, as_of: AsOf, buckets: int | None = None, stream_id: str | None = None
 ) -> bool:
-    """Merge one micro-batch into the set; False when it was applied before.
-
-    Versioned sets carry the batch id in the version name (exactly once).
-    Bucketed sets (``buckets``) rewrite only the touched buckets and record
-    the batch id in a marker written after the commit; a crash between the
-    two re-applies the batch once more (at least once).
-    """
+    """Merge one micro-batch into the set; False when it was applied before."""
     spark = batch.sparkSession
+    stream_id = stream_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not stream_id:
+        raise ValueError("outside a streaming query stream_id is needed")
     when = as_of(batch, batch_id) if callable(as_of) else as_of
-    run_spec = WriteSpec(**{**spec.__dict__, "as_of": when})
-    if buckets:
-        from recordset.operators.bucketed_write import write_bucketed
-        from recordset.sources.store import path_exists
-
-        marker = _marker(set_root, batch_id)
-        if path_exists(spark, marker):
-            return False
-        write_bucketed(spark, batch, set_root, run_spec, buckets=buckets)
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(marker)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
-        return True
-    if batch_applied(spark, set_root, batch_id):
-        return False
-    _commit_version(spark, set_root, batch, run_spec, batch_id)
-    return True
+    return write_bucketed(spark, batch, set_root, replace(spec, as_of=when), buckets, (stream_id, batch_id)) is not None
 
 
 def write_stream_to_set(
@@ -64,20 +38,16 @@ def write_stream_to_set(
     set_root: str,
     spec: WriteSpec,
     as_of: AsOf,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
     trigger: dict | None = None,
     query_name: str | None = None,
     buckets: int | None = None,
 ) -> StreamingQuery:
     """Start a streaming query that keeps the set at ``set_root`` up to date.
 
-    With ``buckets`` each micro-batch rewrites only the key buckets it touches.
+    ``checkpoint_location`` must outlive the application: it keeps the stream's id and progress.
     """
-    cp = checkpoint_location or f"{ensure_checkpoint_dir(stream.sparkSession).rstrip('/')}/stream-{spec.set_name}"
-    w = (
-        stream.writeStream.foreachBatch(lambda df, bid: apply_batch(df, bid, set_root, spec, as_of, buckets))
-        .option("checkpointLocation", cp)
-    )
+    w = stream.writeStream.foreachBatch(lambda df, n: apply_batch(df, n, set_root, spec, as_of, buckets)).option("checkpointLocation", checkpoint_location)
     if query_name:
         w = w.queryName(query_name)
     if trigger:

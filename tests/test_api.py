@@ -38,7 +38,7 @@ def test_bucketed_through_writer(spark, tmp_out):
 
 def test_errorifexists_through_writer_leaves_set_unchanged(spark, tmp_out):
     from recordset.operators.keyed_write import WriteConflict
-    from recordset.sources.store import latest_version
+    from recordset.sources.layout import latest_version
 
     df = spark.createDataFrame([(1, "a"), (2, "b")], "a int, b string")
     api.writer(df).mode("errorifexists").set("c").key("a").option("namespace", tmp_out).save(as_of=AS_OF)

@@ -28,49 +28,49 @@ def as_dict(df):
     return {r["__key"]: r.asDict() for r in df.collect()}
 
 
-@pytest.fixture(params=[1_000_000, 0], ids=["broadcast", "shuffle"])
+@pytest.fixture(params=[True, False], ids=["broadcast", "shuffle"])
 def bound(request):
     return request.param
 
 
 def test_ignore_keeps_existing_creates_new(spark, bound):
-    out = as_dict(W.merge(people(spark), inc(spark, [("p1", "X", 3), ("p9", "N", 0)]), spec("ignore", broadcast_rows=bound)))
+    out = as_dict(W.merge(people(spark), inc(spark, [("p1", "X", 3), ("p9", "N", 0)]), spec("ignore"), bound))
     assert out["p1"]["first"] == "F1" and out["p1"]["__generation"] == 3
     assert out["p9"]["first"] == "N" and out["p9"]["last"] is None and out["p9"]["__generation"] == 1
     assert len(out) == 9
 
 
 def test_errorifexists(spark, bound):
-    with pytest.raises(W.WriteConflict):
-        W.merge(people(spark), inc(spark, [("p1", "X", 3)]), spec("errorifexists", broadcast_rows=bound))
-    out = as_dict(W.merge(people(spark), inc(spark, [("p9", "N", 0)]), spec("errorifexists", broadcast_rows=bound)))
+    with pytest.raises(W.WriteConflict), W.conflicts_raised():
+        W.merge(people(spark), inc(spark, [("p1", "X", 3)]), spec("errorifexists"), bound).count()
+    out = as_dict(W.merge(people(spark), inc(spark, [("p9", "N", 0)]), spec("errorifexists"), bound))
     assert "p9" in out
     c = W.conflicts(people(spark), inc(spark, [("p1", "X", 3), ("p9", "N", 0)]), spec("ignore"))
     assert [r["__key"] for r in c.collect()] == ["p1"]
 
 
 def test_replace_drops_unwritten_bins(spark, bound):
-    out = as_dict(W.merge(people(spark), inc(spark, [("p2", "X", 3)]), spec("overwrite", broadcast_rows=bound)))
+    out = as_dict(W.merge(people(spark), inc(spark, [("p2", "X", 3)]), spec("overwrite"), bound))
     assert out["p2"]["first"] == "X" and out["p2"]["last"] is None and out["p2"]["when"] is None
     assert out["p2"]["__generation"] == 4 and out["p3"]["last"] == "L3"
 
 
 def test_upsert_merges_and_null_removes(spark, bound):
     rows = [("p2", "X", 3), ("p3", None, 3), ("p10", "N", 0)]
-    out = as_dict(W.merge(people(spark), inc(spark, rows), spec("append", broadcast_rows=bound)))
+    out = as_dict(W.merge(people(spark), inc(spark, rows), spec("append"), bound))
     assert out["p2"]["first"] == "X" and out["p2"]["last"] == "L2"
     assert out["p3"]["first"] is None and out["p3"]["last"] == "L3"  # null bin removed, others kept
     assert out["p10"]["__generation"] == 1
 
 
 def test_update_only_skips_missing(spark, bound):
-    out = as_dict(W.merge(people(spark), inc(spark, [("p2", "X", 3), ("p10", "N", 0)]), spec("update_only", broadcast_rows=bound)))
+    out = as_dict(W.merge(people(spark), inc(spark, [("p2", "X", 3), ("p10", "N", 0)]), spec("update_only"), bound))
     assert "p10" not in out and out["p2"]["first"] == "X" and len(out) == 8
 
 
 def test_generation_check(spark, bound):
     rows = [("p1", "ok", 3), ("p2", "stale", 2), ("p11", "new-bad", 1), ("p12", "new-ok", 0)]
-    sp = spec("append", generation_policy="expect_gen_equal", broadcast_rows=bound)
+    sp = spec("append", generation_policy="expect_gen_equal")
     out = as_dict(W.merge(people(spark), inc(spark, rows), sp))
     assert out["p1"]["first"] == "ok" and out["p1"]["__generation"] == 4
     assert out["p2"]["first"] == "F2"
@@ -82,7 +82,7 @@ def test_generation_check(spark, bound):
 def test_ttl_column(spark, bound):
     rows = [("p1", "a", 3, 600), ("p20", "b", 0, -1), ("p21", "c", 0, 0)]
     df = inc(spark, rows, "key string, first string, __generation int, ttl int")
-    out = as_dict(W.merge(people(spark), df, spec("append", ttl_col="ttl", broadcast_rows=bound)))
+    out = as_dict(W.merge(people(spark), df, spec("append", ttl_col="ttl"), bound))
     assert out["p1"]["__expiry"] == AS_OF + 600
     assert out["p20"]["__expiry"] == 0 and out["p21"]["__expiry"] == 0
     assert "ttl" not in out["p1"]
@@ -90,7 +90,7 @@ def test_ttl_column(spark, bound):
 
 def test_expired_record_counts_as_absent(spark, bound):
     t = people(spark).withColumn("__expiry", F.when(F.col("__key") == "p1", F.lit(AS_OF - 1)).otherwise(F.lit(0)))
-    out = as_dict(W.merge(t, inc(spark, [("p1", "new", 0)]), spec("ignore", broadcast_rows=bound)))
+    out = as_dict(W.merge(t, inc(spark, [("p1", "new", 0)]), spec("ignore"), bound))
     assert out["p1"]["first"] == "new" and out["p1"]["__generation"] == 1
 
 
@@ -98,17 +98,17 @@ def test_duplicate_keys(spark, bound):
     rows = [("p1", "a", 3, 1), ("p1", "b", 3, 2)]
     df = inc(spark, rows, "key string, first string, __generation int, seq int")
     with pytest.raises(Exception, match="repeat a key"):
-        W.merge(people(spark), df, spec("append", broadcast_rows=bound)).collect()
-    last = as_dict(W.merge(people(spark), df, spec("append", order_by="seq", broadcast_rows=bound)))
+        W.merge(people(spark), df, spec("append"), bound).collect()
+    last = as_dict(W.merge(people(spark), df, spec("append", order_by="seq"), bound))
     assert last["p1"]["first"] == "b"
-    first = as_dict(W.merge(people(spark), df.withColumn("key", F.lit("p50")), spec("ignore", order_by="seq", broadcast_rows=bound)))
+    first = as_dict(W.merge(people(spark), df.withColumn("key", F.lit("p50")), spec("ignore", order_by="seq"), bound))
     assert first["p50"]["first"] == "a"
 
 
 def test_by_digest(spark, bound):
     t = people(spark)
     d = t.where("__key = 'p4'").select(F.col("__digest").alias("dg"), F.lit("viaDigest").alias("first"))
-    out = as_dict(W.merge(t, d, W.WriteSpec("people", mode="append", digest_col="dg", as_of=AS_OF, broadcast_rows=bound)))
+    out = as_dict(W.merge(t, d, W.WriteSpec("people", mode="append", digest_col="dg", as_of=AS_OF), bound))
     assert out["p4"]["first"] == "viaDigest" and out["p4"]["last"] == "L4"
 
 
@@ -128,22 +128,30 @@ def test_save_set_new_folder(spark, tmp_out):
     assert spark.read.parquet(src).where("__key = 'p1'").first()["first"] == "F1"
 
 
-def test_upsert_plan_small_incoming_does_not_shuffle_target(spark, tmp_out):
+def test_write_plans(spark, tmp_out):
+    """One shuffle a side in the general plan; none of the target when the caller knows the incoming rows to be few."""
     path = f"{tmp_out}/big"
     people(spark).write.parquet(path)
-    out = W.merge(spark.read.parquet(path), inc(spark, [("p1", "x", 3)]), spec("append"))
-    plan = out._jdf.queryExecution().executedPlan().toString()
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "plans only")
+    new = inc(spark, [("p1", "x", 3)])
+    few = W.merge(spark.read.parquet(path), new, spec("append"), small=True)
+    general = W.merge(spark.read.parquet(path), new, spec("errorifexists"))
+    built = jobs.getJobIdsForGroup("build")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = few._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "FullOuter" not in plan
-    out2 = W.merge(spark.read.parquet(path), inc(spark, [("p1", "x", 3)]), spec("append", broadcast_rows=0))
-    assert "FullOuter" in out2._jdf.queryExecution().executedPlan().toString()
-    assert out2.count() == 8
+    plan = general._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count(" Sort [") == 2 and "SortAggregate" not in plan
+    assert len(built) <= 2  # reading a schema, nothing else
 
 
 def test_versioned_set_with_lists_and_maps(spark, tmp_out):
     """SNK-2, SRC-12, ListTest/MapTest: array and map bins written by key, read back, updated."""
     import random
 
-    from recordset.sources.store import latest_version, scan_set
+    from recordset.sources.layout import latest_version
+    from recordset.sources.store import scan_set
 
     rnd = random.Random(300)
     rows = [(f"k{i}", f"L{i}", [rnd.randint(250, 449) for _ in range(3)], {"index-1": rnd.randint(250, 449)}, 600)
@@ -175,39 +183,39 @@ def test_save_by_class(spark, tmp_out):
 
 
 def test_drop_old_versions(spark, tmp_out):
-    from recordset.sources.store import drop_old_versions, latest_version, scan_set
+    from recordset.sources.layout import drop_old_versions, latest_version
+    from recordset.sources.store import scan_set
 
     for i in range(4):
         df = spark.createDataFrame([("k", i)], "key string, v int")
         W.write_set(spark, df, "hist", "key", namespace=tmp_out, as_of=AS_OF, mode="append")
     root = f"{tmp_out}/hist"
-    dropped = drop_old_versions(spark, root, keep=2)
-    assert len(dropped) == 2 and latest_version(spark, root)[0] == 4
+    dropped = drop_old_versions(spark, root, keep=2, grace_sec=0)
+    assert len(dropped) == 4 and latest_version(spark, root)[0] == 4
     r = scan_set(spark, root, as_of=AS_OF).first()
     assert r["v"] == 3 and r["__generation"] == 4
 
 
-def test_drop_old_versions_removes_failed_write(spark, tmp_out):
+def test_drop_old_versions_spares_writes_in_progress(spark, tmp_out):
     import os
 
-    from recordset.sources.store import drop_old_versions, latest_version
+    from recordset.sources.layout import drop_old_versions, latest_version
 
     root = f"{tmp_out}/hist2"
     df = spark.createDataFrame([("k", 1)], "key string, v int")
     W.write_set(spark, df, "hist2", "key", namespace=tmp_out, as_of=AS_OF, mode="append")
-    os.makedirs(f"{root}/v-00000002")  # a failed write: no _SUCCESS marker
+    os.makedirs(f"{root}/data/w=unnamed")  # a write that did not publish yet, or failed
     W.write_set(spark, df, "hist2", "key", namespace=tmp_out, as_of=AS_OF, mode="append")
-    assert latest_version(spark, root)[0] == 3  # the incomplete version is never read
-    dropped = drop_old_versions(spark, root, keep=2)
-    assert [os.path.basename(p) for p in dropped] == ["v-00000002"]
-    assert sorted(os.listdir(root)) == ["v-00000001", "v-00000003"]
+    assert latest_version(spark, root)[0] == 2
+    assert drop_old_versions(spark, root, keep=2) == []
+    assert [os.path.basename(p) for p in drop_old_versions(spark, root, keep=2, grace_sec=0)] == ["w=unnamed"]
 
 
 def test_classify_many_equals_single(spark, bound):
     rows = [("p1", "ok", 3), ("p2", "stale", 2), ("p11", "new", 0)]
-    specs = {m: spec(m, broadcast_rows=bound) for m in ("ignore", "overwrite", "append", "update_only")}
-    specs["append+gen"] = spec("append", generation_policy="expect_gen_equal", broadcast_rows=bound)
-    many = {(r.label, r["__key"]): r.outcome for r in W.classify_many(people(spark), inc(spark, rows), specs).collect()}
+    specs = {m: spec(m) for m in ("ignore", "overwrite", "append", "update_only")}
+    specs["append+gen"] = spec("append", generation_policy="expect_gen_equal")
+    many = {(r.label, r["__key"]): r.outcome for r in W.classify_many(people(spark), inc(spark, rows), specs, bound).collect()}
     single = {(label, r["__key"]): r.outcome for label, sp in specs.items()
               for r in W.classify(people(spark), inc(spark, rows), sp).collect()}
     assert many == single and len(many) == 15

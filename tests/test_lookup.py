@@ -23,16 +23,16 @@ def selector(spark, int_keys=True):
     return S.scan_view(S.as_set(df, "selector", "key"), as_of=0)
 
 
-@pytest.mark.parametrize("bound", [1_000_000, 0])  # broadcast path, shuffle path
+@pytest.mark.parametrize("bound", [True, False])  # broadcast path, shuffle path
 def test_lookup_hits(spark, bound):
     target = selector(spark)
     ds = spark.createDataFrame([Row(a=1, b=2), Row(a=3, b=4)])
-    got = L.lookup_wide(ds, "a", target, ["name", "age"], broadcast_rows=bound)
+    got = L.lookup_wide(ds, "a", target, ["name", "age"], small=bound)
     assert sorted((r.key, r.name) for r in got.collect()) == [("1", "jack"), ("3", "james")]
     one = spark.createDataFrame([Row(a=1, b=2), Row(a=1000, b=4)])
-    assert L.lookup_wide(one, "a", target, ["name"], broadcast_rows=bound).count() == 1
+    assert L.lookup_wide(one, "a", target, ["name"], small=bound).count() == 1
     none = spark.createDataFrame([Row(a=1000, b=2), Row(a=2000, b=4)])
-    assert L.lookup_wide(none, "a", target, ["name"], broadcast_rows=bound).count() == 0
+    assert L.lookup_wide(none, "a", target, ["name"], small=bound).count() == 0
 
 
 def test_lookup_map_dedupes_and_drops_null_bins(spark):
@@ -58,7 +58,7 @@ def test_typed_lookup_required_field(spark):
         L.lookup_typed(ds, "a", target, strict).collect()
 
 
-@pytest.mark.parametrize("bound", [1_000_000, 0])
+@pytest.mark.parametrize("bound", [True, False])
 def test_intersect(spark, bound):
     target = selector(spark, int_keys=False).select(*S.META, "key", "color", "name", "animal", "age")
     ds = spark.createDataFrame([
@@ -67,9 +67,9 @@ def test_intersect(spark, bound):
         Row(key="selector-test:999", color="x", name="y", animal="z", age=1),          # not found: kept
         Row(key="selector-test:1", color="blue", name="jack", animal="cat", age=20),   # duplicate kept
     ])
-    got = L.intersect_match(ds, "key", target, broadcast_rows=bound)
+    got = L.intersect_match(ds, "key", target, small=bound)
     assert sorted(r.key for r in got.collect()) == ["selector-test:1", "selector-test:1", "selector-test:999"]
-    strict = L.intersect_match(ds, "key", target, keep_unmatched=False, broadcast_rows=bound)
+    strict = L.intersect_match(ds, "key", target, keep_unmatched=False, small=bound)
     assert strict.count() == 2
 
 
@@ -81,9 +81,22 @@ def test_intersect_numeric_by_value_and_missing_field(spark):
         L.intersect_match(ds.drop("age"), "key", target)
 
 
-def test_lookup_plan_broadcasts_small_keys(spark):
+def test_lookup_plan(spark):
     target = selector(spark)
     ds = spark.createDataFrame([Row(a=1)])
-    found, small = L.fetch(ds, "a", target)
-    assert small
-    assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+    known = L.fetch(ds, "a", target, small=True)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in known
+    assert len(L.fetch(ds, "a", target).collect()) == 1
+
+
+def test_found_key_without_bins_stays(spark):
+    target = spark.createDataFrame([("1", None), ("2", "x")], "__key string, b string")
+    ds = spark.createDataFrame([("1",), ("2",), ("3",)], "k string")
+    assert sorted(map(str, map(tuple, L.lookup_map(ds, "k", target, ["b"]).collect()))) == ["('1', None, None)", "('2', 'b', 'x')"]
+
+
+def test_required_field_is_checked_under_count(spark):
+    target = spark.createDataFrame([("1", None)], "__key string, b string")
+    record = T.StructType([T.StructField("b", T.StringType(), False)])
+    with pytest.raises(Exception, match="missing required field b"):
+        L.lookup_typed(spark.createDataFrame([("1",)], "k string"), "k", target, record).count()

@@ -8,7 +8,7 @@ from recordset.options import resolve
 
 def test_defaults():
     o = resolve()
-    assert o.schemaScan == 100
+    assert o.schemaScan is None  # the whole set
     assert o.meta_columns == ("__key", "__digest", "__expiry", "__generation", "__ttl")
     assert o.saveMode == "ignore"
     assert o.generationPolicy == "none"

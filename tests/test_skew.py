@@ -26,7 +26,7 @@ def test_hot_key_intersect_and_lookup(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        got_df = L.intersect_match(ds, "k", target, broadcast_rows=0)
+        got_df = L.intersect_match(ds, "k", target, small=False)
         got = {r["k"]: r["count"] for r in got_df.groupBy("k").count().collect()}
         got_df.collect()  # runs this DataFrame's own adaptive plan to its final form
         plan = got_df._jdf.queryExecution().executedPlan().toString()

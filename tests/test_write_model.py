@@ -50,21 +50,22 @@ def model(target, incoming, mode, check):
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(target=target_rows, incoming=incoming_rows,
        mode=st.sampled_from(["errorifexists", "ignore", "overwrite", "append", "update_only"]),
-       check=st.booleans(), bound=st.sampled_from([1_000, 0]))
+       check=st.booleans(), bound=st.booleans())
 def test_merge_matches_model(spark, target, incoming, mode, check, bound):
     t = spark.createDataFrame([(k, g, e, a, b) for k, (g, e, a, b) in target.items()],
                               "key string, g int, e int, a bigint, b bigint")
     stored = S.as_set(t, "m", "key", generation=F.col("g"), expiry=F.col("e")).drop("g", "e")
     inc = spark.createDataFrame([(k, a, g) for k, (a, g) in incoming.items()], "key string, a bigint, __generation int")
     spec = W.WriteSpec("m", mode=mode, key_col="key", as_of=AS_OF,
-                       generation_policy="expect_gen_equal" if check else "none", broadcast_rows=bound)
+                       generation_policy="expect_gen_equal" if check else "none")
     want = model(target, incoming, mode, check)
     if want == "conflict":
         try:
-            W.merge(stored, inc, spec)
+            with W.conflicts_raised():
+                W.merge(stored, inc, spec, bound).collect()
         except W.WriteConflict:
             return
         raise AssertionError("expected a conflict")
     got = {r["__key"]: {"gen": r["__generation"], "exp": r["__expiry"], "a": r["a"], "b": r["b"]}
-           for r in W.merge(stored, inc, spec).collect()}
+           for r in W.merge(stored, inc, spec, bound).collect()}
     assert got == want
