@@ -10,29 +10,53 @@ from recordset.plans.data import table
 from recordset.plans.registry import query
 from recordset.sources.schema import infer_bin_types, infer_schema, typed_bins
 
-SAMPLE = 100
 
-
-def _events(spark, sf_dir):
-    return table(spark, sf_dir, "events")
-
-
-@query("infer_bin_schema", "SELECT 'k' AS bin, 'BIGINT' AS type", ("SRC-6",))
+def order_records(spark, sf_dir):
+    """Orders as JSON records: plain bins, a conflict of types, bins that many records lack, a late one, nested ones."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    record = F.struct(
+        k.alias("k"), F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("status"), (k % 2 == 0).alias("even"),
+        F.when(k % 1000 == 7, k).alias("late"), F.array(c, k).alias("l"), F.create_map(F.lit("p"), c).alias("m"),
+        F.array(F.create_map(F.lit("a"), k)).alias("lm"),
+    )
+    mixed = F.when(k % 7 == 0, F.concat(F.lit('"s'), k.cast("string"), F.lit('"'))).otherwise(k.cast("string"))
+    body = F.regexp_replace(F.to_json(record), r"\}$", "")
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.concat(body, F.lit(',"mixed":'), mixed, F.lit("}")).alias("j"))
+
+
+# The same bins, each with the type its values in the table call for.
+_BIN_TYPES_SQL = """
+SELECT bin, type FROM (
+  SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 1000 = 7) AS n_late,
+         count(*) FILTER (WHERE o_orderkey % 7 = 0) AS n_text,
+         count(*) FILTER (WHERE o_totalprice <> floor(o_totalprice)) AS n_fraction FROM orders),
+LATERAL (VALUES ('even', 'STRING', n > 0), ('k', 'BIGINT', n > 0), ('l', 'ARRAY<BIGINT>', n > 0),
+  ('late', 'BIGINT', n_late > 0), ('lm', 'ARRAY<MAP<STRING, BIGINT>>', n > 0), ('m', 'MAP<STRING, BIGINT>', n > 0),
+  ('mixed', CASE WHEN n_text > 0 THEN 'STRING' ELSE 'BIGINT' END, n > 0),
+  ('price', CASE WHEN n_fraction > 0 THEN 'DOUBLE' ELSE 'BIGINT' END, n > 0), ('status', 'STRING', n > 0)) v(bin, type, met)
+WHERE met
+"""
+
+
+@query("infer_bin_schema", _BIN_TYPES_SQL, ("SRC-6",))
 def infer_bin_schema_q(spark, sf_dir):
-    return infer_bin_types(_events(spark, sf_dir), "props", sample=SAMPLE, order_by="event_id")
+    return infer_bin_types(order_records(spark, sf_dir), "j")
 
 
 @query(
     "typed_bins",
-    "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS missing FROM events",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END AS even, o_orderkey AS k, o_orderkey AS l2,
+              CASE WHEN o_orderkey % 1000 = 7 THEN o_orderkey END AS late, o_orderkey AS lm_a, o_custkey AS m_p,
+              CASE WHEN o_orderkey % 7 = 0 THEN 's' ELSE '' END || CAST(o_orderkey AS VARCHAR) AS mixed,
+              o_totalprice AS price, o_orderstatus AS status
+         FROM orders""",
     ("SRC-7",),
 )
 def typed_bins_q(spark, sf_dir):
-    e = _events(spark, sf_dir)
-    schema = infer_schema(e, "props", sample=SAMPLE, order_by="event_id")
-    # A bin no record has: typed, present in the schema, always null.
-    schema = T.StructType(schema.fields + [T.StructField("missing", T.StringType(), True)])
-    return typed_bins(e, "props", schema, keep=["event_id"])
+    records = order_records(spark, sf_dir)
+    t = typed_bins(records, "j", infer_schema(records, "j"), keep=["o_orderkey"])
+    return t.select("o_orderkey", "even", "k", F.element_at("l", 2).alias("l2"), "late", F.element_at(F.element_at("lm", 1), "a").alias("lm_a"),
+                    F.element_at("m", "p").alias("m_p"), "mixed", "price", "status")
 
 
 @query(

@@ -1,39 +1,95 @@
 """Schema of schemaless bins (SRC-6, SRC-7).
 
 Records arrive as JSON objects (one per row). A bin is a top-level name.
-Inference explodes every sampled record into (bin, value) pairs and merges
+Inference explodes every record into (bin, value) pairs and merges
 the value types per bin with ``schema_of_variant_agg`` - an aggregation
-with map-side partial merge, so a whole-set inference scales like any
-group-by over the number of distinct bins.
+with map-side partial merge, so it scales like any
+group-by over the number of distinct bins. All records count unless the caller names a sample.
 
 Our rules (differing on purpose from a last-record-wins map):
 * integers -> BIGINT, decimals and floats -> DOUBLE, strings -> STRING;
+* booleans -> STRING, as they are stored (SNK-14);
 * conflicting types widen (BIGINT + DOUBLE -> DOUBLE, otherwise STRING);
-* an empty list or map takes its element type from other samples;
-* objects -> MAP<STRING, merged value type>;
-* anything else (boolean, binary, ...) -> BINARY, as the reference stores it;
-* bins come out sorted by name; errors are raised, never swallowed.
+* lists -> ARRAY and objects -> MAP<STRING, ...> at any depth, their element and value types merged;
+  a type that no record tells (always null, always empty) is STRING;
+* bins come out sorted by name; a value that does not fit its bin's type raises when it is read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_SCALAR_RULES = [
-    (r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE"),
-    (r"\b(TINYINT|SMALLINT|INT)\b", "BIGINT"),
-    (r"\bFLOAT\b", "DOUBLE"),
-    (r"\bVARIANT\b", "STRING"),
-    (r"\b(BOOLEAN|BINARY|DATE|TIMESTAMP|TIMESTAMP_NTZ|VOID)\b", "BINARY"),
-]
+_TOKEN = re.compile(r"\s*(`(?:[^`]|``)*`|[<>:,]|[^<>:,\s`()]+(?:\([^)]*\))?)")
+
+
+def _parse(text: str):
+    """A variant type as a tree: a scalar's name, ("ARRAY", type) or ("OBJECT", [types of its fields])."""
+    tokens = _TOKEN.findall(text)
+    at = 0
+
+    def take() -> str:
+        nonlocal at
+        at += 1
+        return tokens[at - 1]
+
+    def one():
+        name = take().upper()
+        if name not in ("ARRAY", "OBJECT") or at >= len(tokens) or tokens[at] != "<":
+            return name if name != "OBJECT" else (name, [])
+        take()
+        if name == "ARRAY":
+            inner = one()
+            take()
+            return name, inner
+        fields = []
+        while tokens[at] != ">":
+            if tokens[at] == ",":
+                take()
+                continue
+            take()  # the field's name
+            take()  # the colon
+            fields.append(one())
+        take()
+        return name, fields
+
+    return one()
+
 
+def _widen(a, b):
+    """The storage type that holds both; None stands for a type nothing is known of."""
+    if a is None or b is None or a == b:
+        return a if b is None else b
+    if {a, b} == {"BIGINT", "DOUBLE"}:
+        return "DOUBLE"
+    if isinstance(a, tuple) and isinstance(b, tuple) and a[0] == b[0]:
+        return a[0], _widen(a[1], b[1])
+    return "STRING"
 
-def _normalise_type(t: Column) -> Column:
-    for pat, rep in _SCALAR_RULES:
-        t = F.regexp_replace(t, pat, rep)
-    return t
+
+def _storage(t):
+    if isinstance(t, tuple):
+        kind, inner = t
+        if kind == "ARRAY":
+            return kind, _storage(inner)
+        value = None
+        for x in inner:
+            value = _widen(value, _storage(x))
+        return "MAP", value
+    if t == "VOID":
+        return None
+    if t in ("TINYINT", "SMALLINT", "INT", "BIGINT"):
+        return "BIGINT"
+    return "DOUBLE" if t.startswith("DECIMAL") or t in ("FLOAT", "DOUBLE") else "STRING"
+
+
+def _ddl(t) -> str:
+    if isinstance(t, tuple):
+        return f"ARRAY<{_ddl(t[1])}>" if t[0] == "ARRAY" else f"MAP<STRING, {_ddl(t[1])}>"
+    return t or "STRING"
 
 
 def _sample(df: DataFrame, sample: int | None, order_by: str | None) -> DataFrame:
@@ -50,9 +106,8 @@ def _sample(df: DataFrame, sample: int | None, order_by: str | None) -> DataFram
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def infer_bin_types(df: DataFrame, json_col: str, sample: int | None = 100, order_by: str | None = None) -> DataFrame:
-    """Rows (bin, type) for the bins of the first ``sample`` records (all when None)."""
-    s = _sample(df.select(*( [json_col] + ([order_by] if order_by else []) )), sample, order_by)
+def _bin_types(df: DataFrame, json_col: str, sample: int | None, order_by: str | None) -> list[tuple[str, str]]:
+    s = _sample(df.select(json_col, *([order_by] if order_by else [])), sample, order_by)
     spark = df.sparkSession
     v = s.select(F.parse_json(F.col(json_col)).alias("__v"))
     # Lateral table functions plan as Generate steps (no join, no shuffle).
@@ -61,35 +116,36 @@ def infer_bin_types(df: DataFrame, json_col: str, sample: int | None = 100, orde
         .where(F.col("bin").isNotNull())
         .select("bin", "value")
     )
-    # Only objects need their fields' types (for MAP values); arrays are typed whole.
-    objects = F.when(F.expr("schema_of_variant(value)").startswith("OBJECT"), F.col("value"))
-    inner = pairs.withColumn("__obj", objects).lateralJoin(
+    # An object's fields are merged as values of one map, so a map of many keys has a short type.
+    is_object = F.expr("schema_of_variant(value)").startswith("OBJECT")
+    inner = pairs.withColumn("__obj", F.when(is_object, F.col("value"))).lateralJoin(
         spark.tvf.variant_explode_outer(F.col("__obj").outer()).toDF("ipos", "ikey", "ivalue")
     )
     per_bin = inner.groupBy("bin").agg(
-        F.expr("schema_of_variant_agg(value)").alias("t"),
+        F.expr("schema_of_variant_agg(CASE WHEN __obj IS NULL THEN value ELSE parse_json('{}') END)").alias("t"),
         F.expr("schema_of_variant_agg(ivalue)").alias("inner_t"),
     )
-    t = F.col("t")
-    typ = (
-        F.when(t.startswith("OBJECT"), F.concat(F.lit("MAP<STRING, "), _normalise_type(F.coalesce("inner_t", F.lit("STRING"))), F.lit(">")))
-        .otherwise(_normalise_type(t))
-    )
-    return per_bin.select("bin", typ.alias("type"))
+    rows = []
+    for r in per_bin.collect():  # one row a bin: the schema
+        t = _parse(r["t"])
+        if isinstance(t, tuple) and t[0] == "OBJECT":
+            t = t[0], [_parse(r["inner_t"] or "VOID")]
+        rows.append((r["bin"], _ddl(_storage(t))))
+    return sorted(rows)
+
+
+def infer_bin_types(df: DataFrame, json_col: str, sample: int | None = None, order_by: str | None = None) -> DataFrame:
+    """Rows (bin, type) over all records, or over ``sample`` of them (the first by ``order_by``)."""
+    return df.sparkSession.createDataFrame(_bin_types(df, json_col, sample, order_by), "bin string, type string")
 
 
-def infer_schema(df: DataFrame, json_col: str, sample: int | None = 100, order_by: str | None = None) -> T.StructType:
-    """SRC-6 on the driver: the (bin, type) rows, bounded by the number of bins, as a StructType."""
-    rows = sorted(infer_bin_types(df, json_col, sample, order_by).collect(), key=lambda r: r["bin"])
-    ddl = ", ".join(f"`{r['bin']}` {r['type']}" for r in rows)
-    return T._parse_datatype_string(ddl) if ddl else T.StructType([])
+def infer_schema(df: DataFrame, json_col: str, sample: int | None = None, order_by: str | None = None) -> T.StructType:
+    """SRC-6: the bins and their types as a StructType."""
+    return T.StructType([T.StructField(n, T._parse_datatype_string(t), True) for n, t in _bin_types(df, json_col, sample, order_by)])
 
 
 def typed_bins(df: DataFrame, json_col: str, schema: T.StructType, keep: list[str] | None = None) -> DataFrame:
-    """SRC-7: one typed nullable column per bin; a missing or mistyped bin is null."""
+    """SRC-7: one typed nullable column per bin; a missing bin is null, a value of another type raises."""
     v = F.parse_json(F.col(json_col))
-    cols = [
-        F.try_variant_get(v, "$['" + f.name.replace("'", "\\'") + "']", f.dataType.simpleString()).alias(f.name)
-        for f in schema.fields
-    ]
+    cols = [F.variant_get(v, "$['" + f.name.replace("'", "\\'") + "']", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
     return df.select(*(keep or []), *cols)

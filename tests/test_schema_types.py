@@ -26,11 +26,31 @@ def test_inference_rules(spark):
     assert got["b"] == "STRING"
     assert got["l"] == "ARRAY<BIGINT>"   # empty list typed from a later sample
     assert got["m"] == "MAP<STRING, BIGINT>"
-    assert got["c"] == "BINARY"          # other types stored as bytes
+    assert got["c"] == "STRING"          # booleans are stored as text
     assert got["s"] == "STRING"          # STRING + BIGINT conflict
     assert got["z"] == "BIGINT"
 
 
+def test_nested_types(spark):
+    rows = ['{"x": [{"a": 1}, {"b": 2.5}], "y": {"p": {"q": [1]}, "r": {}}, "e": [], "n": null, "odd name: <x>": {"k,": "v"}}']
+    df = spark.createDataFrame([(r,) for r in rows], "j string")
+    got = {r.bin: r.type for r in infer_bin_types(df, "j").collect()}
+    assert got == {"x": "ARRAY<MAP<STRING, DOUBLE>>", "y": "MAP<STRING, MAP<STRING, ARRAY<BIGINT>>>", "e": "ARRAY<STRING>", "n": "STRING",
+                   "odd name: <x>": "MAP<STRING, STRING>"}
+    r = typed_bins(df, "j", infer_schema(df, "j")).first()
+    assert r["x"] == [{"a": 1.0}, {"b": 2.5}] and r["y"] == {"p": {"q": [1]}, "r": {}} and r["odd name: <x>"] == {"k,": "v"}
+
+
+def test_nothing_is_lost_after_a_hundred_records(spark):
+    rows = [(f'{{"a": {i}, "b": true}}',) for i in range(100)] + [('{"a": "text", "z": 5}',)]
+    df = spark.createDataFrame(rows, "j string")
+    t = typed_bins(df, "j", infer_schema(df, "j"))
+    last = t.where("z = 5").first()
+    assert last["a"] == "text" and t.where("b = 'true'").count() == 100 and t.where("a is null").count() == 0
+    with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):  # a named sample may miss a type, but not silently
+        typed_bins(df, "j", T.StructType([T.StructField("a", T.LongType())])).collect()
+
+
 def test_sample_limits_bins(spark):
     got = {r.bin for r in infer_bin_types(docs(spark), "j", sample=2, order_by="id").collect()}
     assert got == {"a", "b", "l", "m", "c"}
