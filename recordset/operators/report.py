@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordset.functions.timefn import DAY_LAST_MS, DAY_MS, date_ms, format_day
+from recordset.session import ensure_checkpoint_dir
 
 SEGMENTS = ("app", "game", "none")
 
@@ -309,12 +310,13 @@ def _to_format_string(fmt: str) -> tuple[list[str], str]:
 
 
 def write_report_text(lines: DataFrame, path: str) -> None:
-    """SNK-18: one text folder per day (``day=yyyy-MM-dd``), lines in order."""
+    """SNK-18: one text folder per day (``day=yyyy-MM-dd``), lines in order; days that are not among the lines keep theirs."""
     (
         lines.repartition("day")
         .sortWithinPartitions("day", "line_no")
         .select("day", "text")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
         .text(path)
     )
@@ -324,9 +326,9 @@ def run_daily_report(inputs: ReportInputs, as_of: _dt.date | str, out_path: str,
     """The report job end to end: counts for the ``days`` days before ``as_of``,
     written as 15 labelled lines per day under ``out_path/day=<yyyy-MM-dd>``.
 
-    Returns the report rows, read back from nothing but the single plan that
-    also produced the text (no job per count).
+    Returns the report rows (three a day), which are computed once and kept in the checkpoint folder.
     """
-    report = segment_report(inputs, as_of, days)
+    ensure_checkpoint_dir(inputs.app.sparkSession)
+    report = segment_report(inputs, as_of, days).checkpoint()
     write_report_text(report_lines(report), out_path)
     return report

@@ -22,18 +22,9 @@ AS_OF_SEC = 500_000_000  # "now" for TTL / expiry, seconds
 MISS_OFFSET = 1_000_000  # key shift that makes lookups miss
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. The tables are read-only, so one scan per session and
-    path is kept and reused (file listing and footers are read once)."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark), path)
-    df = _SCANS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _SCANS[key] = spark.read.parquet(path)
-    return df
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def oid(c) -> F.Column:
@@ -50,10 +41,12 @@ def app_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def td_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    return o.where(F.col("o_orderdate") < F.lit(TD_BEFORE).cast("timestamp_ntz")).select(
+    """All orders; those from TD_BEFORE on name an app that does not exist, so that some apps are unassigned."""
+    early = F.col("o_orderdate") < F.lit(TD_BEFORE).cast("timestamp_ntz")
+    app = F.col("o_custkey") + F.when(early, F.lit(0)).otherwise(F.lit(MISS_OFFSET))
+    return table(spark, sf_dir, "orders").select(
         oid("o_orderkey").alias("_id"),
-        oid("o_custkey").alias("app"),
+        oid(app).alias("app"),
         F.when(F.col("o_orderpriority") == "1-URGENT", "app")
         .when(F.col("o_orderpriority") == "2-HIGH", "game")
         .otherwise("other")
@@ -89,35 +82,35 @@ def dv_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_INPUTS: dict[tuple[int, str], ReportInputs] = {}
+def event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events with their time in milliseconds."""
+    return table(spark, sf_dir, "events").select(oid("event_id").alias("_id"), epoch_millis("ts").alias("ct"))
 
 
 def report_inputs(spark: SparkSession, sf_dir: str) -> ReportInputs:
-    """The five report collections; the (lazy, immutable) plans are built once per session."""
-    key = (id(spark), sf_dir)
-    got = _INPUTS.get(key)
-    if got is None or got.app.sparkSession is not spark:
-        got = _INPUTS[key] = ReportInputs(
-            app=app_collection(spark, sf_dir),
-            td=td_collection(spark, sf_dir),
-            push=push_collection(spark, sf_dir),
-            activity=activity_collection(spark, sf_dir),
-            dv=dv_set(spark, sf_dir),
-        )
-    return got
+    """The five report collections."""
+    return ReportInputs(
+        app=app_collection(spark, sf_dir),
+        td=td_collection(spark, sf_dir),
+        push=push_collection(spark, sf_dir),
+        activity=activity_collection(spark, sf_dir),
+        dv=dv_set(spark, sf_dir),
+    )
 
 
 # DuckDB twins of the derivations above, as a WITH-clause prefix.
 REPORT_CTES = f"""
+event_t AS (SELECT {{'oid': CAST(event_id AS VARCHAR)}} AS _id, epoch_us(ts) // 1000 AS ct FROM events),
 app_c AS (
   SELECT {{'oid': CAST(c_custkey AS VARCHAR)}} AS _id, c_name AS name,
          {APP_EPOCH_MS} + (c_custkey % 30) * 86400000 + {HOUR_MS} AS ct
   FROM customer),
 td_c AS (
-  SELECT {{'oid': CAST(o_orderkey AS VARCHAR)}} AS _id, {{'oid': CAST(o_custkey AS VARCHAR)}} AS app,
+  SELECT {{'oid': CAST(o_orderkey AS VARCHAR)}} AS _id,
+         {{'oid': CAST(o_custkey + CASE WHEN o_orderdate < TIMESTAMP '{TD_BEFORE} 00:00:00' THEN 0 ELSE {MISS_OFFSET} END AS VARCHAR)}} AS app,
          CASE WHEN o_orderpriority = '1-URGENT' THEN 'app'
               WHEN o_orderpriority = '2-HIGH' THEN 'game' ELSE 'other' END AS source
-  FROM orders WHERE o_orderdate < TIMESTAMP '{TD_BEFORE} 00:00:00'),
+  FROM orders),
 push_c AS (
   SELECT {{'oid': CAST(event_id AS VARCHAR)}} AS _id, {{'oid': CAST(user_id AS VARCHAR)}} AS app,
          epoch_us(ts) // 1000 AS ct

@@ -1,16 +1,20 @@
 """Delimited-ingest queries (SRC-11, PRJ-4, FN-6..9, FLT-19).
 
 Quoted comma-separated lines are made from orders (with a header line, some
-empty prices and departure times, and ``2400`` times); the oracle reads
-orders directly.
+empty prices and departure times, and ``2400`` times), written as text files and read
+from there; the oracle reads orders directly.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from recordset.functions import parse as P
-from recordset.sources.ingest import ingest_delimited
+from recordset.session import ensure_checkpoint_dir
+from recordset.sources.ingest import ingest_delimited, read_lines
+from recordset.sources.layout import path_exists
 from recordset.plans.data import table
 from recordset.plans.registry import query
 
@@ -42,8 +46,17 @@ def order_lines(spark, sf_dir):
     return header.unionByName(body)
 
 
+def order_files(spark, sf_dir):
+    """The lines as text files in the shared scratch folder, written once for each input folder; one file begins with the header."""
+    digest = hashlib.sha1(sf_dir.encode()).hexdigest()[:16]
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/order-lines-{digest}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        order_lines(spark, sf_dir).write.mode("overwrite").text(path)
+    return path
+
+
 def parsed_orders(spark, sf_dir):
-    return ingest_delimited(order_lines(spark, sf_dir), FIELDS, header_marker="o_orderkey")
+    return ingest_delimited(read_lines(spark, order_files(spark, sf_dir)), FIELDS, header_marker="o_orderkey")
 
 
 _DEP = ("CASE WHEN o_orderkey % 13 = 0 THEN '' WHEN o_orderkey % 25 = 24 THEN '2400' "

@@ -17,10 +17,10 @@ from recordset.functions.timefn import (
     in_day_exclusive,
 )
 from recordset.operators import report as R
-from recordset.plans.data import REPORT_AS_OF, REPORT_CTES, report_inputs
+from recordset.plans.data import REPORT_AS_OF, REPORT_CTES, event_times, report_inputs
 from recordset.plans.registry import query
+from recordset.session import scratch_folder
 
-END_MS = date_ms(REPORT_AS_OF)
 DAYS = 7
 
 # ---- DuckDB building blocks -------------------------------------------------
@@ -36,8 +36,9 @@ seg AS (
    WHERE NOT EXISTS (SELECT 1 FROM td_c t WHERE t.app = a._id))
 """
 
-_DAYS_SQL = f"""
-days AS (SELECT CAST(d AS INTEGER) AS days_ago, {END_MS} - d * 86400000 AS s FROM range(1, {DAYS + 1}) r(d)),
+def _days_sql(as_of: str) -> str:
+    return f"""
+days AS (SELECT CAST(d AS INTEGER) AS days_ago, {date_ms(as_of)} - d * 86400000 AS s FROM range(1, {DAYS + 1}) r(d)),
 spine AS (SELECT days_ago, s, segment FROM days, (VALUES ('app'), ('game'), ('none')) v(segment))
 """
 
@@ -58,8 +59,8 @@ _METRIC_SQL = {
 }
 
 
-def _report_sql(metrics: list[str], spine: bool, total: bool) -> str:
-    ctes = [REPORT_CTES.strip(), _SEG_SQL.strip(), _DAYS_SQL.strip()]
+def _report_sql(metrics: list[str], spine: bool, total: bool, as_of: str = REPORT_AS_OF) -> str:
+    ctes = [REPORT_CTES.strip(), _SEG_SQL.strip(), _days_sql(as_of).strip()]
     for m in metrics:
         ctes.append(f"m_{m} AS ({_METRIC_SQL[m]})")
     if total:
@@ -78,7 +79,7 @@ def _report_sql(metrics: list[str], spine: bool, total: bool) -> str:
         cols += ", CAST(coalesce(tot.n, 0) AS BIGINT) AS apps_total"
     return (
         "WITH " + ",\n".join(ctes) + "\n"
-        f"SELECT CAST(DATE '{REPORT_AS_OF}' - sp.days_ago AS VARCHAR) AS day, sp.days_ago, sp.segment, {cols}\n"
+        f"SELECT CAST(DATE '{as_of}' - sp.days_ago AS VARCHAR) AS day, sp.days_ago, sp.segment, {cols}\n"
         f"FROM {base} {joins}"
     )
 
@@ -168,11 +169,11 @@ def nested_field_join_q(spark, sf_dir):
     "day_bounds",
     "WITH " + REPORT_CTES + """
     SELECT p._id.oid AS event_oid, p.ct, (p.ct // 86400000) * 86400000 AS day_start_ms,
-           (p.ct // 86400000) * 86400000 + 86399999 AS day_end_ms FROM push_c p""",
+           (p.ct // 86400000) * 86400000 + 86399999 AS day_end_ms FROM event_t p""",
     ("FN-1", "FN-2"),
 )
 def day_bounds_q(spark, sf_dir):
-    p = report_inputs(spark, sf_dir).push
+    p = event_times(spark, sf_dir)
     return p.select(
         F.col("_id.oid").alias("event_oid"), "ct", day_start_ms("ct").alias("day_start_ms"), day_end_ms("ct").alias("day_end_ms")
     )
@@ -185,11 +186,11 @@ def day_bounds_q(spark, sf_dir):
            count(*) AS n_all,
            count(*) FILTER (WHERE ct > (ct // 86400000) * 86400000
                               AND ct < (ct // 86400000) * 86400000 + 86399999) AS n_inside
-      FROM push_c GROUP BY 1""",
+      FROM event_t GROUP BY 1""",
     ("FLT-16",),
 )
 def day_window_q(spark, sf_dir):
-    p = report_inputs(spark, sf_dir).push
+    p = event_times(spark, sf_dir)
     start = day_start_ms("ct")
     return (
         p.select("ct", start.alias("s"))
@@ -204,11 +205,11 @@ def day_window_q(spark, sf_dir):
     "WITH " + REPORT_CTES + f"""
     SELECT p._id.oid AS event_oid, p.ct - {DAYS} * 86400000 AS before_ms,
            strftime(make_timestamp((p.ct - {DAYS} * 86400000) * 1000), '%Y-%m-%d %H:%M:%S') AS before_text
-      FROM push_c p""",
+      FROM event_t p""",
     ("FN-3",),
 )
 def days_before_q(spark, sf_dir):
-    p = report_inputs(spark, sf_dir).push
+    p = event_times(spark, sf_dir)
     b = days_before_ms("ct", DAYS)
     return p.select(F.col("_id.oid").alias("event_oid"), b.alias("before_ms"), format_datetime(b).alias("before_text"))
 
@@ -272,8 +273,8 @@ def weekly_report_full_q(spark, sf_dir):
     return _report(spark, sf_dir, tuple(R.METRICS), spine=True, total=True)
 
 
-def _lines_sql() -> str:
-    full = _report_sql(["pushes", "activities", "new_devices", "active_devices", "apps_added"], True, True)
+def _lines_sql(as_of: str = REPORT_AS_OF) -> str:
+    full = _report_sql(["pushes", "activities", "new_devices", "active_devices", "apps_added"], True, True, as_of)
     lab = "CASE r.segment WHEN 'app' THEN 'app' WHEN 'game' THEN 'game' ELSE 'mpush' END"
     idx = "CASE r.segment WHEN 'app' THEN 0 WHEN 'game' THEN 1 ELSE 2 END"
     parts = []
@@ -297,3 +298,19 @@ def _lines_sql() -> str:
 @query("report_lines", _lines_sql(), ("SNK-18",))
 def report_lines_q(spark, sf_dir):
     return R.report_lines(weekly_report_full_q(spark, sf_dir))
+
+
+EARLIER_AS_OF = "2024-01-15"  # a week that the later run must leave alone
+
+
+@query(
+    "report_text_history",
+    f"SELECT day, text FROM ({_lines_sql(EARLIER_AS_OF)}) UNION ALL SELECT day, text FROM ({_lines_sql()})",
+    ("SNK-18",),
+)
+def report_text_history_q(spark, sf_dir):
+    """Two runs of the report job into one folder, and what its text files then hold."""
+    out = scratch_folder(spark, "report")
+    for as_of in (EARLIER_AS_OF, REPORT_AS_OF):
+        R.run_daily_report(report_inputs(spark, sf_dir), as_of, out, DAYS)
+    return spark.read.schema("value string, day string").text(out).select("day", F.col("value").alias("text"))

@@ -20,9 +20,9 @@ def orders_set(spark, sf_dir):
     return S.scan_set(spark, "orders.parquet", namespace=sf_dir, key_col="o_orderkey", as_of=AS_OF_SEC)
 
 
-def synthetic_customer_set(spark, sf_dir):
-    """Customer as a stored set with varied generation and expiry."""
-    c = table(spark, sf_dir, "customer")
+def synthetic_customer_set(spark, sf_dir, customers=None):
+    """Customer (or the given rows of it) as a stored set with varied generation and expiry."""
+    c = table(spark, sf_dir, "customer") if customers is None else customers
     k = F.col("c_custkey")
     gen = 1 + k % 3
     expiry = F.when(k % 7 == 2, F.lit(0)).otherwise(F.lit(AS_OF_SEC) + (k % 7 - 2) * 100)
@@ -76,10 +76,10 @@ def pushdown_scan_q(spark, sf_dir):
 
 @query("sql_over_view", _PUSH_SQL, ("SRC-13",))
 def sql_over_view_q(spark, sf_dir):
-    orders_set(spark, sf_dir).createOrReplaceTempView("rs_orders")
     return spark.sql(
-        "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM rs_orders "
-        "WHERE o_totalprice > 100000 AND o_orderstatus = 'F'"
+        "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM {orders} "
+        "WHERE o_totalprice > 100000 AND o_orderstatus = 'F'",
+        orders=orders_set(spark, sf_dir),
     )
 
 

@@ -1,8 +1,8 @@
 """Keyed-write queries (SNK-3..15, SNK-17) on a customer set.
 
-target   = customers with an even key, generation 1 + key % 3, expiry as in
+target   = all customers, odd keys shifted by TARGET_SHIFT, generation 1 + key % 3, expiry as in
            ``synthetic_customer_set`` (keys with key % 7 < 2 have expired);
-incoming = customers with key % 3 = 0 carrying a changed segment (null when
+incoming = all customers, keys not divisible by 3 shifted by INCOMING_SHIFT, carrying a changed segment (null when
            key % 5 = 0) and an expected generation equal to the stored one
            when key % 4 = 0, else one more.
 Each query returns the whole set after the write (or the per-key outcomes).
@@ -25,12 +25,21 @@ SET = "customer"
 BINS = ["c_acctbal", "c_custkey", "c_mktsegment", "c_name", "c_nationkey"]
 
 
+# Shifted keys stand for records that only one side has. The rules above apply to the shifted keys.
+TARGET_SHIFT, INCOMING_SHIFT = 1_000_000, 3_000_001
+
+
+def _shifted(spark, sf_dir, stays, shift):
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").withColumn("c_custkey", F.when(stays(k), k).otherwise(k + shift))
+
+
 def target_set(spark, sf_dir):
-    return synthetic_customer_set(spark, sf_dir).where(F.col("c_custkey") % 2 == 0)
+    return synthetic_customer_set(spark, sf_dir, _shifted(spark, sf_dir, lambda k: k % 2 == 0, TARGET_SHIFT))
 
 
 def incoming_rows(spark, sf_dir, with_ttl=False, null_bin=False):
-    c = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 3 == 0)
+    c = _shifted(spark, sf_dir, lambda k: k % 3 == 0, INCOMING_SHIFT)
     k = F.col("c_custkey")
     stored_gen = 1 + k % 3
     cols = [
@@ -75,15 +84,15 @@ WITH t AS (
   SELECT CAST(c_custkey AS VARCHAR) AS t_key, lower(sha1('{SET}:L:' || CAST(c_custkey AS VARCHAR))) AS t_digest,
          CAST({_EXP} AS INTEGER) AS t_exp, CAST(1 + c_custkey % 3 AS INTEGER) AS t_gen,
          c_acctbal AS t_acctbal, c_custkey AS t_custkey, c_mktsegment AS t_seg, c_name AS t_name, c_nationkey AS t_nation
-  FROM customer WHERE c_custkey % 2 = 0),
+  FROM (SELECT * REPLACE (c_custkey + CASE WHEN c_custkey % 2 = 0 THEN 0 ELSE {TARGET_SHIFT} END AS c_custkey) FROM customer)),
 i AS (
   SELECT {"NULL::VARCHAR" if by_digest else "CAST(c_custkey AS VARCHAR)"} AS i_key, lower(sha1('{SET}:L:' || CAST(c_custkey AS VARCHAR))) AS i_digest,
          c_custkey AS i_custkey, {seg},
          CAST(CASE WHEN c_custkey % 4 = 0 THEN 1 + c_custkey % 3 ELSE 2 + c_custkey % 3 END AS INTEGER) AS i_gen {ttl_sql}
-  FROM customer WHERE c_custkey % 3 = 0),
+  FROM (SELECT * REPLACE (c_custkey + CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE {INCOMING_SHIFT} END AS c_custkey) FROM customer)),
 j0 AS (
   SELECT *, t_key IS NOT NULL AND (t_exp = 0 OR t_exp > {AS_OF_SEC}) AS live, i_digest IS NOT NULL AS inc
-  FROM t FULL OUTER JOIN i ON {"t_digest = i_digest" if by_digest else "t_key = i_key"}),
+  FROM t FULL OUTER JOIN i ON t_digest = i_digest),
 j AS (
   SELECT *, CASE WHEN NOT inc THEN 'untouched' {gen_sql}WHEN live THEN '{exists_o}' ELSE '{absent_o}' END AS o,
          {new_exp} AS new_exp

@@ -79,3 +79,11 @@ def test_run_daily_report(spark, tmp_out):
     assert rep.count() == 21
     days = sorted(d for d in __import__("os").listdir(f"{tmp_out}/job") if d.startswith("day="))
     assert len(days) == 7 and days[0] == "day=2024-01-24"
+
+
+def test_later_report_keeps_earlier_days(spark, tmp_out):
+    import os
+
+    for as_of in ("2024-01-15", AS_OF):
+        R.run_daily_report(inputs(spark), as_of, f"{tmp_out}/job")
+    assert len([d for d in os.listdir(f"{tmp_out}/job") if d.startswith("day=")]) == 14
