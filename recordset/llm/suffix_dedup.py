@@ -181,13 +181,18 @@ def run_batch(own: np.ndarray, doc: np.ndarray, row: np.ndarray, pos: np.ndarray
     out: list[list] = [[] for _ in RUN_SCHEMA.names]
     tail = np.arange(WIDTH + 2) >= lcp[:, None]
     for a, b in zip(cut, np.append(cut[1:], len(own))):
-        values = (int(bucket[a]), lcp[a:b].astype(np.uint8).tobytes(), own[a:b][tail[a:b]].tobytes(), doc[a:b].tobytes(), row[a:b].tobytes(), pos[a:b].astype(np.int32).tobytes())
+        tails = own[a:b][tail[a:b]]
+        packed = len(tails).to_bytes(8, "little") + pa.compress(tails.tobytes(), codec="zstd", asbytes=True)
+        values = (int(bucket[a]), lcp[a:b].astype(np.uint8).tobytes(), packed, doc[a:b].tobytes(), row[a:b].tobytes(), pos[a:b].astype(np.int32).tobytes())
         for o, v in zip(out, values):
             o.append(v)
     yield pa.record_batch([pa.array(o, f.type) for o, f in zip(out, RUN_SCHEMA)], schema=RUN_SCHEMA)
 
 
-def _runs(n_buckets: int):
+def _runs(n_buckets: int, columns: list[str]):
+    """Sorted runs of the rows' suffixes, from batches of the given columns."""
+    at_doc, at_row, at_text, at_places = (columns.index(c) for c in ("_doc", "_row", "_text", "_places"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple] = []
         size = 0
@@ -196,9 +201,9 @@ def _runs(n_buckets: int):
             return run_batch(*(np.concatenate([p[i] for p in parts]) for i in range(4)), n_buckets)
 
         for b in batches:
-            buf, offsets = column_bytes(b.column(2))
-            doc, row = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for i, places in enumerate(b.column(3)):
+            buf, offsets = column_bytes(b.column(at_text))
+            doc, row = (b.column(i).to_numpy(zero_copy_only=False) for i in (at_doc, at_row))
+            for i, places in enumerate(b.column(at_places)):
                 at = np.unique(places.values.to_numpy())
                 text = buf[offsets[i]:offsets[i + 1]]
                 for j in range(0, len(at), FLUSH_ENTRIES):
@@ -216,6 +221,7 @@ def _runs(n_buckets: int):
 
 def decode_run(lcp: bytes, tails: bytes) -> Iterator[tuple[int, bytes]]:
     """(prefix shared with the entry before, entry) of a front-coded run."""
+    tails = pa.decompress(tails[8:], int.from_bytes(tails[:8], "little"), codec="zstd", asbytes=True)
     last, at = b"", 0
     for n in lcp:
         end = at + WIDTH + 2 - n
@@ -352,16 +358,21 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield settle(group)
 
 
-def repeated_spans(docs: DataFrame, n_buckets: int) -> DataFrame:
-    """(row, spans): the covered stretches of each row that has any, from (doc, row, text)."""
-    found = docs.select("row", "text").mapInArrow(_candidates, CANDIDATES)
+def repeated_spans(rows: DataFrame, n_buckets: int) -> DataFrame:
+    """(_row, _spans): the covered stretches of each row that has any, from columns _doc, _row and _text.
+
+    All columns of ``rows`` go through the join with the places, so that its shuffle of the
+    texts is the one that the caller's join with the spans needs as well, and Spark makes it once.
+    """
+    found = rows.select("_row", "_text").mapInArrow(_candidates, CANDIDATES)
     same = F.count(F.lit(1)).over(Window.partitionBy("key"))
     places = found.withColumn("n", same).filter((F.col("kind") == KNOWN) | ((F.col("kind") == SINGLE) & (F.col("n") > 1)))
     places = places.select("row", F.when(F.col("kind") == KNOWN, F.col("many")).otherwise(F.array("pos")).alias("many"))
     places = places.groupBy("row").agg(F.flatten(F.collect_list("many")).alias("places"))
-    runs = docs.join(places, "row").select("doc", "row", "text", "places").mapInArrow(_runs(n_buckets), RUNS)
+    placed = rows.join(places.withColumnRenamed("row", "_row").withColumnRenamed("places", "_places"), "_row")
+    runs = placed.mapInArrow(_runs(n_buckets, placed.columns), RUNS)
     covers = runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merge, COVERS)
-    return covers.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return covers.groupBy(F.col("row").alias("_row")).agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id", keep_text: bool = False) -> DataFrame:
@@ -374,11 +385,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     spark = docs.sparkSession
     new = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
     names = [c for c in docs.columns if c != text and c.lower() not in new]
-    rows = docs.select(*names, F.col(text), F.monotonically_increasing_id().alias("_row"))
-    own = rows.select(F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.col("_row").alias("row"), F.col(text).alias("text"))
+    rows = docs.select(*names, F.col(text).alias("_text"), F.monotonically_increasing_id().alias("_row"),
+                       F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("_doc"))
     n_buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spans = repeated_spans(own, n_buckets)
-    joined = rows.join(spans.withColumnRenamed("row", "_row"), "_row", "left").withColumnRenamed("spans", "_spans")
+    joined = rows.join(repeated_spans(rows, n_buckets), "_row", "left")
 
     def make():
         def cut(col: pa.Array, spans: pa.Array) -> list:
@@ -402,5 +412,5 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
 
     long = T.LongType()
     fields = [T.StructField(n, long) for n in new[:3]] + [T.StructField("kept_sha256", T.StringType()), T.StructField("_left", T.StringType())]
-    out = map_text(joined, text, make, fields, ("_spans",)).drop("_row", "_spans")
-    return out.drop(text).withColumnRenamed("_left", text) if keep_text else out.drop("_left")
+    out = map_text(joined, "_text", make, fields, ("_spans",)).drop("_row", "_doc", "_spans", "_text")
+    return out.withColumnRenamed("_left", text) if keep_text else out.drop("_left")
