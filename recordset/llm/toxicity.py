@@ -234,7 +234,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep:
             if len(other) and len(train) and y[train].min() != y[train].max():
                 m = fit_models([texts[i] for i in train], y[train])
                 x[other], seen[other] = features_of(m, [texts[i] for i in other]), True
-        return pickle.dumps(fit_models(texts, y) | {"beta": fit_curve(x[seen], y[seen], weight[seen])})
+        model = fit_models(texts, y)
+        if not seen.any() or y[seen].min() == y[seen].max():  # too few rows to set any aside
+            x, seen = features_of(model, texts), np.ones(len(y), bool)
+        return pickle.dumps(model | {"beta": fit_curve(x[seen], y[seen], weight[seen])})
 
     return pickle.loads(fit_in_task(sample.select("text", "y", "weight", "fold"), fit))
 
