@@ -26,8 +26,8 @@ BLOCK_ROWS = 64
 BUCKET_ROWS = 256
 # Weights become integers that add up to this, or to twice the number of sources if that is more.
 PERIOD = 1000
-# The schedule is worked out on the driver from one row a source, so their number is bounded.
-MAX_SOURCES = 20_000
+# The schedule has a phase for each source that runs out and is worked out on the driver, so the number of sources is bounded.
+MAX_SOURCES = 1000
 SEED = 4241
 
 
@@ -110,7 +110,7 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, source
 
     spark = docs.sparkSession
     counts = spark.createDataFrame([(s, max(1, -(-n // bucket_rows))) for s, n in sizes.items()], "_source string, _buckets long")
-    # One row a source, MAX_SOURCES at most, so the tables below are small enough to broadcast.
+    # One row a source, and below at most one a source and phase: MAX_SOURCES bounds what is broadcast.
     keyed = keyed.join(F.broadcast(counts), "_source").withColumn("_bucket", F.pmod(F.col("_h"), F.col("_buckets")))
     bucket_sizes = keyed.groupBy("_source", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
