@@ -31,13 +31,14 @@ class SetReader:
     def set(self, name: str) -> SetReader:
         return self.option("set", name)
 
-    def load(self, set_name: str | None = None, *, as_of: int, key_col: str | None = None, live_only: bool = True) -> DataFrame:
+    def load(self, set_name: str | None = None, *, as_of: int, key_col: str | None = None, live_only: bool = True,
+             json_bins: str | None = None) -> DataFrame:
         from recordset.sources.store import scan_set
 
         opts = dict(self._opts)
         if set_name is not None:
             opts["set"] = set_name
-        return scan_set(self._spark, as_of=as_of, key_col=key_col, live_only=live_only, **opts)
+        return scan_set(self._spark, as_of=as_of, key_col=key_col, live_only=live_only, json_bins=json_bins, **opts)
 
 
 class SetWriter:

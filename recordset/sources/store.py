@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from recordset.functions.timefn import ttl_from_expiry
 from recordset.options import Options, resolve
 from recordset.sources.layout import BUCKET, latest_version, read_buckets
+from recordset.sources.schema import infer_schema, typed_bins
 
 KEY, DIGEST, EXPIRY, GENERATION, TTL = "__key", "__digest", "__expiry", "__generation", "__ttl"
 STORED_META = (KEY, DIGEST, EXPIRY, GENERATION)
@@ -118,10 +119,14 @@ def scan_set(
     as_of: int,
     key_col: str | None = None,
     live_only: bool = True,
+    json_bins: str | None = None,
     **options,
 ) -> DataFrame:
     """SRC-1/2: scan a whole set into a DataFrame with record metadata columns.
 
+    ``json_bins`` names a column of JSON objects whose entries become typed bins in its place (SRC-6/7); their types
+    come from all records, or from the first ``schemaScan`` by key when that option is set.
+
     ``set_name`` (or option ``set``) is a folder, relative to option
     ``namespace`` when given. A plain table needs ``key_col``.
     """
@@ -133,7 +138,14 @@ def scan_set(
         if key_col is None:
             raise ValueError(f"{opts.set_path()} has no {KEY} column; pass key_col")
         stored = as_set(stored, set_label(opts.set), key_col)
-    return scan_view(stored, as_of, opts, live_only=live_only)
+    view = scan_view(stored, as_of, opts, live_only=live_only)
+    if json_bins is None:
+        return view
+    schema = infer_schema(stored, json_bins, opts.schemaScan, KEY if opts.schemaScan else None)
+    rest = [c for c in view.columns if c != json_bins]
+    if clash := sorted(set(rest) & set(schema.fieldNames())):
+        raise ValueError(f"{json_bins} has entries named like columns of the set: {clash}")
+    return typed_bins(view, json_bins, schema, keep=rest)
 
 
 def set_label(set_path: str) -> str:

@@ -91,3 +91,17 @@ def test_unordered_sample_is_bounded(spark):
     got = {r.bin for r in infer_bin_types(docs(spark), "j", sample=1).collect()}
     all_bins = {r.bin for r in infer_bin_types(docs(spark), "j", sample=None).collect()}
     assert got and got <= all_bins and len(got) < len(all_bins)
+
+
+def test_json_bins_of_a_scanned_set(spark, tmp_out):
+    from recordset.sources.api import reader, writer
+
+    df = spark.createDataFrame([("a", '{"x": 1, "y": [1]}'), ("b", '{"x": "t", "z": true}')], "k string, j string")
+    writer(df).mode("append").set("js").key("k").option("namespace", tmp_out).save(as_of=0)
+    v = reader(spark).option("namespace", tmp_out).load("js", as_of=0, json_bins="j")
+    assert v.columns[5:] == ["k", "x", "y", "z"]
+    assert sorted((r.k, r.x, r.y, r.z) for r in v.collect()) == [("a", "1", [1], None), ("b", "t", None, "true")]
+    first = reader(spark).option("namespace", tmp_out).option("schemaScan", 1).load("js", as_of=0, json_bins="j")
+    assert dict(first.dtypes)["x"] == "bigint"
+    with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
+        first.collect()
