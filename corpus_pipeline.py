@@ -1,7 +1,7 @@
 """The corpus pipeline: quality rules, near-duplicate removal, exact-repeat removal, decontamination, source mixing.
 
 Each stage is a function (spark, docs, sf_dir) -> DataFrame over all rows its predecessor kept. All but the
-last return the columns of ``documents``; ``run`` writes each stage's result as Parquet to
+last return the columns they were given (those of ``documents``, and any others, whatever their names); ``run`` writes each stage's result as Parquet to
 the shared checkpoint folder and reads it again for the next, so no stage recomputes an earlier one.
 """
 
@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 
 from recordset.llm import decontaminate as decontamination
 from recordset.llm import mixing, ngram_join, rules, suffix_dedup
-from recordset.llm.frames import table
+from recordset.llm.frames import apart, table
 from recordset.session import ensure_checkpoint_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep, unchanged. The model is fitted on the labelled rows among ``docs``."""
     model = rules.fit_rule_model(docs, table(spark, sf_dir, "labels"))
-    judged = rules.apply_rules(docs, model)
-    return judged.filter("kept").select(*docs.columns)
+    own, back = apart(docs, "doc_id", "text")
+    return back(rules.apply_rules(own, model).filter("kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,14 +38,16 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A document of which nothing is left stays with the empty text.
     """
-    cut = suffix_dedup.remove_repeats(docs, keep_text=True)
+    own, back = apart(docs, "doc_id", "text")
+    cut = back(suffix_dedup.remove_repeats(own, keep_text=True))
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item, unchanged."""
-    hits = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), spans=False)
-    return hits.filter(~F.col("contaminated")).select(*docs.columns)
+    own, back = apart(docs, "doc_id", "text")
+    hits = decontamination.decontaminate(own, table(spark, sf_dir, "benchmark"), spans=False)
+    return back(hits.filter(~F.col("contaminated")))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

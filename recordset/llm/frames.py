@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def apart(df: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with all columns but the used ones under names of no operator, and what turns a result back into its columns."""
+    own = {c: c if c in used else f"_own{i}" for i, c in enumerate(df.columns)}
+    return df.select(*(F.col(f"`{c}`").alias(n) for c, n in own.items())), lambda out: out.select(*(F.col(n).alias(c) for c, n in own.items()))
+
+
 def crc_fold(key: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the text ''."""
     return (F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % n).cast("int")

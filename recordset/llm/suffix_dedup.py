@@ -379,8 +379,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     """``docs`` with n_bytes, n_removed, n_spans and kept_sha256, and with ``keep_text`` the text that is left in place of the old one.
 
     Texts are taken as UTF-8 bytes; what is left of a character cut in two is dropped from the text, not from the digest. A null text is
-    empty and loses nothing. Ids come in ascending order, a null id last; rows of equal id in the order of their texts' bytes, equal
-    rows in that of the scan, so one of them stays. Columns named like a new one are replaced.
+    empty and loses nothing. Ids come in ascending order, a null id last, and rows of equal id in the order of the scan, so of
+    repeated rows one stays. Columns named like a new one are replaced.
     """
     spark = docs.sparkSession
     new = ("n_bytes", "n_removed", "n_spans", "kept_sha256")

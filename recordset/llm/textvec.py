@@ -20,7 +20,7 @@ U64 = np.uint64
 BASE = 0x9E3779B97F4A7C55  # odd, so it has an inverse mod 2**64
 BASE_INV = pow(BASE, -1, 1 << 64)
 BYTE_VALUE = np.random.default_rng(20240817).integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 # ASCII white space: space and \t \n \v \f \r.
 SPACE = np.zeros(256, bool)

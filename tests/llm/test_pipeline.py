@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
@@ -67,5 +68,7 @@ def test_stages_take_odd_and_empty_tables(spark):
     rows = [(i if i != 3 else None, t, None, None if i % 2 else "s", None) for i, t in enumerate(ODD_TEXTS)] * 2
     for table in (rows, []):
         for name, stage in corpus_pipeline.STAGES:
-            got = stage(spark, spark.createDataFrame(table, schema), SF_SMALL)
-            assert got.count() <= len(table) and got.columns[:5] == schema.fieldNames()
+            given = spark.createDataFrame(table, schema).withColumn("kept", F.lit("old")).withColumn("n_words", F.lit("old")).withColumn("_row", F.lit("old"))
+            got = stage(spark, given, SF_SMALL)
+            assert got.count() <= len(table) and got.columns[:8] == given.columns
+            assert {(r["kept"], r["n_words"], r["_row"]) for r in got.collect()} <= {("old", "old", "old")}
