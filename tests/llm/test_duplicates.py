@@ -55,12 +55,12 @@ def brute_components(rows):
     return sorted(((i, len(s), None if i is None else find(i) if s else i) for (i, _), s in zip(rows, sets)), key=str)
 
 
-@pytest.mark.parametrize("seed,share", [(1, 1e-4), (2, 0.02), (3, 0.5)])
-def test_ngram_join_matches_brute_force(spark, docs, seed, share):
+@pytest.mark.parametrize("seed,slots", [(1, 1 << 22), (2, 8), (3, 1)])
+def test_ngram_join_matches_brute_force(spark, docs, seed, slots):
     ensure_checkpoint_dir(spark)
     texts = near_copies(seed) + ODD_TEXTS
     rows = list(zip(range(len(texts)), texts))
-    got = ngram_join.link_components(docs(texts), common_share=share).collect()
+    got = ngram_join.link_components(docs(texts), count_slots=slots).collect()
     assert sorted(map(tuple, got), key=str) == brute_components(rows)
 
 
