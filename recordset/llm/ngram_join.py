@@ -11,8 +11,9 @@ groups are expanded, pairs whose prefixes differ too much are dropped, and the r
 Components need no pair whose ends are already connected. So each bucket first
 compares its members with one hub; what is then left in buckets of
 several components is compared pair by pair. A pair counts in a bucket only if the shingle stands early enough in both
-orders for the sizes at hand. A large group of near copies costs its size, not its
-square, and no pair that could join two components is left out.
+orders for the sizes at hand. Members that link with
+the hub cost the group's size, not its square; those of a large group that nearly but not quite link are compared with each other
+where their order allows a link. No pair that could join two components is left out.
 """
 
 from __future__ import annotations
