@@ -117,6 +117,23 @@ def test_language_model_matches_brute_force(spark, docs, share):
     assert rows[0].source == "s"  # other columns stay, the old score is replaced
 
 
+@pytest.mark.parametrize("share", [0.003, 0.02, 1.0])  # what is broadcast: some tokens, few, none
+def test_language_model_keeps_bigrams_that_are_not_broadcast(spark, docs, share):
+    ensure_checkpoint_dir(spark)
+    rng = random.Random(5)
+    texts = list(ODD_TEXTS) + [prose(rng, rng.randrange(60), 40) + " once more " + prose(rng, 2, 9999).upper() for _ in range(60)] + ["once more"] * 3
+    frame = docs(texts)
+    train = [t for i, t in enumerate(texts) if i % 3]
+    model = lm.fit_language_model(frame.filter(F.col("doc_id") % 3 != 0), broadcast_share=share)
+    assert len(model.shared["vocabulary"]) < 60
+    rows = sorted(lm.score_language_model(frame, model).collect(), key=lambda r: r.doc_id)
+    want = brute_language_model(train, texts, 0)
+    assert any(abs(a[4] - b[4]) > 1 for a, b in zip(want, brute_language_model(train, texts, share)))  # the cut model is another
+    for r, w in zip(rows, want, strict=True):
+        assert (r.n_tokens, r.n_known, r.train_tokens) == w[:3]
+        assert r.base_score == pytest.approx(w[3], abs=1e-6) and r.score == pytest.approx(w[4], rel=1e-6, abs=1e-6)
+
+
 def test_language_model_of_nothing(spark, docs):
     ensure_checkpoint_dir(spark)
     frame = docs(["a b", None, "a b"], ids=[1, 1, 1])
