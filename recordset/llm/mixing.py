@@ -5,8 +5,9 @@ The rows of a source, in the order of a seeded hash, are cut into blocks of
 is released at slot floor(j * D / n_i) and due by slot ceil((j + 1) * D / n_i);
 in every slot the released block that is due first is placed. On one sequence
 this meets every deadline, so after any t slots a source has placed less than one block more or
-less than its share t * n_i / D. The pattern repeats after D slots, so it is worked out for one period only.
+less than its share t * n_i / D. The integers are the weights themselves, scaled and not rounded, so the share is the exact one.
 When a source has no blocks left, a new phase begins in which the others share the slots by their weights.
+The schedule has one entry a block and is worked out on the driver; the rows are joined to it.
 Every row is placed once.
 
 Ranks within a source come from two levels: rows are dealt to buckets by
@@ -18,14 +19,15 @@ from __future__ import annotations
 
 import heapq
 import math
+from fractions import Fraction
+
+import pyarrow as pa
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 64
 BUCKET_ROWS = 256
-# Weights become integers that add up to this, or to twice the number of sources if that is more.
-PERIOD = 1000
 # The schedule has a phase for each source that runs out and is worked out on the driver, so the number of sources is bounded.
 MAX_SOURCES = 1000
 SEED = 4241
@@ -43,14 +45,24 @@ def whole_weights(weights: dict, period: int) -> dict:
     return out
 
 
-def pfair_period(n: dict) -> dict:
-    """Slots of each source's blocks in one period, earliest deadline first among the released."""
+def exact_weights(weights: dict) -> dict:
+    """Integers in the very proportion of the weights."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*(w.denominator for w in exact.values()))
+    whole = {s: int(w * scale) for s, w in exact.items()}
+    common = math.gcd(*whole.values())
+    return {s: w // common for s, w in whole.items()}
+
+
+def pfair_period(n: dict, blocks: dict | None = None) -> dict:
+    """Slots of each source's blocks, earliest deadline first among the released, for one period or until a source has placed its ``blocks``."""
     d = sum(n.values())
     waiting = [(0, s, 0) for s in sorted(n)]  # release, source, block
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
     slots: dict = {s: [] for s in n}
-    for t in range(d):
+    t = -1
+    while (t := t + 1) < d:
         while waiting and waiting[0][0] <= t:
             _, s, j = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-(j + 1) * d // n[s]), s, j))
@@ -58,40 +70,55 @@ def pfair_period(n: dict) -> dict:
         if due <= t:
             raise AssertionError("a deadline was missed")
         slots[s].append(t)
+        if blocks is not None and j + 1 == blocks[s]:
+            break
         if j + 1 < n[s]:
             heapq.heappush(waiting, ((j + 1) * d // n[s], s, j + 1))
     return slots
 
 
-def phases(blocks: dict, weights: dict, period: int = PERIOD) -> list[dict]:
-    """For each phase and source: first and end block, first slot, blocks a period, period, and the slots of one period."""
+def pfair_phase(n: dict, blocks: dict) -> dict:
+    """Slots of each source's blocks over as many periods as it takes until the first source has placed all of its ``blocks``."""
+    d, left, begin = sum(n.values()), dict(blocks), 0
+    slots: dict = {s: [] for s in n}
+    while all(left.values()):
+        for s, at in pfair_period(n, left).items():
+            slots[s] += [begin + t for t in at]
+            left[s] -= len(at)
+        begin += d
+    return slots
+
+
+def phases(blocks: dict, weights: dict, period: int | None = None) -> list[dict]:
+    """For each phase and source: first and end block, first slot, and the slots of the blocks within the phase.
+
+    ``per_period`` of ``period`` slots is the source's share.
+    """
     left, done, slot, out = dict(blocks), {s: 0 for s in blocks}, 0, []
     number = 0
     while left := {s: b for s, b in left.items() if b > 0}:
-        n = whole_weights({s: weights[s] for s in left}, max(period, 2 * len(left)))
+        own = {s: weights[s] for s in left}
+        n = exact_weights(own) if period is None else whole_weights(own, max(period, 2 * len(left)))
         d = sum(n.values())
-        pattern = pfair_period(n)
         # The phase ends after the last block of the source that runs out first.
-        length = min(((b - 1) // n[s]) * d + pattern[s][(b - 1) % n[s]] + 1 for s, b in left.items())
-        for s, b in left.items():
-            full, rest = divmod(length, d)
-            placed = full * n[s] + sum(x < rest for x in pattern[s])
-            if placed:
-                out.append({"source": s, "phase": number, "first_block": done[s], "end_block": done[s] + placed, "first_slot": slot,
-                            "per_period": n[s], "period": d, "pattern": pattern[s]})
-            done[s] += placed
-            left[s] -= placed
-        slot += length
+        pattern = pfair_phase(n, left)
+        for s, at in pattern.items():
+            if at:
+                out.append({"source": s, "phase": number, "first_block": done[s], "end_block": done[s] + len(at), "first_slot": slot,
+                            "per_period": n[s], "period": d, "pattern": at})
+            done[s] += len(at)
+            left[s] -= len(at)
+        slot += sum(map(len, pattern.values()))
         number += 1
     return out
 
 
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, source: str = "source", id_col: str = "doc_id",
-                block_rows: int = BLOCK_ROWS, bucket_rows: int = BUCKET_ROWS, period: int = PERIOD, seed: int = SEED) -> DataFrame:
+                block_rows: int = BLOCK_ROWS, bucket_rows: int = BUCKET_ROWS, period: int | None = None, seed: int = SEED) -> DataFrame:
     """``docs`` with ``block`` (its number within the source), ``slot`` (place of the block in the mix) and ``place`` (within the block).
 
     Reading by (slot, place) gives the mix; every row is placed once. ``weights`` are target shares by source name; without
-    them a source weighs the square root of its rows. A source that is not named, or has a weight of 0 or less, gets the
+    them a source weighs the square root of its rows. ``period`` rounds the weights to whole slots of that many for a caller who asks for it. A source that is not named, or has a weight of 0 or less, gets the
     least positive weight. A null source is a source of its own, named ''. Rows with equal ids, repeated rows included, are told apart by
     their content and then by chance, which changes neither blocks nor slots. An empty table gives no rows.
     """
@@ -110,7 +137,7 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, source
 
     spark = docs.sparkSession
     counts = spark.createDataFrame([(s, max(1, -(-n // bucket_rows))) for s, n in sizes.items()], "_source string, _buckets long")
-    # One row a source, and below at most one a source and phase: MAX_SOURCES bounds what is broadcast.
+    # One row a source: MAX_SOURCES bounds what is broadcast.
     keyed = keyed.join(F.broadcast(counts), "_source").withColumn("_bucket", F.pmod(F.col("_h"), F.col("_buckets")))
     bucket_sizes = keyed.groupBy("_source", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -120,11 +147,12 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, source
     within = Window.partitionBy("_source", "_bucket").orderBy("_h", F.col(id_col))
     rank = F.col("_begin") + F.row_number().over(within) - 1
     ranked = ranked.withColumn("_rank", rank)
-    steps = spark.createDataFrame([(x["source"], x["first_block"], x["end_block"], x["first_slot"], x["per_period"], x["period"], x["pattern"]) for x in plan],
-                                  "_s string, _first long, _end long, _slot long, _per long, _period long, _pattern array<int>")
     block = F.floor(F.col("_rank") / block_rows).cast("long")
     placed = ranked.withColumn("block", block).withColumn("place", F.pmod(F.col("_rank"), F.lit(block_rows)).cast("long"))
-    placed = placed.join(F.broadcast(steps), (F.col("_source") == F.col("_s")) & (F.col("block") >= F.col("_first")) & (F.col("block") < F.col("_end")))
-    j = F.col("block") - F.col("_first")
-    slot = F.col("_slot") + F.floor(j / F.col("_per")).cast("long") * F.col("_period") + F.element_at("_pattern", (F.pmod(j, F.col("_per")) + 1).cast("int"))
-    return placed.select(*names, "block", slot.cast("long").alias("slot"), "place")
+    # One row a block, so this table is broadcast only where it is small.
+    entries = [(x["source"], x["first_block"] + i, x["first_slot"] + t) for x in plan for i, t in enumerate(x["pattern"])]
+    columns = zip(*entries) if entries else ([], [], [])
+    arrays = [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()))]
+    steps = spark.createDataFrame(pa.table(arrays, names=["_s", "_block", "slot"]))
+    placed = placed.join(steps, (F.col("_source") == F.col("_s")) & (F.col("block") == F.col("_block")))
+    return placed.select(*names, "block", "slot", "place")

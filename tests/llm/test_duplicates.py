@@ -184,6 +184,28 @@ def test_mixing_keeps_to_the_weights(docs):
                 assert abs(placed[s] - t * x["per_period"] / x["period"]) < 1
 
 
+@pytest.mark.parametrize("sizes", [{"hot": 66_000} | {f"s{i:02}": 6_700 for i in range(20)}, {"hot": 3_000_000, "small": 3, "a": 40_000, "b": 40_000}])
+def test_mixing_keeps_to_the_unrounded_weights(sizes):
+    """Less than one block from the real weights after every slot, and equal weights are served alike."""
+    blocks = {s: -(-n // mixing.BLOCK_ROWS) for s, n in sizes.items()}
+    weights = {s: n ** 0.5 for s, n in sizes.items()}
+    steps = mixing.phases(blocks, weights)
+    assert {s: sum(x["end_block"] - x["first_block"] for x in steps if x["source"] == s) for s in sizes} == blocks
+    left = dict(blocks)
+    for p in range(max(x["phase"] for x in steps) + 1):
+        own = {x["source"]: x for x in steps if x["phase"] == p}
+        total = sum(weights[s] for s in left)
+        every = sorted(t for x in own.values() for t in x["pattern"])
+        assert every == list(range(len(every)))
+        for s in left:
+            share, at = weights[s] / total, own[s]["pattern"] if s in own else []
+            assert all(abs(j - t * share) < 1 + 1e-6 and abs(j + 1 - (t + 1) * share) < 1 + 1e-6 for j, t in enumerate(at))
+            assert abs(len(at) - len(every) * share) < 1 + 1e-6
+        left = {s: b - (len(own[s]["pattern"]) if s in own else 0) for s, b in left.items()}
+        left = {s: b for s, b in left.items() if b}
+    assert not left
+
+
 def test_pfair_period_against_every_deadline():
     rng = random.Random(1)
     for _ in range(30):
