@@ -17,6 +17,10 @@ from recordset.llm import mixing, ngram_join, rules, suffix_dedup
 from recordset.llm.frames import apart, table
 from recordset.session import ensure_checkpoint_dir
 
+# Documents are near duplicates if they share 80 percent of their five-word shingles.
+NEAR_SHINGLE = 5
+NEAR_PERCENT = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep, unchanged. The model is fitted on the labelled rows among ``docs``."""
@@ -28,7 +32,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones: the one of smallest id, once. Rows without an id or words link with nothing and stay."""
     ensure_checkpoint_dir(spark)
-    found = ngram_join.link_components(docs)
+    found = ngram_join.link_components(docs, percent=NEAR_PERCENT, k=NEAR_SHINGLE)
     heads = found.filter(F.col("id") == F.col("component_id")).select(F.col("id").alias("doc_id")).distinct()
     return docs.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"]).union(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
 

@@ -1,6 +1,6 @@
 """N-gram Jaccard join by grouped prefixes.
 
-A document is its set of distinct four-word shingles. Documents with equal sets
+A document is its set of distinct shingles (four words each in the query). Documents with equal sets
 form a class, represented by its smallest id. Under one order of all shingles, two sets
 with a Jaccard similarity of t or more share a shingle among the first
 n - ceil(t * n) + 1 of each. The order puts shingles of many documents last (by counts taken over all documents), so that
@@ -55,7 +55,7 @@ def shingle_sets(col: pa.Array, k: int = SHINGLE) -> Iterator[np.ndarray]:
             yield np.unique(h[cut[i]:cut[i + 1]])
 
 
-def shingle_counts(docs: DataFrame, text: str, slots: int) -> np.ndarray:
+def shingle_counts(docs: DataFrame, text: str, slots: int, k: int = SHINGLE) -> np.ndarray:
     """How many documents hold the shingles of each slot, over all documents, as far as a task met a shingle twice.
 
     A task hands on the shingles it met twice; one that many documents hold is met so in many tasks, and the many that are
@@ -73,7 +73,7 @@ def shingle_counts(docs: DataFrame, text: str, slots: int) -> np.ndarray:
             return pa.record_batch([pa.array(slot), pa.array(np.bincount(at, weights=counts[twice], minlength=len(slot)).astype(np.int64))], names=["slot", "c"])
 
         for b in batches:
-            for x in shingle_sets(b.column(0)):
+            for x in shingle_sets(b.column(0), k):
                 parts.append(x)
                 size += len(x)
                 if size >= TALLY_SHINGLES:
@@ -105,7 +105,7 @@ def _signed(x: np.ndarray) -> int:
     return int(np.array(x, U64).view(np.int64))
 
 
-def prefixes(docs: DataFrame, text: str, counts: np.ndarray, percent: int) -> DataFrame:
+def prefixes(docs: DataFrame, text: str, counts: np.ndarray, percent: int, k: int = SHINGLE) -> DataFrame:
     """``docs`` with the set's size, its signature, and its prefix with a signature of prefix and size."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
@@ -114,7 +114,7 @@ def prefixes(docs: DataFrame, text: str, counts: np.ndarray, percent: int) -> Da
 
         def describe(col: pa.Array) -> list:
             out: list[list] = [[] for _ in range(6)]
-            for h in shingle_sets(col):
+            for h in shingle_sets(col, k):
                 n = len(h)
                 prefix = in_order(h, counts)[:prefix_length(n, percent)] if n else h
                 own = mix(np.append(prefix, U64(n)))
@@ -167,7 +167,7 @@ def _possible(pairs: DataFrame, heads: DataFrame, counts: np.ndarray, percent: i
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _sets_of(base: DataFrame, classes: DataFrame) -> DataFrame:
+def _sets_of(base: DataFrame, classes: DataFrame, k: int) -> DataFrame:
     """(class, set) for the texts of the given ids, with one pass over the texts of ``base``.
 
     A bitmap of ``SLOTS`` hashed ids, built by Spark and of fixed size, goes to the pass, which
@@ -186,7 +186,7 @@ def _sets_of(base: DataFrame, classes: DataFrame) -> DataFrame:
         for b in batches:
             b = b.filter(pa.array(wanted[b.column(2).to_numpy()]))
             if b.num_rows:
-                yield pa.record_batch([b.column(0), pa.array([x.tobytes() for x in shingle_sets(b.column(1))], pa.binary())], names=["class", "set"])
+                yield pa.record_batch([b.column(0), pa.array([x.tobytes() for x in shingle_sets(b.column(1), k)], pa.binary())], names=["class", "set"])
 
     found = base.filter(F.col("id").isNotNull()).select("id", "text", slot("id").alias("slot")).mapInArrow(run, "class long, set binary")
     return settled(found.join(classes, "class", "left_semi"), SETS_A_TASK)
@@ -209,16 +209,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def link_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id", percent: int = PERCENT, count_slots: int = COUNT_SLOTS) -> DataFrame:
-    """(id, n_shingles, component_id), one row for each row of ``docs``.
+def link_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id", percent: int = PERCENT, count_slots: int = COUNT_SLOTS, k: int = SHINGLE) -> DataFrame:
+    """(id, n_shingles, component_id), one row for each row of ``docs``; shingles have ``k`` words.
 
     component_id is the smallest id reachable by links, the document's own included. A null, empty or wordless text links with
     nothing. Rows with equal ids are one document of several texts: they share a component. A row without an
     id links with nothing and its component_id is null. An empty table gives no rows.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
-    counts = shingle_counts(base, "text", count_slots)
-    described = prefixes(base, "text", counts, percent).drop("text").checkpoint()
+    counts = shingle_counts(base, "text", count_slots, k)
+    described = prefixes(base, "text", counts, percent, k).drop("text").checkpoint()
     linkable = described.filter((F.col("n_shingles") > 0) & F.col("id").isNotNull())
 
     # Classes of equal sets, then groups of classes with equal prefix and size.
@@ -258,7 +258,7 @@ def link_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
         pairs = settled(pairs)
         done = pairs if done is None else done.union(pairs)
         likely = settled(_possible(pairs, heads, counts, percent).distinct())
-        sets = _sets_of(base, likely.select(F.explode(F.array("a", "b")).alias("class")).distinct().coalesce(likely.rdd.getNumPartitions()))
+        sets = _sets_of(base, likely.select(F.explode(F.array("a", "b")).alias("class")).distinct().coalesce(likely.rdd.getNumPartitions()), k)
         found = settled(_verified(likely, sets, percent).distinct())
         links = found if links is None else links.union(found)
         if turn == 0 or found.limit(1).count():

@@ -1,5 +1,7 @@
 """The registered queries and the pipeline."""
 
+import random
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +10,7 @@ import __spark_entry__ as E
 import corpus_pipeline
 from oracle_check import TABLES, table_hash
 from recordset.llm import rules
-from llm_helpers import ODD_TEXTS
+from llm_helpers import ODD_TEXTS, prose
 from test_duplicates import brute_components, brute_repeats
 from test_texts import brute_hits
 
@@ -63,6 +65,33 @@ def test_pipeline_stages_do_what_they_say(spark):
             assert set(after) == set(before) and len({(r.slot, r.place) for r in after.values()}) == len(after)
 
 
+def brute_near_duplicates(rows, k=5, percent=80):
+    """Smallest ids of the groups that links of k-word shingles make."""
+    sets = {i: {tuple(w[j:j + k]) for j in range(max(len(w) - k + 1, 1))} for i, t in rows for w in [t.split()]}
+    comp = {i: i for i, _ in rows}
+    for _ in rows:
+        for a in sets:
+            for b in sets:
+                both = len(sets[a] & sets[b])
+                if 100 * both >= percent * len(sets[a] | sets[b]):
+                    comp[a] = comp[b] = min(comp[a], comp[b])
+    return {i for i, c in comp.items() if i == c}
+
+
+def test_near_duplicates_of_five_words_and_80_percent(spark):
+    rng = random.Random(12)
+    rows = []
+    for n in (40, 100, 200):  # copies with more and more at the end: some link at 80 percent but not at 85
+        base = prose(rng, n)
+        rows += [base] + [base + " " + prose(rng, n * share // 100) for share in (10, 18, 20, 22, 24, 30)]
+        rows += [" ".join(base.split()[:n * share // 100]) for share in (75, 79, 82, 84, 90)]
+    rows = list(enumerate(rows))
+    schema = spark.read.parquet(f"{SF_SMALL}/documents.parquet").schema
+    given = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], schema)
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, given, SF_SMALL).collect()} == brute_near_duplicates(rows)
+    assert brute_near_duplicates(rows) != brute_near_duplicates(rows, 4, 85)
+
+
 def test_stages_take_odd_and_empty_tables(spark):
     schema = spark.read.parquet(f"{SF_SMALL}/documents.parquet").schema
     rows = [(i if i != 3 else None, t, None, None if i % 2 else "s", None) for i, t in enumerate(ODD_TEXTS)] * 2
