@@ -55,28 +55,41 @@ TOKEN = re.compile(
 NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 PART = re.compile(r"[a-z]+")
+# A class like no-sidebar or has-comments says what stands beside the content, not what the element is.
+BESIDE = frozenset("no non not has have with without hide show".split())
+FIRM_TAGS = frozenset("nav footer menu select button".split())
+# Letters of other scripts than Latin, whose languages share no stop words with those the rules know.
+OTHER_LETTER = re.compile(r"[^\W\d_a-zA-Z\u00aa-\u024f\u1e00-\u1eff]")
 
 
-def _is_chrome(tag: str, attrs: str, in_article: bool) -> bool:
+def _names_chrome(name: str) -> bool:
+    parts = PART.findall(name)
+    return any(w in CHROME_WORDS for w in parts) and not any(w in BESIDE for w in parts)
+
+
+def _is_chrome(tag: str, attrs: str, in_article: bool) -> int:
+    """0: content, 1: chrome unless the page's text stands in it, 2: chrome."""
+    if tag in FIRM_TAGS or (attrs and tag not in ARTICLE_TAGS and tag not in ("body", "html") and HIDDEN.search(attrs)):
+        return 2
     if tag in CHROME_TAGS or (tag == "header" and not in_article):
-        return True
+        return 1
     if tag in ARTICLE_TAGS or tag in ("body", "html") or not attrs:
-        return False
-    if HIDDEN.search(attrs):
-        return True
-    return any(w in CHROME_WORDS for m in NAMED.finditer(attrs) for w in PART.findall((m[1] or m[2] or m[3] or "").lower()))
+        return 0
+    return int(any(_names_chrome(x) for m in NAMED.finditer(attrs) for x in (m[1] or m[2] or m[3] or "").lower().split()))
 
 
 class Block:
-    __slots__ = ("text", "linked", "chrome", "part", "article")
+    __slots__ = ("text", "linked", "chrome", "part", "article", "inside")
 
-    def __init__(self, text: str, linked: int, chrome: bool, part: int, article: bool):
+    def __init__(self, text: str, linked: int, chrome: bool, part: int, article: bool, inside: tuple[int, ...]):
         self.text, self.linked, self.chrome, self.part, self.article = text, linked, chrome, part, article
+        self.inside = inside  # the chrome containers around it; those that are chrome in any case have negative numbers
 
 
 def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, bool, bool]] = []  # open container, whether it is chrome, whether it is skipped
+    inside: list[int] = []
     pieces: list[str] = []
     linked, in_link, part, parts, at = 0, 0, 0, 0, 0
     chrome = skipped = article = 0
@@ -85,7 +98,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            out.append(Block(text, min(linked, len(text)), chrome > 0, part, article > 0))
+            out.append(Block(text, min(linked, len(text)), chrome > 0, part, article > 0, tuple(inside)))
         pieces.clear()
         linked = 0
 
@@ -99,6 +112,8 @@ def blocks(page: str) -> list[Block]:
     def pop() -> None:
         nonlocal chrome, skipped, article
         tag, c, s = stack.pop()
+        if c:
+            inside.pop()
         chrome, skipped, article = chrome - c, skipped - s, article - (tag in ARTICLE_TAGS)
 
     for m in TOKEN.finditer(page):
@@ -147,8 +162,10 @@ def blocks(page: str) -> list[Block]:
             if tag in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == tag:
                 pop()  # these end their own kind
             skip = tag in SKIPPED_TAGS
-            stack.append((tag, is_chrome, skip))
-            chrome, skipped, article = chrome + is_chrome, skipped + skip, article + (tag in ARTICLE_TAGS)
+            stack.append((tag, is_chrome > 0, skip))
+            if is_chrome:
+                inside.append((1 if is_chrome == 1 else -1) * (parts + 1))
+            chrome, skipped, article = chrome + (is_chrome > 0), skipped + skip, article + (tag in ARTICLE_TAGS)
             if is_chrome or tag in ARTICLE_TAGS:
                 parts += 1
                 part = parts
@@ -171,9 +188,39 @@ def decide(b: Block) -> bool | None:
     return None
 
 
+def _plain(b: Block, length: int) -> bool:
+    return len(b.text) >= length and b.linked <= LINK_SHARE * len(b.text)
+
+
+def lift(found: list[Block]) -> None:
+    """Where no long text stands outside the chrome, a container with most of the page's long text is no chrome."""
+    if not any(b.chrome for b in found) or any(not b.chrome and _plain(b, LONG) for b in found):
+        return
+    held: dict[int, int] = {}
+    total = 0
+    for b in found:
+        if _plain(b, LONG):
+            total += len(b.text)
+            for c in b.inside:
+                held[c] = held.get(c, 0) + len(b.text)
+    lifted = {c for c, n in held.items() if c > 0 and 2 * n > total}
+    for b in found:
+        b.chrome = any(c not in lifted for c in b.inside)
+
+
+def _other_script(text: str) -> bool:
+    return 2 * len(OTHER_LETTER.findall(text)) > sum(map(str.isalpha, text))
+
+
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
+    lift(found)
     first = [decide(b) for b in found]
+    # Stop words say nothing of a language they are not of: then length and links decide.
+    known = True in first
+    for i, b in enumerate(found):
+        if first[i] is None and ((not known and _plain(b, LONG)) or (_plain(b, MIN_LENGTH) and _other_script(b.text))):
+            first[i] = True
     # The nearest decided block on either side, for every block in two sweeps; blocks of the same part count first.
     n = len(found)
     near: list[list[tuple[int, int, bool]]] = [[] for _ in range(n)]

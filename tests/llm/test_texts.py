@@ -155,6 +155,23 @@ PAGES = [
 ]
 
 
+RUSSIAN = "Вчера вечером городской совет принял решение о строительстве нового моста через реку. " * 4
+FINNISH = "Kaupunginvaltuusto päätti eilen illalla uuden sillan rakentamisesta joen yli, kertoo paikallinen sanomalehti. " * 4
+CHINESE = "昨天晚上市议会决定在河上修建一座新的大桥,工程预计明年春天开始。" * 8
+
+
+@pytest.mark.parametrize("text", [RUSSIAN.strip(), FINNISH.strip(), CHINESE])
+def test_main_text_of_other_languages(text):
+    menu = "<nav><ul><li><a href=x>Menu</a></ul></nav>"
+    assert html_text.main_text(f"{menu}<div><p>{text}</p></div><footer>foot</footer>") == text
+
+
+@pytest.mark.parametrize("part", ["div class='content no-sidebar'", "div class='post has-comments'", "div class='with-ads'", "form id='aspnetForm'", "div class='sidebar-layout'"])
+def test_main_text_inside_of_what_is_named_like_chrome(part):
+    page = f"<{part}><nav><a href=x>Menu</a></nav><p>{LONG}</p><div class=comments><p>{LONG}</p></div></{part.split()[0]}>"
+    assert html_text.main_text(page.replace(f"<p>{LONG}</p><div", f"<p>{LONG}</p><p>{LONG}</p><div")) == f"{LONG.strip()}\n\n{LONG.strip()}"
+
+
 @pytest.mark.parametrize("page,text", PAGES)
 def test_main_text(page, text):
     assert html_text.main_text(page) == text
