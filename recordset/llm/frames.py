@@ -37,9 +37,11 @@ def map_text(df: DataFrame, text: str, make: Callable[[], Callable[..., list]],
     """
     new = {f.name.lower() for f in fields}
     kept = [c for c in df.columns if c.lower() not in new]
-    schema = T.StructType([df.schema[c] for c in kept] + fields)
-    names, i, types = kept + [f.name for f in fields], df.columns.index(text), [arrow_type(f.dataType) for f in fields]
-    at, more = [df.columns.index(c) for c in kept], [df.columns.index(c) for c in also]
+    at, more = [i for i, c in enumerate(df.columns) if c.lower() not in new], [df.columns.index(c) for c in also]
+    # Names of all kinds, dots and repeated ones included, are set aside for the task and come back by place.
+    plain = [f"c{i}" for i in range(len(kept) + len(fields))]
+    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(plain, [*(df.schema.fields[j] for j in at), *fields])])
+    i, types = df.columns.index(text), [arrow_type(f.dataType) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = None
@@ -48,9 +50,9 @@ def map_text(df: DataFrame, text: str, make: Callable[[], Callable[..., list]],
                 continue
             fn = fn or make()
             cols = [pa.array(v, t) if not isinstance(v, pa.Array) else v for v, t in zip(fn(b.column(i), *(b.column(j) for j in more)), types, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(j) for j in at] + cols, names=names)
+            yield pa.RecordBatch.from_arrays([b.column(j) for j in at] + cols, names=plain)
 
-    return df.mapInArrow(run, schema)
+    return df.toDF(*(f"c{j}" for j in range(len(df.columns)))).mapInArrow(run, schema).toDF(*kept, *(f.name for f in fields))
 
 
 def arrow_type(t: T.DataType) -> pa.DataType:

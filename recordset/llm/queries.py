@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordset.llm import decontaminate, html_text, licenses, lm, mixing, ngram_join, quality, rules, suffix_dedup, toxicity
+from recordset.llm import decontaminate, embedding_dedup, html_text, licenses, lm, mixing, ngram_join, quality, rules, spelling, suffix_dedup, toxicity, whitening
 from recordset.llm.frames import crc_fold, table
 from recordset.session import ensure_checkpoint_dir
 
@@ -140,3 +140,60 @@ SELECT d.doc_id, CAST(coalesce(per.n, 0) AS BIGINT) AS n_licenses, coalesce(per.
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_licenses", F.array_join("licenses", ",").alias("licenses"))
+
+
+# Brute force: all pairs of one label, and the ids reachable over links.
+EMBEDDING_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS rid, vec_id, label, CAST(embedding AS DOUBLE[]) AS e,
+    vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, x -> x <> 0)) > 0 AS ok
+  FROM embeddings),
+u AS (SELECT rid, vec_id, label, e FROM v WHERE ok),
+link AS (
+  SELECT a.rid AS a, b.rid AS b, a.vec_id AS id_a, b.vec_id AS id_b FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e) AND a.rid <> b.rid
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id AS id, vec_id AS other FROM u UNION SELECT r.id, l.id_b FROM reach r JOIN link l ON l.id_a = r.other),
+comp AS (SELECT id, min(other) AS c FROM reach GROUP BY id),
+deg AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(deg.n, 0) AS BIGINT) AS n_links, CASE WHEN v.ok THEN comp.c ELSE v.vec_id END AS component_id,
+  coalesce(CASE WHEN v.ok THEN comp.c ELSE v.vec_id END = v.vec_id, true) AS kept
+FROM v LEFT JOIN deg ON deg.a = v.rid LEFT JOIN comp ON comp.id = v.vec_id
+"""
+
+
+@register("op11_embedding_near_dedup", EMBEDDING_SQL)
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    found = embedding_dedup.link_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+@register("op12_spelling_variants")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents after the query's own deletions of code points."""
+    ensure_checkpoint_dir(spark)
+    runs = spelling.misspelled(spelling.letter_runs(table(spark, sf_dir, "documents")))
+    return spelling.group_variants(spelling.word_counts(runs)).select("word", "n", "n_near", "form", "form_n", "root")
+
+
+@register("op13_embedding_whitening")
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted on all usable vectors, in whole steps of 1/64; up to 32 components of each."""
+    rows = table(spark, sf_dir, "embeddings").filter(F.col("embedding").isNotNull() & F.forall("embedding", lambda c: F.coalesce(F.abs(c) < float("inf"), F.lit(False))))
+    steps = rows.select("vec_id", F.transform("embedding", lambda c: F.floor(64 * c.cast("double")) + 1_000_000).alias("x"))
+    model = whitening.fit_whitening(steps, "x")
+    white = whitening.whiten(steps, model, "x")
+    error = whitening.identity_error(white)
+    each = F.posexplode("whitened").alias("place", "whitened")
+    if model is None:
+        total = share = F.lit(None)
+    else:
+        # Squares of whole numbers, exact; null where the sum is beyond a long.
+        part = F.zip_with("x", F.array(*(F.lit(int(s)) for s in model.sums)), lambda x, s: F.try_subtract(F.try_multiply(F.lit(model.n).cast("long"), x), s))
+        total = F.aggregate(part, F.lit(0).cast("long"), lambda acc, d: F.try_add(acc, F.try_multiply(d, d)))
+        share = F.element_at(F.array(*(F.lit(float(e)) for e in model.explained())), F.col("component"))
+    out = white.select("vec_id", total.cast("long").alias("deviation"), each)
+    return out.withColumn("component", (F.col("place") + 1).cast("int")).select(
+        "vec_id", "component", F.lit(model.n if model else 0).cast("long").alias("n"), "deviation", "whitened", share.cast("double").alias("explained"),
+        F.lit(error).alias("identity_error"))
