@@ -23,6 +23,21 @@ def apart(df: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], D
     return df.select(*(F.col(f"`{c}`").alias(n) for c, n in own.items())), lambda out: out.select(*(F.col(n).alias(c) for c, n in own.items()))
 
 
+def dealt_alike(df: DataFrame) -> DataFrame:
+    """``df`` such that every evaluation deals the same rows to the same partitions in the same order.
+
+    A projection and selection of files does so by itself. What stands behind a shuffle, a join or a nondeterministic
+    expression need not, so it is written to the checkpoint folder once.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    plain = plan.deterministic()
+    while plain and plan.nodeName() in ("Project", "Filter"):
+        plan = plan.child()
+    name = plan.nodeName()
+    files = name in ("LogicalRelation", "LocalRelation") or name == "LogicalRDD" and plan.rdd().isCheckpointed()
+    return df if plain and files else df.checkpoint()
+
+
 def crc_fold(key: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the text ''."""
     return (F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % n).cast("int")

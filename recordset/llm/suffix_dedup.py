@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordset.llm.frames import map_text
+from recordset.llm.frames import dealt_alike, dealt_alike, map_text
 from recordset.llm.textvec import U64, Chunk, chunks, column_bytes, mix
 
 LENGTH = 100
@@ -379,14 +379,21 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     """``docs`` with n_bytes, n_removed, n_spans and kept_sha256, and with ``keep_text`` the text that is left in place of the old one.
 
     Texts are taken as UTF-8 bytes; what is left of a character cut in two is dropped from the text, not from the digest. A null text is
-    empty and loses nothing. Ids come in ascending order, a null id last, and rows of equal id in the order of the scan, so of
-    repeated rows one stays. Columns named like a new one are replaced.
+    empty and loses nothing. Ids are whole numbers (others fail the cast) and come in ascending order, a null id last, and rows of equal id in the order of the scan, so of
+    repeated rows one stays. Columns named like a new one are replaced; others may have any names. An empty table gives no rows.
+
+    Rows are told apart by their place, so ``docs`` must be dealt alike whenever it is evaluated: anything but a selection from files
+    is written to the checkpoint folder first.
     """
     spark = docs.sparkSession
     new = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
-    names = [c for c in docs.columns if c != text and c.lower() not in new]
-    rows = docs.select(*names, F.col(text).alias("_text"), F.monotonically_increasing_id().alias("_row"),
-                       F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("_doc"))
+    docs = dealt_alike(docs)
+    columns = docs.columns
+    kept = [i for i, c in enumerate(columns) if c != text and c.lower() not in new]
+    own = docs.toDF(*(f"c{i}" for i in range(len(columns))))
+    at = lambda c: F.col(f"c{columns.index(c)}")
+    rows = own.select(*(f"c{i}" for i in kept), at(text).alias("_text"), F.monotonically_increasing_id().alias("_row"),
+                      F.coalesce(at(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("_doc"))
     n_buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     joined = rows.join(repeated_spans(rows, n_buckets), "_row", "left")
 
@@ -413,4 +420,5 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     long = T.LongType()
     fields = [T.StructField(n, long) for n in new[:3]] + [T.StructField("kept_sha256", T.StringType()), T.StructField("_left", T.StringType())]
     out = map_text(joined, "_text", make, fields, ("_spans",)).drop("_row", "_doc", "_spans", "_text")
-    return out.withColumnRenamed("_left", text) if keep_text else out.drop("_left")
+    names = [columns[i] for i in kept] + list(new)
+    return out.toDF(*names, text) if keep_text else out.drop("_left").toDF(*names)

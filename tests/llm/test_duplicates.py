@@ -114,6 +114,29 @@ def test_suffix_dedup_matches_brute_force(docs, seed):
     assert sorted(map(tuple, got), key=str) == brute_repeats(list(enumerate(texts)))
 
 
+def test_suffix_dedup_of_rows_that_are_dealt_anew(spark, docs):
+    """Behind a shuffle, a join or a random column each evaluation may deal the rows otherwise; the result stays that of the rows."""
+    ensure_checkpoint_dir(spark)
+    texts = pieces(4) + pieces(6)
+    want = brute_repeats(list(enumerate(texts)))
+    base = docs(texts)
+    names = spark.createDataFrame([(i, i % 3) for i in range(len(texts))], "doc_id bigint, k int")
+    for df in (base.repartition(7), base.join(names, "doc_id"), base.withColumn("r", F.rand()).filter("r >= 0"), base.orderBy(F.rand()).distinct()):
+        got = suffix_dedup.remove_repeats(df).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+        assert sorted(map(tuple, got), key=str) == want
+
+
+def test_suffix_dedup_beside_columns_of_any_name(spark, docs):
+    texts = pieces(7)
+    want = brute_repeats(list(enumerate(texts)))
+    odd = ("_row", "_doc", "_places", "_spans", "_left", "a.b", "n_BYTES")
+    df = docs(texts).withColumns({c: F.lit(c) for c in odd})
+    out = suffix_dedup.remove_repeats(df, keep_text=True)
+    assert [c for c in odd if c in out.columns] == list(odd[:-1]) and out.columns[-1] == "text"
+    assert sorted(map(tuple, out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()), key=str) == want
+    assert out.select("_row", "`a.b`").distinct().collect() == [("_row", "a.b")]
+
+
 def test_suffix_dedup_in_small_parts(docs, monkeypatch):
     """Many flushes in a task give the same result as one."""
     texts = pieces(5)
