@@ -34,8 +34,6 @@ STRETCH = 8
 # What the log ratio of a word exceeds these by is summed up.
 STRONG = (2.0, 4.0)
 N_FEATURES = 5
-# A table has four slots a key, and 2**20 slots at most; keys it has no room for leave their mass to the shorter string.
-MAX_SLOT_BITS = 20
 FOLDED = np.where(NOT_ALNUM[LOWER], np.uint8(0x20), LOWER).astype(np.uint8)
 FIT_CHUNK = 4 << 20
 
@@ -84,27 +82,53 @@ def _context(key: np.ndarray, order: int) -> np.ndarray:
     return (key >> U64(8)) | U64(order << 56)
 
 
-def build_slots(keys: np.ndarray, values: np.ndarray, weight: np.ndarray, absent: float) -> tuple:
-    """Values of distinct 64-bit keys in a fixed table, each guarded by a 32-bit check, so that other keys read as absent."""
-    order = np.argsort(weight, kind="stable")  # of keys that meet in a slot the heaviest stays
-    bits = min(max((4 * len(keys)).bit_length(), 8), MAX_SLOT_BITS)
-    h = mix(keys[order])
-    at = (h >> U64(64 - bits)).astype(np.int64)
-    check, value = np.zeros(1 << bits, np.uint32), np.full((1 << bits, 2), absent, np.float32)
-    check[at] = h.astype(np.uint32)
-    value[at] = values[order]
-    return check, value, absent
-
-
-def read_slots(slots: tuple, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(values, which keys the table holds)."""
-    check, value, absent = slots
-    h = mix(keys)
-    at = (h >> U64(65 - len(check).bit_length())).astype(np.int64)
-    held = check[at] == h.astype(np.uint32)
+def build_slots(keys: np.ndarray, values: np.ndarray, absent: float) -> tuple:
+    """Values of distinct 64-bit keys in an open table, two to four slots a key; every key reads back its own value.
+
+    A key lies at the first free slot from its hash on, guarded by a 32-bit check. Should two checks agree where one key's search passes the
+    other, the table is built again with another hash.
+    """
+    bits = max((2 * len(keys)).bit_length(), 8)
+    salt = 0
+    while True:
+        check, value = np.zeros(1 << bits, np.uint32), np.full((1 << bits, 2), absent, np.float32)
+        at, mark = _slot_and_check(keys, salt, bits)
+        left = np.arange(len(keys))
+        while len(left):
+            free = check[at[left]] == 0
+            # Of the keys that want one free slot the first takes it; the others go on to the next slot.
+            slot, first = np.unique(at[left[free]], return_index=True)
+            placed = left[free][first]
+            check[slot], value[slot] = mark[placed], values[placed]
+            left = np.setdiff1d(left, placed, assume_unique=True)
+            at[left] = np.where(check[at[left]] != 0, (at[left] + 1) & ((1 << bits) - 1), at[left])
+        table = (check, value, absent, salt)
+        if (read_slots(table, keys) == values.astype(np.float32)).all():
+            return table
+        salt += 1
+
+
+def _slot_and_check(keys: np.ndarray, salt: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    h = mix(keys + U64(salt))
+    return (h >> U64(64 - bits)).astype(np.int64), h.astype(np.uint32) | np.uint32(1)
+
+
+def read_slots(slots: tuple, keys: np.ndarray) -> np.ndarray:
+    check, value, absent, salt = slots
+    at, want = _slot_and_check(keys, salt, len(check).bit_length() - 1)
+    got = check[at]
     out = value[at]
-    out[~held] = absent
-    return out, held
+    out[got != want] = absent
+    on = np.flatnonzero((got != want) & (got != 0))
+    at, want = at[on], want[on]
+    while len(on):
+        at = (at + 1) & (len(check) - 1)
+        got = check[at]
+        held = got == want
+        out[on[held]] = value[at[held]]
+        further = ~held & (got != 0)
+        on, at, want = on[further], at[further], want[further]
+    return out
 
 
 def _count(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -139,13 +163,12 @@ def fit_models(texts: list[np.ndarray], y: np.ndarray) -> dict:
         for k in (0, 1):
             total = np.bincount(at, weights=count[:, k], minlength=len(ctx))
             part[:, k] = np.maximum(count[:, k] - DISCOUNT, 0) / np.maximum(total[at], 1) if len(keys) else 0
-        slots = build_slots(keys[kept], part[kept], count[kept].sum(axis=1), 0.0)
-        part[~(kept & read_slots(slots, keys)[1])] = 0  # strings pushed out of the table give their mass to the shorter string as well
+        slots = build_slots(keys[kept], part[kept], 0.0)
         for k in (0, 1):
             left[:, k] -= np.bincount(at, weights=part[:, k], minlength=len(ctx))
         some = left.min(axis=1) < 1 if len(ctx) else np.zeros(0, bool)
         model["parts"].append(slots)
-        model["lam"].append(build_slots(ctx[some], left[some], (1 - left[some]).sum(axis=1), 1.0))
+        model["lam"].append(build_slots(ctx[some], left[some], 1.0))
         # continuation counts: distinct strings of this order that end with the next shorter one
         short = ORDERS[ORDERS.index(n) + 1] if n != ORDERS[-1] else 1
         per = [np.unique(k & U64((1 << (8 * short)) - 1), return_counts=True) for k, _ in per]
@@ -161,7 +184,7 @@ def byte_ratio(m: dict, f: Folded) -> np.ndarray:
     p = np.repeat(m["shared"][f.buf][:, None], 2, axis=1)
     strings = f.strings()
     for n, parts, lam in reversed(list(zip(ORDERS, m["parts"], m["lam"]))):
-        p = read_slots(parts, strings[n])[0] + read_slots(lam, _context(strings[n], n))[0] * p
+        p = read_slots(parts, strings[n]) + read_slots(lam, _context(strings[n], n)) * p
     p = np.log(np.maximum(p, 1e-12))
     return (p[:, 1] - p[:, 0]).astype(np.float64)
 

@@ -88,10 +88,40 @@ def test_toxicity_models_are_distributions():
         p = np.repeat(m["shared"][f.buf][:, None], 2, axis=1)
         strings = f.strings()
         for n, parts, lam in reversed(list(zip(toxicity.ORDERS, m["parts"], m["lam"]))):
-            p = toxicity.read_slots(parts, strings[n])[0] + toxicity.read_slots(lam, toxicity._context(strings[n], n))[0] * p
+            p = toxicity.read_slots(parts, strings[n]) + toxicity.read_slots(lam, toxicity._context(strings[n], n)) * p
         assert np.allclose(p[len(context)::len(context) + 1].sum(axis=0), 1, atol=1e-3)
 
 
+@pytest.mark.parametrize("n", [0, 1, 300, 5000, 700_000])
+def test_every_key_reads_back_its_value(n):
+    """Whatever the number of keys, none is lost and none reads as another."""
+    rng = np.random.default_rng(n)
+    keys = np.unique(rng.integers(0, 1 << 62, 2 * n, dtype=np.uint64))
+    rng.shuffle(keys)
+    keys, absent = keys[:n], keys[n:]
+    values = rng.random((n, 2)) + 1
+    slots = toxicity.build_slots(keys, values, 0.0)
+    assert (toxicity.read_slots(slots, keys) == values.astype(np.float32)).all()
+    assert len(slots[0]) <= max(256, 4 * n) and (toxicity.read_slots(slots, absent) > 0).any(axis=1).mean() < 1e-6 if n else True
+
+
+def test_every_counted_string_keeps_its_share():
+    """Each string above the discount has its own share in the model, in either class."""
+    rng = random.Random(3)
+    texts = [np.frombuffer(prose(rng, 400, 5000).encode(), np.uint8) for _ in range(120)]
+    y = np.arange(120) % 2
+    m = toxicity.fit_models(texts, y)
+    for k in (0, 1):
+        keys, counts = toxicity._count([t for t, label in zip(texts, y) if label == k])
+        n = toxicity.ORDERS[0]
+        ctx = toxicity._context(keys, n)
+        total = {}
+        for c, x in zip(counts.tolist(), ctx.tolist()):
+            total[x] = total.get(x, 0) + c
+        want = np.array([max(c - toxicity.DISCOUNT, 0) / total[x] for c, x in zip(counts.tolist(), ctx.tolist())])
+        assert (want > 0).sum() > 1000 and np.allclose(toxicity.read_slots(m["parts"][0], keys)[:, k], want, rtol=1e-6)
+
+
 def test_rules_keep_clean_rows(sample):
     docs, labels, good, _ = sample
     rows = rules.apply_rules(docs, rules.fit_rule_model(docs, labels)).collect()
