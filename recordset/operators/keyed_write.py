@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from recordset.functions.types import to_storage
 from recordset.options import GENERATION_POLICIES, SAVE_MODES
-from recordset.sources.store import DIGEST, EXPIRY, GENERATION, KEY, META, STORED_META, TTL, digest
+from recordset.sources.store import DIGEST, EXPIRY, GENERATION, KEY, META, STORED_META, TTL, digest, tagged_digest
 
 OUTCOMES = (
     "created",
@@ -86,21 +86,41 @@ EXISTS_MESSAGE = "keys already exist in the set"
 
 
 def _incoming_bins(incoming: DataFrame, spec: WriteSpec) -> list[str]:
-    """SNK-13: written bins = incoming columns minus metadata (under either name); the key column stays a bin."""
-    skip = (set(META) | set(spec.meta_columns) | {spec.ttl_col, spec.generation_col, spec.digest_col, spec.order_by}) - {spec.key_col, None}
+    """SNK-13: written bins = incoming columns minus metadata (under either name).
+
+    The key column stays a bin too, unless it is the metadata key column of a scan.
+    """
+    names = set(META) | set(spec.meta_columns)
+    skip = names | ({spec.ttl_col, spec.generation_col, spec.digest_col, spec.order_by} - {spec.key_col, None})
     return sorted(c for c in incoming.columns if c not in skip)
 
 
+def _scanned_digest(incoming: DataFrame, spec: WriteSpec) -> str | None:
+    """The digest column beside a scan's own key column: it says which key type the text of the key stands for."""
+    if spec.key_col not in (KEY, spec.meta_columns[0]):
+        return None
+    return next((c for c in (spec.meta_columns[1], DIGEST) if c in incoming.columns), None)
+
+
 def prepare_incoming(incoming: DataFrame, spec: WriteSpec) -> DataFrame:
     """Incoming rows in stored form: __key, __digest, __in_gen, __in_expiry, __ok, bins (normalised); one row a digest.
 
     ``__ok`` is true; reading it fails on a null key and, without ``order_by``, on a repeated one.
     """
+    return one_row_a_digest(stored_form(incoming, spec), spec)
+
+
+def stored_form(incoming: DataFrame, spec: WriteSpec) -> DataFrame:
+    """Incoming rows as __key, __digest, __in_gen, __in_expiry, __order (with ``order_by``) and bins, row by row."""
     bins = _incoming_bins(incoming, spec)
     if spec.key_col:
         kt = incoming.schema[spec.key_col].dataType
         key = F.col(spec.key_col).cast("string")
         dig = digest(spec.set_name, spec.key_col, kt)
+        if own := _scanned_digest(incoming, spec):
+            # A record of this set written back keeps its identity, integer and binary keys included, whose text the column holds.
+            typed = [tagged_digest(spec.set_name, tag, key) for tag in ("L", "B")]
+            dig = F.coalesce(*(F.when(F.col(own) == t, t) for t in typed), dig)
     else:
         # By digest the key is not needed; a scanned frame still carries it.
         name = next((c for c in (spec.meta_columns[0], KEY) if c in incoming.columns), None)
@@ -113,7 +133,7 @@ def prepare_incoming(incoming: DataFrame, spec: WriteSpec) -> DataFrame:
     else:
         expiry = F.lit(None)
     extra = [F.col(spec.order_by).alias("__order")] if spec.order_by else []
-    pre = incoming.select(
+    return incoming.select(
         key.alias(KEY),
         dig.alias(DIGEST),
         gen.alias("__in_gen"),
@@ -121,6 +141,10 @@ def prepare_incoming(incoming: DataFrame, spec: WriteSpec) -> DataFrame:
         *extra,
         *[to_storage(F.col(c), incoming.schema[c].dataType).alias(c) for c in bins],  # SNK-14
     )
+
+
+def one_row_a_digest(pre: DataFrame, spec: WriteSpec) -> DataFrame:
+    """Rows in stored form with ``__ok``, one for each digest."""
     no_key = F.when(F.col(DIGEST).isNull(), F.raise_error(F.lit("a keyed write needs a key in every row")))
     if spec.order_by is None:
         # The window has the shuffle and the sort that the join on the digest needs anyway.
@@ -215,14 +239,21 @@ def merge(target: DataFrame, incoming: DataFrame, spec: WriteSpec, small: bool =
 
     In mode errorifexists the job that reads the result fails when any key exists.
     """
-    inc = prepare_incoming(incoming, spec)
+    return merge_prepared(target, prepare_incoming(incoming, spec), spec, small)
+
+
+def merge_prepared(target: DataFrame, inc: DataFrame, spec: WriteSpec, small: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``merge`` of rows that ``prepare_incoming`` made.
+
+    With ``carry`` these columns of the target come along as they are (null for new records), and ``__written`` says whether the write made the row.
+    """
     j, t_cols, i_cols = _join(target, inc, spec, small)
     j = j.withColumn("__outcome", _outcome(spec))
     if spec.mode == "errorifexists":
         conflict = F.when(F.col("__outcome") == "exists_error", F.raise_error(F.lit(EXISTS_MESSAGE)).cast("boolean"))
         j = j.where(F.coalesce(conflict, F.lit(True)))
 
-    t_bins = [c for c in t_cols if c not in META]
+    t_bins = [c for c in t_cols if c not in META and c not in carry]
     i_bins = [c for c in i_cols if c not in STORED_META and not c.startswith("__")]
     all_bins = sorted(set(t_bins) | set(i_bins))
     o = F.col("__outcome")
@@ -259,6 +290,7 @@ def merge(target: DataFrame, incoming: DataFrame, spec: WriteSpec, small: bool =
         expiry.cast("int").alias(EXPIRY),
         gen.cast("int").alias(GENERATION),
         *bins,
+        *([F.col(f"__t_{c}").alias(c) for c in carry] + [(~keep_t).alias("__written")] if carry else []),
     )
 
 

@@ -19,17 +19,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordset.sources.store import KEY, META
+from recordset.sources.store import DIGEST, KEY, META, digest, set_of
 
-def _key_str(c: Column) -> Column:
-    return c.cast("string")
+
+def _identity(ds: DataFrame, key_col: str, target: DataFrame) -> tuple[Column, str]:
+    """(what a dataset row is looked up by, the target's column for it).
+
+    A record is addressed by set, key type and key: the digest of the dataset's key, in its own type. A target that does not name its set (no view of
+    ``scan_set``, ``scan_view`` or ``as_set``) is looked up by the key's text.
+    """
+    name = set_of(target)
+    if name is not None:
+        return digest(name, ds[key_col], ds.schema[key_col].dataType), DIGEST
+    return ds[key_col].cast("string"), KEY
 
 
 def fetch(ds: DataFrame, key_col: str, target: DataFrame, small: bool = False) -> DataFrame:
-    """Records of ``target`` whose ``__key`` is among the keys of ``ds``."""
-    keys = ds.select(_key_str(F.col(key_col)).alias("__lk")).where(F.col("__lk").isNotNull()).distinct()
+    """Records of ``target`` that the keys of ``ds`` address."""
+    own, column = _identity(ds, key_col, target)
+    keys = ds.select(own.alias("__lk")).where(F.col("__lk").isNotNull()).distinct()
     k = F.broadcast(keys) if small else keys
-    return target.join(k, target[KEY] == k["__lk"], "left_semi")
+    return target.join(k, target[column] == k["__lk"], "left_semi")
 
 
 def lookup_map(
@@ -117,8 +127,9 @@ def intersect_match(
         raise ValueError(f"dataset has no field for bins {missing}")
     # Without a known small dataset one shuffle of each side on the key; a semi-join first would shuffle the set twice.
     found = fetch(ds, key_col, target, small=True) if small else target
-    r = found.select(F.col(KEY).alias("__rk"), *[F.col(b).alias(f"__r_{b}") for b in bins])
-    j = ds.join(r, _key_str(ds[key_col]) == r["__rk"], "left")
+    own, column = _identity(ds, key_col, target)
+    r = found.select(F.col(column).alias("__rk"), *[F.col(b).alias(f"__r_{b}") for b in bins])
+    j = ds.join(r, own == r["__rk"], "left")
     agree = F.lit(True)
     for b in bins:
         rb = F.col(f"__r_{b}")

@@ -7,14 +7,11 @@ from there; the oracle reads orders directly.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import functions as F
 
 from recordset.functions import parse as P
-from recordset.session import ensure_checkpoint_dir
+from recordset.session import scratch_folder
 from recordset.sources.ingest import ingest_delimited, read_lines
-from recordset.sources.layout import path_exists
 from recordset.plans.data import table
 from recordset.plans.registry import query
 
@@ -47,11 +44,9 @@ def order_lines(spark, sf_dir):
 
 
 def order_files(spark, sf_dir):
-    """The lines as text files in the shared scratch folder, written once for each input folder; one file begins with the header."""
-    digest = hashlib.sha1(sf_dir.encode()).hexdigest()[:16]
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/order-lines-{digest}"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        order_lines(spark, sf_dir).write.mode("overwrite").text(path)
+    """The lines of all orders as text files in a fresh folder of the shared scratch space; one file begins with the header."""
+    path = scratch_folder(spark, "order-lines")
+    order_lines(spark, sf_dir).write.text(path)
     return path
 
 

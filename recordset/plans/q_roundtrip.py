@@ -7,11 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recordset.operators.keyed_write import WriteConflict
+from recordset.operators.bucketed_write import compact, write_bucketed
+from recordset.operators.keyed_write import WriteConflict, WriteSpec
+from recordset.operators.lookup import intersect_match, lookup_wide
 from recordset.plans.data import AS_OF_SEC, table
 from recordset.plans.registry import query
 from recordset.session import scratch_folder
 from recordset.sources.api import reader, writer
+from recordset.sources.layout import latest_version
 from recordset.sources.store import digest_hex
 
 
@@ -110,3 +113,107 @@ def write_renamed_metadata_q(spark, sf_dir):
     _save(seen, root, "named", "append", **names)
     got = reader(spark).options(namespace=root, **names).load("named", as_of=AS_OF_SEC)
     return got.select("id", "gen", "o_orderstatus", F.lit(",".join(sorted(got.columns))).alias("columns"))
+
+
+def _price(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+
+
+@query(
+    "write_roundtrip_growing",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS __key, CAST(1 + (o_orderkey % 50 = 0)::INT + (o_orderkey % 7 = 0)::INT AS INTEGER) AS __generation, o_orderkey,
+         CASE WHEN o_orderkey % 7 = 0 THEN -1.0 ELSE o_totalprice END AS o_totalprice, true AS grown, true AS split FROM orders""",
+    ("SNK-1", "SNK-6"),
+)
+def write_roundtrip_growing_q(spark, sf_dir):
+    """A small first write, then all orders, then an upsert of every seventh: buckets split by size, records in deltas count once."""
+    root = scratch_folder(spark, "set")
+    spec = WriteSpec("grow", mode="append", key_col="o_orderkey", as_of=AS_OF_SEC)
+    orders, size = _price(spark, sf_dir), 16 << 10
+    k = F.col("o_orderkey")
+    write_bucketed(spark, orders.where(k % 50 == 0), f"{root}/grow", spec, buckets=1, bucket_bytes=size)
+    write_bucketed(spark, orders, f"{root}/grow", spec, bucket_bytes=size)
+    write_bucketed(spark, orders.where(k % 7 == 0).withColumn("o_totalprice", F.lit(-1.0)), f"{root}/grow", spec, bucket_bytes=size)
+    _, now = latest_version(spark, f"{root}/grow")
+    largest = max(sum(s.bytes for s in own) for own in now.segments.values())
+    got = reader(spark).option("namespace", root).load("grow", as_of=AS_OF_SEC)
+    return got.select("__key", "__generation", "o_orderkey", "o_totalprice", F.lit(now.buckets > 1).alias("grown"), F.lit(largest <= 2 * size).alias("split"))
+
+
+@query(
+    "write_back_scanned",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS __key, lower(sha1('back:L:' || CAST(o_orderkey AS VARCHAR))) AS __digest, CAST(2 AS INTEGER) AS __generation,
+         o_orderkey, o_totalprice + 1 AS o_totalprice, '__digest,__expiry,__generation,__key,__ttl,o_orderkey,o_totalprice' AS columns FROM orders""",
+    ("SNK-8", "SNK-13", "SRC-3"),
+)
+def write_back_scanned_q(spark, sf_dir):
+    """Scan, change, write back by the key column that the scan itself gives: the same records, no new bin."""
+    root = scratch_folder(spark, "set")
+    _save(_price(spark, sf_dir), root, "back", "append")
+    seen = reader(spark).option("namespace", root).load("back", as_of=AS_OF_SEC).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    writer(seen).mode("append").set("back").key("__key").option("namespace", root).save(as_of=AS_OF_SEC)
+    got = reader(spark).option("namespace", root).load("back", as_of=AS_OF_SEC)
+    return got.select("__key", digest_hex("__digest").alias("__digest"), "__generation", "o_orderkey", "o_totalprice", F.lit(",".join(sorted(got.columns))).alias("columns"))
+
+
+@query(
+    "write_key_or_digest",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS __key, o_totalprice, 'both refused, neither refused' AS checks FROM orders",
+    ("SNK-10",),
+)
+def write_key_or_digest_q(spark, sf_dir):
+    """A write that names both a key and a digest column, or neither, is refused and changes nothing."""
+    root = scratch_folder(spark, "set")
+    _save(_price(spark, sf_dir), root, "one", "append")
+    changed = _price(spark, sf_dir).withColumn("o_totalprice", F.lit(0.0)).withColumn("d", F.unhex(F.sha1(F.col("o_orderkey").cast("string"))))
+    checks = []
+    for name, w in (("both", writer(changed).key("o_orderkey").digest("d")), ("neither", writer(changed))):
+        try:
+            w.mode("append").set("one").option("namespace", root).save(as_of=AS_OF_SEC)
+            checks.append(f"{name} written")
+        except ValueError:
+            checks.append(f"{name} refused")
+    got = reader(spark).option("namespace", root).load("one", as_of=AS_OF_SEC)
+    return got.select("__key", "o_totalprice", F.lit(", ".join(checks)).alias("checks"))
+
+
+@query(
+    "compact_expired",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS __key, o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 0.0 ELSE o_totalprice END AS o_totalprice,
+         (SELECT count(*) FROM orders WHERE o_orderkey % 5 <> 0) AS stored FROM orders WHERE o_orderkey % 5 <> 0""",
+    ("SNK-12", "SRC-5"),
+)
+def compact_expired_q(spark, sf_dir):
+    """Every fifth order expires after a second; a later compaction leaves as many stored records as live ones, deltas folded."""
+    root = scratch_folder(spark, "set")
+    rows = _price(spark, sf_dir).withColumn("ttl", F.when(F.col("o_orderkey") % 5 == 0, 1).otherwise(-1))
+    _save(rows, root, "dies", "append", buckets=8, ttlColumn="ttl")
+    _save(_price(spark, sf_dir).where("o_orderkey % 3 = 0").withColumn("o_totalprice", F.lit(0.0)), root, "dies", "append")
+    now = compact(spark, f"{root}/dies", AS_OF_SEC + 10)
+    got = reader(spark).option("namespace", root).load("dies", as_of=AS_OF_SEC)
+    return got.select("__key", "o_orderkey", "o_totalprice", F.lit(now.rows).cast("long").alias("stored"))
+
+
+@query(
+    "lookup_mixed_key_types",
+    """SELECT 'found' AS part, o_orderkey AS k, CASE WHEN o_orderkey % 2 = 0 THEN 'integer' ELSE 'text' END AS kind, count(*) AS n FROM orders GROUP BY ALL
+       UNION ALL SELECT 'matched', o_orderkey, NULL, 1 FROM orders WHERE o_orderkey % 2 = 0""",
+    ("JN-1", "JN-3", "JN-4"),
+)
+def lookup_mixed_key_types_q(spark, sf_dir):
+    """A set with every order under its integer key and under the same key as text: a lookup finds the record of its own type, a match keeps each row once."""
+    root = scratch_folder(spark, "set")
+    keys = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
+    text = keys.select(F.col("k").cast("string").alias("k"))
+    for name, df, kind in (("number", keys, "integer"), ("word", text, "text")):
+        own = df.select(F.col("k").alias(name), F.lit(kind).alias("kind"))
+        writer(own).mode("append").set("mixed").key(name).option("namespace", root).save(as_of=AS_OF_SEC)
+    view = reader(spark).option("namespace", root).load("mixed", as_of=AS_OF_SEC)
+    even = keys.where("k % 2 = 0")
+    odd = text.where("CAST(k AS BIGINT) % 2 = 1")
+    found = lookup_wide(even, "k", view, ["kind"]).unionByName(lookup_wide(odd, "k", view, ["kind"]))
+    found = found.groupBy(F.col("key").cast("long").alias("k"), "kind").agg(F.count(F.lit(1)).alias("n")).select(F.lit("found").alias("part"), "k", "kind", "n")
+    probe = even.withColumn("kind", F.lit("integer"))
+    matched = intersect_match(probe, "k", view.drop("number", "word"), keep_unmatched=False).select(
+        F.lit("matched").alias("part"), "k", F.lit(None).cast("string").alias("kind"), F.lit(1).cast("long").alias("n"))
+    return found.unionByName(matched)

@@ -28,6 +28,8 @@ from recordset.sources.schema import infer_schema, typed_bins
 KEY, DIGEST, EXPIRY, GENERATION, TTL = "__key", "__digest", "__expiry", "__generation", "__ttl"
 STORED_META = (KEY, DIGEST, EXPIRY, GENERATION)
 META = STORED_META + (TTL,)
+# Metadata entry of the digest column: the name of the set.
+SET = "set"
 
 
 def _c(c: Column | str) -> Column:
@@ -76,17 +78,18 @@ def as_set(
     bins = sorted(c for c in df.columns if c not in META)
     return df.select(
         F.col(key_col).cast("string").alias(KEY),
-        digest(set_name, key_col, kt).alias(DIGEST),
+        digest(set_name, key_col, kt).alias(DIGEST, metadata={SET: set_name}),
         (expiry if expiry is not None else F.lit(0)).cast("int").alias(EXPIRY),
         (generation if generation is not None else F.lit(1)).cast("int").alias(GENERATION),
         *bins,
     )
 
 
-def scan_view(stored: DataFrame, as_of: int, options: Options | None = None, live_only: bool = False) -> DataFrame:
+def scan_view(stored: DataFrame, as_of: int, options: Options | None = None, live_only: bool = False, set_name: str | None = None) -> DataFrame:
     """SRC-3/4/5: add ``__ttl``, optionally keep live records only, apply column renames.
 
-    Bins come out sorted by name after the five metadata columns.
+    Bins come out sorted by name after the five metadata columns. The digest column's metadata names the set, so that lookups in the view can
+    tell keys of different types apart.
     """
     opts = options or resolve()
     df = stored
@@ -94,13 +97,19 @@ def scan_view(stored: DataFrame, as_of: int, options: Options | None = None, liv
         df = live_records(df, as_of)
     bins = sorted(c for c in df.columns if c not in META and c != BUCKET)
     renames = dict(zip(META, opts.meta_columns))
+    name = set_name or set_of(stored)
     return df.select(
-        *[F.col(m).alias(renames[m]) for m in STORED_META],
+        *[F.col(m).alias(renames[m], metadata={SET: name}) if m == DIGEST and name else F.col(m).alias(renames[m]) for m in STORED_META],
         ttl_from_expiry(EXPIRY, as_of).alias(renames[TTL]),
         *bins,
     )
 
 
+def set_of(view: DataFrame) -> str | None:
+    """The set a view was made of, by its digest column."""
+    return next((f.metadata[SET] for f in view.schema.fields if f.name == DIGEST and SET in (f.metadata or {})), None)
+
+
 def live_records(stored: DataFrame, as_of: int) -> DataFrame:
     """SRC-5: only records that have not expired by ``as_of`` (0 = never expires)."""
     return stored.where((F.col(EXPIRY) == 0) | (F.col(EXPIRY) > F.lit(as_of)))
@@ -138,7 +147,7 @@ def scan_set(
         if key_col is None:
             raise ValueError(f"{opts.set_path()} has no {KEY} column; pass key_col")
         stored = as_set(stored, set_label(opts.set), key_col)
-    view = scan_view(stored, as_of, opts, live_only=live_only)
+    view = scan_view(stored, as_of, opts, live_only=live_only, set_name=set_label(opts.set))
     if json_bins is None:
         return view
     schema = infer_schema(stored, json_bins, opts.schemaScan, KEY if opts.schemaScan else None)
