@@ -129,7 +129,9 @@ def write_roundtrip_growing_q(spark, sf_dir):
     """A small first write, then all orders, then an upsert of every seventh: buckets split by size, records in deltas count once."""
     root = scratch_folder(spark, "set")
     spec = WriteSpec("grow", mode="append", key_col="o_orderkey", as_of=AS_OF_SEC)
-    orders, size = _price(spark, sf_dir), 16 << 10
+    orders = _price(spark, sf_dir)
+    estimate = int(str(orders._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = max(estimate // 4, 32 << 10)  # a set that ends with a few dozen buckets at any larger scale
     k = F.col("o_orderkey")
     write_bucketed(spark, orders.where(k % 50 == 0), f"{root}/grow", spec, buckets=1, bucket_bytes=size)
     write_bucketed(spark, orders, f"{root}/grow", spec, bucket_bytes=size)
