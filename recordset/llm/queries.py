@@ -146,8 +146,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 EMBEDDING_SQL = """
 WITH RECURSIVE v AS (
   SELECT row_number() OVER () AS rid, vec_id, label, CAST(embedding AS DOUBLE[]) AS e,
-    vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-      AND len(list_filter(embedding, x -> x <> 0)) > 0 AS ok
+    vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS ok
   FROM embeddings),
 u AS (SELECT rid, vec_id, label, e FROM v WHERE ok),
 link AS (
