@@ -30,11 +30,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones: the one of smallest id, once. Rows without an id or words link with nothing and stay."""
+    """One document of each group of linked ones: the one of smallest id, once. Rows without an id or words link with nothing and stay.
+
+    Rows of one id are one document; of those that differ the one of least hash over all columns stays, whichever task comes first.
+    """
     ensure_checkpoint_dir(spark)
     found = ngram_join.link_components(docs, percent=NEAR_PERCENT, k=NEAR_SHINGLE)
     heads = found.filter(F.col("id") == F.col("component_id")).select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"]).union(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
+    own, back = apart(docs, "doc_id")
+    marked = own.withColumn("_hash", F.xxhash64(*(c for c, kind in own.dtypes if "map<" not in kind and "variant" not in kind)))
+    # Few ids have several rows, so only those are told apart.
+    several = marked.groupBy("doc_id").agg(F.min("_hash").alias("_least"), F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select("doc_id", "_least")
+    kept = marked.join(heads, "doc_id", "left_semi").join(several, "doc_id", "left").filter(F.col("_least").isNull() | (F.col("_hash") == F.col("_least")))
+    return back(kept.dropDuplicates(["doc_id"]).unionByName(marked.filter(F.col("doc_id").isNull()), allowMissingColumns=True))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +63,13 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its block, slot and place; reading by (slot, place) gives the mix."""
-    return mixing.mix_sources(docs)
+    """Every document with its block, slot and place; reading by (slot, place) gives the mix. Columns of these names are replaced."""
+    own, back = apart(docs, "doc_id", "source")
+    placed = mixing.mix_sources(own)
+    new = ("block", "slot", "place")
+    kept = [c for c in docs.columns if c.lower() not in new]
+    names = [c for c, name in zip(own.columns, docs.columns) if name in kept]
+    return placed.select(*(F.col(c).alias(n) for c, n in zip(names, kept)), *new)
 
 
 STAGES = [
