@@ -193,7 +193,9 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         part = F.zip_with("x", F.array(*(F.lit(int(s)) for s in model.sums)), lambda x, s: F.try_subtract(F.try_multiply(F.lit(model.n).cast("long"), x), s))
         total = F.aggregate(part, F.lit(0).cast("long"), lambda acc, d: F.try_add(acc, F.try_multiply(d, d)))
         share = F.element_at(F.array(*(F.lit(float(e)) for e in model.explained())), F.col("component"))
-    out = white.select("vec_id", total.cast("long").alias("deviation"), each)
+    # Once for a row, below the step that makes its components.
+    white = white.select("vec_id", "whitened", total.cast("long").alias("deviation"))
+    out = white.select("vec_id", "deviation", each)
     return out.withColumn("component", (F.col("place") + 1).cast("int")).select(
         "vec_id", "component", F.lit(model.n if model else 0).cast("long").alias("n"), "deviation", "whitened", share.cast("double").alias("explained"),
         F.lit(error).alias("identity_error"))
