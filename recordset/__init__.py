@@ -11,6 +11,7 @@ Main entry points (all return lazy DataFrames unless noted):
     WriteSpec, merge, classify, write_set           operators.keyed_write
     write_bucketed, bucket_cut                      operators.bucketed_write
     latest_version, drop_old_versions               sources.layout
+    where, index_bins                               sources.skipping
     ReportInputs, segment_report, report_lines,
     run_daily_report                                operators.report
     write_stream_to_set                             streaming.sink
@@ -24,12 +25,13 @@ from recordset.sources.api import reader, writer
 from recordset.sources.ingest import ingest_delimited, read_lines
 from recordset.sources.layout import drop_old_versions, latest_version
 from recordset.sources.schema import infer_bin_types, infer_schema, typed_bins
+from recordset.sources.skipping import index_bins, where
 from recordset.sources.store import as_set, live_records, scan_set, scan_view
 from recordset.streaming.sink import write_stream_to_set
 
 __all__ = [
-    "ReportInputs", "WriteConflict", "WriteSpec", "as_set", "bucket_cut", "classify", "drop_old_versions", "infer_bin_types",
+    "ReportInputs", "WriteConflict", "WriteSpec", "as_set", "bucket_cut", "classify", "drop_old_versions", "index_bins", "infer_bin_types",
     "infer_schema", "ingest_delimited", "intersect_match", "latest_version", "live_records", "lookup_map", "lookup_typed",
     "lookup_wide", "merge", "read_lines", "reader", "report_lines", "run_daily_report", "scan_set", "scan_view",
-    "segment_report", "typed_bins", "write_bucketed", "write_set", "write_stream_to_set", "writer",
+    "segment_report", "typed_bins", "where", "write_bucketed", "write_set", "write_stream_to_set", "writer",
 ]

@@ -52,12 +52,21 @@ def _touched(rows: DataFrame, dig: Column, buckets: int) -> dict[int, int]:
     return {b: n for b, n in rows.groupBy(bucket_of(dig, buckets)).agg(F.count(F.lit(1))).collect() if b is not None}
 
 
+def _with_nulls(t: T.DataType) -> T.DataType:
+    """The type with nulls allowed inside of lists and maps: whether one write has any does not bind the next."""
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_with_nulls(t.elementType), True)
+    if isinstance(t, T.MapType):
+        return T.MapType(_with_nulls(t.keyType), _with_nulls(t.valueType), True)
+    return t
+
+
 def _stored_schema(merged: T.StructType, old: T.StructType | None) -> T.StructType:
     """The set's columns after a write; a bin keeps its type."""
-    fields = {f.name: T.StructField(f.name, f.dataType, True) for f in merged.fields}
+    fields = {f.name: T.StructField(f.name, _with_nulls(f.dataType), True) for f in merged.fields}
     for f in old.fields if old else ():
-        now = fields.setdefault(f.name, f)
-        if now.dataType != f.dataType:
+        now = fields.setdefault(f.name, T.StructField(f.name, _with_nulls(f.dataType), True))
+        if now.dataType != _with_nulls(f.dataType):
             raise ValueError(f"bin {f.name} is stored as {f.dataType.simpleString()}, not {now.dataType.simpleString()}")
     bins = sorted(n for n in fields if n not in STORED_META)
     return T.StructType([fields[n] for n in (*STORED_META, *bins)])
@@ -112,7 +121,7 @@ def _schema_tags(manifest: Manifest | None, incoming: DataFrame, spec: WriteSpec
     return tags
 
 
-def _first_write(spark: SparkSession, incoming: DataFrame, root: str, spec: WriteSpec, buckets: int | None) -> tuple[Manifest, str]:
+def _first_write(spark: SparkSession, incoming: DataFrame, root: str, spec: WriteSpec, buckets: int | None, index: tuple[str, ...]) -> tuple[Manifest, str]:
     """Version 1, not yet published, of rows read once, or of a plain folder of stored records with them."""
     plain = _has_parquet(spark, root)
     if plain:
@@ -127,10 +136,14 @@ def _first_write(spark: SparkSession, incoming: DataFrame, root: str, spec: Writ
     merged = merge(target, incoming, spec)
     schema = _stored_schema(merged.schema, None)
     write = write_id(0)
+    if unknown := sorted(set(index) - set(schema.fieldNames())):
+        raise ValueError(f"no bins {unknown} to index")
+    indexed = {b: uuid.uuid4().hex for b in index}
     with conflicts_raised():
-        made = write_segments(spark, root, merged.select(*schema.fieldNames()), n, write)
+        made = write_segments(spark, root, merged.select(*schema.fieldNames()), n, write, indexed)
     tags = tuple(sorted(_schema_tags(None, incoming, spec, plain)))
-    return Manifest(1, n, schema.json(), {b: (s,) for b, s in made.items()}, tags, {}, n), write
+    keyed_as = spec.set_name if spec.key_col and not plain else ""
+    return Manifest(1, n, schema.json(), {b: (s,) for b, s in made.items()}, tags, {}, n, keyed_as, indexed), write
 
 
 def _next_write(spark: SparkSession, staged: DataFrame, incoming: DataFrame, root: str, spec: WriteSpec, base: Manifest) -> tuple[Callable[[Manifest], Manifest], list[int], str]:
@@ -151,7 +164,7 @@ def _next_write(spark: SparkSession, staged: DataFrame, incoming: DataFrame, roo
     kept = F.col("__written") | (F.col(WRITE) >= F.col("__cut")) & ((F.col("__cut") != "") | _live(spec.as_of))
     write = write_id(base.version)
     with conflicts_raised():
-        made = write_segments(spark, root, merged.where(kept).select(*schema.fieldNames()), base.buckets, write)
+        made = write_segments(spark, root, merged.where(kept).select(*schema.fieldNames()), base.buckets, write, base.indexed)
     if stray := sorted(set(made) - set(touched)):
         raise RuntimeError(f"records of buckets {stray} appeared in a write of buckets {touched}")
     tags = _schema_tags(base, incoming, spec, False)
@@ -162,7 +175,9 @@ def _next_write(spark: SparkSession, staged: DataFrame, incoming: DataFrame, roo
             own = segments.pop(b, ())[:fold[b]] + ((made[b],) if b in made else ())
             if own:
                 segments[b] = own
-        return replace(now, version=now.version + 1, schema=_stored_schema(schema, now.columns()).json(), segments=segments, key_tags=tuple(sorted(tags | set(now.key_tags))))
+        keyed_as = now.keyed_as if spec.key_col and spec.set_name == now.keyed_as else ""
+        return replace(now, version=now.version + 1, schema=_stored_schema(schema, now.columns()).json(), segments=segments, key_tags=tuple(sorted(tags | set(now.key_tags))),
+                       keyed_as=keyed_as)
 
     return change, touched, write
 
@@ -202,10 +217,11 @@ def write_bucketed(
     buckets: int | None = None,
     batch: tuple[str, int] | None = None,
     bucket_bytes: int | None = None,
+    index: tuple[str, ...] = (),
 ) -> DataFrame | None:
     """Merge ``incoming`` into the set at ``set_root`` and return the set as it then is.
 
-    ``buckets`` is the count a new set begins with; a different number later raises. ``bucket_bytes`` is the average size that buckets are split beyond. A plain parquet folder of stored
+    ``buckets`` is the count a new set begins with; a different number later raises. ``bucket_bytes`` is the average size that buckets are split beyond. ``index`` names bins that a new set indexes (``sources.skipping``; later ones by ``index_bins``). A plain parquet folder of stored
     records found at ``set_root`` is taken into the new layout with all its records. ``batch`` (stream, number)
     is published with the version; a batch that a version already has is skipped, and None is returned.
     """
@@ -219,7 +235,7 @@ def write_bucketed(
             if manifest and buckets and buckets != manifest.first_buckets:
                 raise ValueError(f"{set_root} was begun with {manifest.first_buckets} buckets, not {buckets}")
             if manifest is None and staged is None:
-                first, write = _first_write(spark, incoming, root, spec, buckets)
+                first, write = _first_write(spark, incoming, root, spec, buckets, index)
                 try:
                     publish(spark, root, replace(first, batches={batch[0]: batch[1]} if batch else {}))
                     done = first
@@ -271,7 +287,7 @@ def _rewritten(spark: SparkSession, root: str, base: Manifest, buckets: list[int
     there = [b for b in buckets if b in base.segments]
     if there:
         records = read_buckets(spark, root, base, there).drop(BUCKET).where(_live(as_of))
-        made = write_segments(spark, root, records, count, write)
+        made = write_segments(spark, root, records, count, write, base.indexed)
 
     def change(now: Manifest) -> Manifest:
         left = {b: own for b, own in now.segments.items() if b not in set(buckets)}

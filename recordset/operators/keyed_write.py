@@ -119,7 +119,7 @@ def stored_form(incoming: DataFrame, spec: WriteSpec) -> DataFrame:
         dig = digest(spec.set_name, spec.key_col, kt)
         if own := _scanned_digest(incoming, spec):
             # A record of this set written back keeps its identity, integer and binary keys included, whose text the column holds.
-            typed = [tagged_digest(spec.set_name, tag, key) for tag in ("L", "B")]
+            typed = [tagged_digest(spec.set_name, "L", key), tagged_digest(spec.set_name, "B", F.hex(key))]
             dig = F.coalesce(*(F.when(F.col(own) == t, t) for t in typed), dig)
     else:
         # By digest the key is not needed; a scanned frame still carries it.
@@ -329,7 +329,7 @@ def write_set(
 
     The set is the folder ``<namespace>/<set_name>``; see ``bucketed_write`` for
     what a write touches. ``mode`` defaults to the session's ``recordset.saveMode`` (SNK-16).
-    Options are validated as for reads (updateByKey, updateByDigest, ttlColumn, generationPolicy, buckets, ...).
+    Options are validated as for reads (updateByKey, updateByDigest, ttlColumn, generationPolicy, buckets, indexBins, ...).
     """
     from recordset.operators.bucketed_write import write_bucketed
     from recordset.options import resolve
@@ -350,7 +350,7 @@ def write_set(
         order_by=order_by,
         meta_columns=opts.meta_columns,
     )
-    return write_bucketed(spark, incoming, opts.set_path(), spec, buckets=opts.buckets)
+    return write_bucketed(spark, incoming, opts.set_path(), spec, buckets=opts.buckets, index=opts.index_bins())
 
 
 def save_by_class(spark: SparkSession, incoming: DataFrame, record_class: type, key_col: str, **kw) -> DataFrame:

@@ -31,6 +31,7 @@ DEFAULTS = {
     "saveMode": "ignore",
     "generationPolicy": "none",
     "buckets": None,  # of a new set; chosen by size when not given
+    "indexBins": None,  # bins that a new set indexes, with commas between
 }
 _COUNTS = ("schemaScan", "buckets")
 _BY_LOWER = {k.lower(): k for k in DEFAULTS}
@@ -59,6 +60,7 @@ class Options:
     saveMode: str
     generationPolicy: str
     buckets: int | None
+    indexBins: str | None
 
     @property
     def meta_columns(self) -> tuple[str, ...]:
@@ -71,6 +73,9 @@ class Options:
             return f"{self.namespace.rstrip('/')}/{self.set}"
         return self.set
 
+    def index_bins(self) -> tuple[str, ...]:
+        return tuple(b.strip() for b in (self.indexBins or "").split(",") if b.strip())
+
     def write_key(self) -> tuple[str, str]:
         """SNK-10: exactly one of updateByKey / updateByDigest; returns (kind, column)."""
         if self.updateByKey and self.updateByDigest:

@@ -15,6 +15,7 @@ from recordset.plans.registry import query
 from recordset.session import scratch_folder
 from recordset.sources.api import reader, writer
 from recordset.sources.layout import latest_version
+from recordset.sources.skipping import index_bins, where
 from recordset.sources.store import digest_hex
 
 
@@ -219,3 +220,69 @@ def lookup_mixed_key_types_q(spark, sf_dir):
     matched = intersect_match(probe, "k", view.drop("number", "word"), keep_unmatched=False).select(
         F.lit("matched").alias("part"), "k", F.lit(None).cast("string").alias("kind"), F.lit(1).cast("long").alias("n"))
     return found.unionByName(matched)
+
+
+def _files(df):
+    """How many files the plan opens."""
+    return len(df.inputFiles())
+
+
+@query(
+    "keyed_scan",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS __key, o_orderkey, o_totalprice, true AS few_files FROM orders
+       WHERE o_orderkey IN ((SELECT min(o_orderkey) FROM orders), (SELECT max(o_orderkey) FROM orders))""",
+    ("SRC-1", "SRC-9", "FLT-1"),
+)
+def keyed_scan_q(spark, sf_dir):
+    """Two keys of a set of 64 buckets: at most two buckets are opened."""
+    root = scratch_folder(spark, "set")
+    _save(_price(spark, sf_dir), root, "keyed", "append", buckets=64)
+    ends = table(spark, sf_dir, "orders").agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    got = reader(spark).option("namespace", root).load("keyed", as_of=AS_OF_SEC, where=where("__key", "in", list(ends)))
+    return got.select("__key", "o_orderkey", "o_totalprice", F.lit(_files(got) <= 2).alias("few_files"))
+
+
+@query(
+    "contains_indexed",
+    """WITH one AS (SELECT o_custkey AS c FROM orders GROUP BY o_custkey ORDER BY count(*), o_custkey LIMIT 1),
+       stored AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN -o_custkey ELSE o_custkey END AS cust, 'c' || o_custkey AS name FROM orders)
+       SELECT 'list' AS bin, o_orderkey, true AS few_files FROM stored WHERE cust = (SELECT c FROM one)
+       UNION ALL SELECT 'list, replaced', o_orderkey, true FROM stored WHERE cust = -(SELECT c FROM one)
+       UNION ALL SELECT 'map', o_orderkey, true FROM stored WHERE name = 'c' || (SELECT c FROM one)""",
+    ("FLT-2", "FLT-3", "SRC-9"),
+)
+def contains_indexed_q(spark, sf_dir):
+    """Items of a list bin and keys of a map bin by their index, before and after every fifth order is replaced: only buckets that hold the item are opened."""
+    root = scratch_folder(spark, "set")
+    orders = table(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    rows = orders.select(k, F.array(c, k + 10**12).alias("items"), F.create_map(F.concat(F.lit("c"), c.cast("string")), k).alias("names"))
+    _save(rows, root, "items", "append", buckets=64, indexBins="items")
+    index_bins(spark, f"{root}/items", ["names"])
+    _save(rows.where(k % 5 == 0).withColumn("items", F.transform("items", lambda x: -x)), root, "items", "append")
+    cust, n = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).orderBy("n", "o_custkey").first()
+    parts = []
+    for label, f in (("list", where("items", "=", cust)), ("list, replaced", where("items", "=", -cust)), ("map", where("names", "=", f"c{cust}"))):
+        got = reader(spark).option("namespace", root).load("items", as_of=AS_OF_SEC, where=f)
+        parts.append(got.select(F.lit(label).alias("bin"), "o_orderkey", F.lit(_files(got) <= 2 * n).alias("few_files")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    "range_skipping",
+    """SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS BIGINT) AS year, true AS bases_closed FROM orders
+       WHERE year(o_orderdate) >= (SELECT max(year(o_orderdate)) FROM orders) AND o_totalprice > 1000""",
+    ("SRC-9", "FLT-4", "FLT-5", "FLT-12"),
+)
+def range_skipping_q(spark, sf_dir):
+    """Orders of the last year arrive after the others; a range over the year and one over the price open the deltas and no base."""
+    root = scratch_folder(spark, "set")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").cast("bigint").alias("year"))
+    last = rows.agg(F.max("year")).first()[0]
+    _save(rows.where(F.col("year") < last), root, "years", "append", buckets=8, indexBins="year,o_totalprice")
+    _, before = latest_version(spark, f"{root}/years")
+    old = {s.write for own in before.segments.values() for s in own}
+    _save(rows.where(F.col("year") == last), root, "years", "append")
+    got = reader(spark).option("namespace", root).load("years", as_of=AS_OF_SEC, where=where("year", ">=", last) & where("o_totalprice", ">", 1000.0))
+    closed = not any(f"/w={w}/" in f for f in got.inputFiles() for w in old)
+    return got.select("o_orderkey", "o_totalprice", "year", F.lit(closed).alias("bases_closed"))

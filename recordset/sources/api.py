@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from recordset.options import _canonical
+from recordset.sources.skipping import Filter
 
 
 class SetReader:
@@ -32,13 +33,13 @@ class SetReader:
         return self.option("set", name)
 
     def load(self, set_name: str | None = None, *, as_of: int, key_col: str | None = None, live_only: bool = True,
-             json_bins: str | None = None) -> DataFrame:
+             json_bins: str | None = None, where: Filter | None = None) -> DataFrame:
         from recordset.sources.store import scan_set
 
         opts = dict(self._opts)
         if set_name is not None:
             opts["set"] = set_name
-        return scan_set(self._spark, as_of=as_of, key_col=key_col, live_only=live_only, json_bins=json_bins, **opts)
+        return scan_set(self._spark, as_of=as_of, key_col=key_col, live_only=live_only, json_bins=json_bins, where=where, **opts)
 
 
 class SetWriter:

@@ -3,6 +3,7 @@
     <root>/_manifests/m-<version>.json
     <root>/_staging/<id of the write>/part-*.parquet          incoming rows of a write in progress
     <root>/data/w=<id of the write>/__bucket=<k>/part-*.parquet
+    <root>/index/...                                          which segments hold a value, see ``sources.skipping``
 
 Buckets are addressed by linear hashing: with n buckets and m the largest power of two up to n, a record lies in
 ``pmod(h, 2m)`` if that is below n and else in ``pmod(h, m)``, h = xxhash64(__digest). So a set grows by splitting
@@ -11,7 +12,7 @@ single buckets, and n is all a reader needs to know. With the average bucket hel
 A bucket is a list of segments: a base, and after it deltas, which hold the newest whole form of the records they
 name. A record's newest segment counts; ids of writes begin with the version they were made for, so they sort by age.
 A manifest says, for one version of the set, how many buckets there are, the segments of each with their rows, bytes and
-expiry times, the schema of the stored columns, the types of keys met, and the last batch of each stream. All of these are fixed by the set, not by
+expiry times, the schema of the stored columns, the types of keys met, the indexed bins, and the last batch of each stream. All of these are fixed by the set, not by
 the caller of a read or write.
 
 A write puts its segments into a folder of its own and then publishes version n + 1 by the
@@ -69,6 +70,8 @@ class Manifest:
     key_tags: tuple[str, ...] = ()  # digest type tags of the keys met
     batches: dict[str, int] = field(default_factory=dict)  # stream -> last batch applied
     first_buckets: int = 0  # the count the set began with
+    keyed_as: str = ""  # the set's name in all digests, empty when some record was not written by key under that name
+    indexed: dict[str, str] = field(default_factory=dict)  # bin -> id of its index (``sources.skipping``)
 
     def columns(self) -> T.StructType:
         return T.StructType.fromJson(json.loads(self.schema))
@@ -230,8 +233,8 @@ def write_id(version: int) -> str:
     return f"{version + 1:010d}-{uuid.uuid4().hex}"
 
 
-def write_segments(spark: SparkSession, root: str, records: DataFrame, buckets: int, write: str) -> dict[int, Segment]:
-    """Write records into the folder of ``write``, one task and so one file a bucket; the segments made."""
+def write_segments(spark: SparkSession, root: str, records: DataFrame, buckets: int, write: str, indexed: dict[str, str] | None = None) -> dict[int, Segment]:
+    """Write records into the folder of ``write``, one task and so one file a bucket, and index the ``indexed`` bins; the segments made."""
     folder = f"{root.rstrip('/')}/data/w={write}"
     keyed = records.withColumn(BUCKET, bucket_of(F.col("__digest"), buckets))
     keyed.repartition(BUCKET).write.partitionBy(BUCKET).parquet(folder)
@@ -245,6 +248,10 @@ def write_segments(spark: SparkSession, root: str, records: DataFrame, buckets:
             sizes[b] = sizes.get(b, 0) + f.getLen()
     if not sizes:
         return {}
+    if indexed:
+        from recordset.sources.skipping import write_index
+
+        write_index(spark, root, indexed, records.schema, write)
     expiry = F.col("__expiry")
     schema = T.StructType([T.StructField("__expiry", T.IntegerType()), T.StructField(BUCKET, T.IntegerType())])
     stats = spark.read.schema(schema).parquet(folder).groupBy(BUCKET).agg(
@@ -262,7 +269,7 @@ def choose_buckets(df: DataFrame) -> int:
 
 
 def drop_old_versions(spark: SparkSession, root: str, keep: int = 2, grace_sec: int = 86_400) -> list[str]:
-    """Delete all but the newest ``keep`` manifests, and data and staging folders that no kept one names and that are older than ``grace_sec``.
+    """Delete all but the newest ``keep`` manifests, and data, index and staging folders that no kept one names and that are older than ``grace_sec``.
 
     A write in progress has an unnamed folder, so the grace must exceed the longest write; readers of a dropped version
     fail, so ``keep`` must cover the longest read. Returns what was deleted.
@@ -274,11 +281,12 @@ def drop_old_versions(spark: SparkSession, root: str, keep: int = 2, grace_sec:
     gone = [_manifest_path(root, v) for v in found[:-keep]]
     named = {s.write for v in found[-keep:] for own in read_manifest(spark, root, v).segments.values() for s in own}
     now = spark.sparkContext._jvm.java.lang.System.currentTimeMillis()
-    for folder in ("data/w=*", "_staging/*"):
+    for folder in ("data/w=*", "_staging/*", "index/*/*/w=*"):
         p, fs = _path(spark, f"{root}/{folder}")
         for s in fs.globStatus(p) or []:
             if s.getPath().getName().removeprefix("w=") not in named and s.getModificationTime() <= now - grace_sec * 1000:
-                gone.append(f"{root}/{folder.split('/')[0]}/{s.getPath().getName()}")
+                inner = s.getPath().toUri().getPath().split("/")[-len(folder.split("/")):]
+                gone.append(f"{root}/{'/'.join(inner)}")
     for path in gone:
         delete_path(spark, path)
     return gone

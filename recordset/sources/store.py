@@ -24,6 +24,7 @@ from recordset.functions.timefn import ttl_from_expiry
 from recordset.options import Options, resolve
 from recordset.sources.layout import BUCKET, latest_version, read_buckets
 from recordset.sources.schema import infer_schema, typed_bins
+from recordset.sources.skipping import Filter, cut
 
 KEY, DIGEST, EXPIRY, GENERATION, TTL = "__key", "__digest", "__expiry", "__generation", "__ttl"
 STORED_META = (KEY, DIGEST, EXPIRY, GENERATION)
@@ -115,10 +116,15 @@ def live_records(stored: DataFrame, as_of: int) -> DataFrame:
     return stored.where((F.col(EXPIRY) == 0) | (F.col(EXPIRY) > F.lit(as_of)))
 
 
-def read_stored(spark: SparkSession, path: str) -> DataFrame:
-    """A stored set: the newest published version, or the plain folder when nothing was published."""
+def read_stored(spark: SparkSession, path: str, where: Filter | None = None) -> DataFrame:
+    """A stored set: the newest published version, or the plain folder when nothing was published.
+
+    Under a filter only the segments are opened that can hold a match; the filter itself is still to be applied.
+    """
     _, manifest = latest_version(spark, path)
-    return spark.read.parquet(path) if manifest is None else read_buckets(spark, path, manifest)
+    if manifest is None:
+        return spark.read.parquet(path)
+    return read_buckets(spark, path, manifest if where is None else cut(spark, path, manifest, where))
 
 
 def scan_set(
@@ -129,6 +135,7 @@ def scan_set(
     key_col: str | None = None,
     live_only: bool = True,
     json_bins: str | None = None,
+    where: Filter | None = None,
     **options,
 ) -> DataFrame:
     """SRC-1/2: scan a whole set into a DataFrame with record metadata columns.
@@ -136,17 +143,24 @@ def scan_set(
     ``json_bins`` names a column of JSON objects whose entries become typed bins in its place (SRC-6/7); their types
     come from all records, or from the first ``schemaScan`` by key when that option is set.
 
+    ``where`` (made by ``sources.skipping.where``) keeps the records that meet it, and of a stored set opens only the files that can hold one:
+    keys are found by their bucket, indexed bins by their index. It names bins, and metadata columns by their own or their new name.
+
     ``set_name`` (or option ``set``) is a folder, relative to option
     ``namespace`` when given. A plain table needs ``key_col``.
     """
     if set_name is not None:
         options["set"] = set_name
     opts = resolve(spark, **options)
-    stored = read_stored(spark, opts.set_path())
+    if where is not None:
+        where = where.renamed(dict(zip(opts.meta_columns, META)))
+    stored = read_stored(spark, opts.set_path(), where)
     if KEY not in stored.columns:
         if key_col is None:
             raise ValueError(f"{opts.set_path()} has no {KEY} column; pass key_col")
         stored = as_set(stored, set_label(opts.set), key_col)
+    if where is not None:
+        stored = stored.where(where.column(stored))
     view = scan_view(stored, as_of, opts, live_only=live_only, set_name=set_label(opts.set))
     if json_bins is None:
         return view
