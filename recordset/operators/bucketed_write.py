@@ -121,7 +121,8 @@ def _schema_tags(manifest: Manifest | None, incoming: DataFrame, spec: WriteSpec
     return tags
 
 
-def _first_write(spark: SparkSession, incoming: DataFrame, root: str, spec: WriteSpec, buckets: int | None, index: tuple[str, ...]) -> tuple[Manifest, str]:
+def _first_write(spark: SparkSession, incoming: DataFrame, root: str, spec: WriteSpec, buckets: int | None, index: tuple[str, ...],
+                 json_bins: tuple[str, ...]) -> tuple[Manifest, str]:
     """Version 1, not yet published, of rows read once, or of a plain folder of stored records with them."""
     plain = _has_parquet(spark, root)
     if plain:
@@ -136,14 +137,14 @@ def _first_write(spark: SparkSession, incoming: DataFrame, root: str, spec: Writ
     merged = merge(target, incoming, spec)
     schema = _stored_schema(merged.schema, None)
     write = write_id(0)
-    if unknown := sorted(set(index) - set(schema.fieldNames())):
-        raise ValueError(f"no bins {unknown} to index")
-    indexed = {b: uuid.uuid4().hex for b in index}
+    if unknown := sorted((set(index) | set(json_bins)) - set(schema.fieldNames())):
+        raise ValueError(f"no bins {unknown} to index or sum up")
+    indexed, summaries = ({b: uuid.uuid4().hex for b in bins} for bins in (index, json_bins))
     with conflicts_raised():
-        made = write_segments(spark, root, merged.select(*schema.fieldNames()), n, write, indexed)
+        made = write_segments(spark, root, merged.select(*schema.fieldNames()), n, write, indexed, summaries)
     tags = tuple(sorted(_schema_tags(None, incoming, spec, plain)))
     keyed_as = spec.set_name if spec.key_col and not plain else ""
-    return Manifest(1, n, schema.json(), {b: (s,) for b, s in made.items()}, tags, {}, n, keyed_as, indexed), write
+    return Manifest(1, n, schema.json(), {b: (s,) for b, s in made.items()}, tags, {}, n, keyed_as, indexed, summaries), write
 
 
 def _next_write(spark: SparkSession, staged: DataFrame, incoming: DataFrame, root: str, spec: WriteSpec, base: Manifest) -> tuple[Callable[[Manifest], Manifest], list[int], str]:
@@ -164,7 +165,7 @@ def _next_write(spark: SparkSession, staged: DataFrame, incoming: DataFrame, roo
     kept = F.col("__written") | (F.col(WRITE) >= F.col("__cut")) & ((F.col("__cut") != "") | _live(spec.as_of))
     write = write_id(base.version)
     with conflicts_raised():
-        made = write_segments(spark, root, merged.where(kept).select(*schema.fieldNames()), base.buckets, write, base.indexed)
+        made = write_segments(spark, root, merged.where(kept).select(*schema.fieldNames()), base.buckets, write, base.indexed, base.summaries)
     if stray := sorted(set(made) - set(touched)):
         raise RuntimeError(f"records of buckets {stray} appeared in a write of buckets {touched}")
     tags = _schema_tags(base, incoming, spec, False)
@@ -218,10 +219,11 @@ def write_bucketed(
     batch: tuple[str, int] | None = None,
     bucket_bytes: int | None = None,
     index: tuple[str, ...] = (),
+    json_bins: tuple[str, ...] = (),
 ) -> DataFrame | None:
     """Merge ``incoming`` into the set at ``set_root`` and return the set as it then is.
 
-    ``buckets`` is the count a new set begins with; a different number later raises. ``bucket_bytes`` is the average size that buckets are split beyond. ``index`` names bins that a new set indexes (``sources.skipping``; later ones by ``index_bins``). A plain parquet folder of stored
+    ``buckets`` is the count a new set begins with; a different number later raises. ``bucket_bytes`` is the average size that buckets are split beyond. ``index`` names bins that a new set indexes (``sources.skipping``; later ones by ``index_bins``), ``json_bins`` JSON bins of which it keeps the types met. A plain parquet folder of stored
     records found at ``set_root`` is taken into the new layout with all its records. ``batch`` (stream, number)
     is published with the version; a batch that a version already has is skipped, and None is returned.
     """
@@ -235,7 +237,7 @@ def write_bucketed(
             if manifest and buckets and buckets != manifest.first_buckets:
                 raise ValueError(f"{set_root} was begun with {manifest.first_buckets} buckets, not {buckets}")
             if manifest is None and staged is None:
-                first, write = _first_write(spark, incoming, root, spec, buckets, index)
+                first, write = _first_write(spark, incoming, root, spec, buckets, index, json_bins)
                 try:
                     publish(spark, root, replace(first, batches={batch[0]: batch[1]} if batch else {}))
                     done = first
@@ -287,7 +289,7 @@ def _rewritten(spark: SparkSession, root: str, base: Manifest, buckets: list[int
     there = [b for b in buckets if b in base.segments]
     if there:
         records = read_buckets(spark, root, base, there).drop(BUCKET).where(_live(as_of))
-        made = write_segments(spark, root, records, count, write, base.indexed)
+        made = write_segments(spark, root, records, count, write, base.indexed, base.summaries)
 
     def change(now: Manifest) -> Manifest:
         left = {b: own for b, own in now.segments.items() if b not in set(buckets)}

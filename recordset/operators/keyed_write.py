@@ -329,7 +329,7 @@ def write_set(
 
     The set is the folder ``<namespace>/<set_name>``; see ``bucketed_write`` for
     what a write touches. ``mode`` defaults to the session's ``recordset.saveMode`` (SNK-16).
-    Options are validated as for reads (updateByKey, updateByDigest, ttlColumn, generationPolicy, buckets, indexBins, ...).
+    Options are validated as for reads (updateByKey, updateByDigest, ttlColumn, generationPolicy, buckets, indexBins, jsonBins, ...).
     """
     from recordset.operators.bucketed_write import write_bucketed
     from recordset.options import resolve
@@ -350,7 +350,7 @@ def write_set(
         order_by=order_by,
         meta_columns=opts.meta_columns,
     )
-    return write_bucketed(spark, incoming, opts.set_path(), spec, buckets=opts.buckets, index=opts.index_bins())
+    return write_bucketed(spark, incoming, opts.set_path(), spec, buckets=opts.buckets, index=opts.names("indexBins"), json_bins=opts.names("jsonBins"))
 
 
 def save_by_class(spark: SparkSession, incoming: DataFrame, record_class: type, key_col: str, **kw) -> DataFrame:

@@ -32,6 +32,7 @@ DEFAULTS = {
     "generationPolicy": "none",
     "buckets": None,  # of a new set; chosen by size when not given
     "indexBins": None,  # bins that a new set indexes, with commas between
+    "jsonBins": None,  # JSON bins of which a new set keeps the types met, likewise
 }
 _COUNTS = ("schemaScan", "buckets")
 _BY_LOWER = {k.lower(): k for k in DEFAULTS}
@@ -61,6 +62,7 @@ class Options:
     generationPolicy: str
     buckets: int | None
     indexBins: str | None
+    jsonBins: str | None
 
     @property
     def meta_columns(self) -> tuple[str, ...]:
@@ -73,8 +75,8 @@ class Options:
             return f"{self.namespace.rstrip('/')}/{self.set}"
         return self.set
 
-    def index_bins(self) -> tuple[str, ...]:
-        return tuple(b.strip() for b in (self.indexBins or "").split(",") if b.strip())
+    def names(self, option: str) -> tuple[str, ...]:
+        return tuple(b.strip() for b in (getattr(self, option) or "").split(",") if b.strip())
 
     def write_key(self) -> tuple[str, str]:
         """SNK-10: exactly one of updateByKey / updateByDigest; returns (kind, column)."""

@@ -72,6 +72,7 @@ class Manifest:
     first_buckets: int = 0  # the count the set began with
     keyed_as: str = ""  # the set's name in all digests, empty when some record was not written by key under that name
     indexed: dict[str, str] = field(default_factory=dict)  # bin -> id of its index (``sources.skipping``)
+    summaries: dict[str, str] = field(default_factory=dict)  # JSON bin -> id of the summary of the types in it
 
     def columns(self) -> T.StructType:
         return T.StructType.fromJson(json.loads(self.schema))
@@ -233,8 +234,9 @@ def write_id(version: int) -> str:
     return f"{version + 1:010d}-{uuid.uuid4().hex}"
 
 
-def write_segments(spark: SparkSession, root: str, records: DataFrame, buckets: int, write: str, indexed: dict[str, str] | None = None) -> dict[int, Segment]:
-    """Write records into the folder of ``write``, one task and so one file a bucket, and index the ``indexed`` bins; the segments made."""
+def write_segments(spark: SparkSession, root: str, records: DataFrame, buckets: int, write: str, indexed: dict[str, str] | None = None,
+                   summaries: dict[str, str] | None = None) -> dict[int, Segment]:
+    """Write records into the folder of ``write``, one task and so one file a bucket, index the ``indexed`` bins and sum up the types in the JSON bins of ``summaries``; the segments made."""
     folder = f"{root.rstrip('/')}/data/w={write}"
     keyed = records.withColumn(BUCKET, bucket_of(F.col("__digest"), buckets))
     keyed.repartition(BUCKET).write.partitionBy(BUCKET).parquet(folder)
@@ -248,10 +250,10 @@ def write_segments(spark: SparkSession, root: str, records: DataFrame, buckets:
             sizes[b] = sizes.get(b, 0) + f.getLen()
     if not sizes:
         return {}
-    if indexed:
+    if indexed or summaries:
         from recordset.sources.skipping import write_index
 
-        write_index(spark, root, indexed, records.schema, write)
+        write_index(spark, root, indexed or {}, records.schema, write, summaries)
     expiry = F.col("__expiry")
     schema = T.StructType([T.StructField("__expiry", T.IntegerType()), T.StructField(BUCKET, T.IntegerType())])
     stats = spark.read.schema(schema).parquet(folder).groupBy(BUCKET).agg(

@@ -106,32 +106,42 @@ def _sample(df: DataFrame, sample: int | None, order_by: str | None) -> DataFram
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def _bin_types(df: DataFrame, json_col: str, sample: int | None, order_by: str | None) -> list[tuple[str, str]]:
-    s = _sample(df.select(json_col, *([order_by] if order_by else [])), sample, order_by)
+def type_summaries(df: DataFrame, json_col: str, by: str | None = None) -> DataFrame:
+    """Rows (``by``, bin, t, inner_t): the merged variant types of each bin, and of the values inside of its objects."""
     spark = df.sparkSession
-    v = s.select(F.parse_json(F.col(json_col)).alias("__v"))
+    own = [by] if by else []
+    v = df.select(F.parse_json(F.col(json_col)).alias("__v"), *own)
     # Lateral table functions plan as Generate steps (no join, no shuffle).
     pairs = (
         v.lateralJoin(spark.tvf.variant_explode_outer(F.col("__v").outer()).toDF("pos", "bin", "value"))
         .where(F.col("bin").isNotNull())
-        .select("bin", "value")
+        .select("bin", "value", *own)
     )
     # An object's fields are merged as values of one map, so a map of many keys has a short type.
     is_object = F.expr("schema_of_variant(value)").startswith("OBJECT")
     inner = pairs.withColumn("__obj", F.when(is_object, F.col("value"))).lateralJoin(
         spark.tvf.variant_explode_outer(F.col("__obj").outer()).toDF("ipos", "ikey", "ivalue")
     )
-    per_bin = inner.groupBy("bin").agg(
+    return inner.groupBy(*own, "bin").agg(
         F.expr("schema_of_variant_agg(CASE WHEN __obj IS NULL THEN value ELSE parse_json('{}') END)").alias("t"),
         F.expr("schema_of_variant_agg(ivalue)").alias("inner_t"),
     )
-    rows = []
-    for r in per_bin.collect():  # one row a bin: the schema
+
+
+def merged_types(summaries: DataFrame) -> dict[str, object]:
+    """Storage type of each bin from any number of summaries: they merge like the records they stand for."""
+    types: dict[str, object] = {}
+    for r in summaries.select("bin", "t", "inner_t").distinct().collect():  # the different types met: the schema
         t = _parse(r["t"])
         if isinstance(t, tuple) and t[0] == "OBJECT":
             t = t[0], [_parse(r["inner_t"] or "VOID")]
-        rows.append((r["bin"], _ddl(_storage(t))))
-    return sorted(rows)
+        types[r["bin"]] = _widen(types.get(r["bin"]), _storage(t))
+    return types
+
+
+def _bin_types(df: DataFrame, json_col: str, sample: int | None, order_by: str | None) -> list[tuple[str, str]]:
+    s = _sample(df.select(json_col, *([order_by] if order_by else [])), sample, order_by)
+    return sorted((b, _ddl(t)) for b, t in merged_types(type_summaries(s, json_col)).items())
 
 
 def infer_bin_types(df: DataFrame, json_col: str, sample: int | None = None, order_by: str | None = None) -> DataFrame:
@@ -139,6 +149,10 @@ def infer_bin_types(df: DataFrame, json_col: str, sample: int | None = None, ord
     return df.sparkSession.createDataFrame(_bin_types(df, json_col, sample, order_by), "bin string, type string")
 
 
+def schema_of(types: dict[str, object]) -> T.StructType:
+    return T.StructType([T.StructField(n, T._parse_datatype_string(_ddl(t)), True) for n, t in sorted(types.items())])
+
+
 def infer_schema(df: DataFrame, json_col: str, sample: int | None = None, order_by: str | None = None) -> T.StructType:
     """SRC-6: the bins and their types as a StructType."""
     return T.StructType([T.StructField(n, T._parse_datatype_string(t), True) for n, t in _bin_types(df, json_col, sample, order_by)])

@@ -2,6 +2,7 @@
 
     <root>/index/<id of the bin's index>/items/w=<id of the write>     item BIGINT (hash), buckets ARRAY<INT>, sorted by item
     <root>/index/<id of the bin's index>/zones/w=<id of the write>     __bucket INT, low, high
+    <root>/index/<id of the bin's summary>/types/w=<id of the write>   __bucket INT, bin, t, inner_t: types met in a JSON bin (``sources.schema``)
 
 A filter is made of ``where(name, op, value)`` with ``&`` and ``|``. It is rewritten to a set of segments, never to a set of records: the scan
 applies the filter itself to what is read, so an index can only spare files.
@@ -36,6 +37,7 @@ from pyspark.sql import types as T
 from recordset.operators import predicates as P
 from recordset.sources import layout
 from recordset.sources.layout import BUCKET, WRITE, Manifest, Segment, bucket_of, latest_version
+from recordset.sources.schema import merged_types, schema_of, type_summaries
 
 _KEY, _DIGEST = "__key", "__digest"
 _RANGES = ("<", "<=", ">", ">=", "between", "prefix", "present")
@@ -128,8 +130,8 @@ def _scalar(t: T.DataType) -> bool:
     return isinstance(t, T.AtomicType)
 
 
-def write_index(spark: SparkSession, root: str, indexed: dict[str, str], schema: T.StructType, write: str) -> None:
-    """The index of the segments of one write, from its files; only the indexed bins are read, each by jobs of its own."""
+def write_index(spark: SparkSession, root: str, indexed: dict[str, str], schema: T.StructType, write: str, summaries: dict[str, str] | None = None) -> None:
+    """The index and the type summaries of the segments of one write, from its files; only the bins concerned are read, each by jobs of its own."""
     folder = f"{root.rstrip('/')}/data/w={write}"
 
     def one(name: str, index: str) -> None:
@@ -146,9 +148,35 @@ def write_index(spark: SparkSession, root: str, indexed: dict[str, str], schema:
         items = items.repartitionByRange("item").sortWithinPartitions("item")
         items.write.mode("overwrite").parquet(f"{_folder(root, index, 'items')}/{WRITE}={write}")
 
-    bins = sorted((n, i) for n, i in indexed.items() if n in schema.fieldNames())
+    def types(name: str, index: str) -> None:
+        rows = spark.read.schema(T.StructType([schema[name], T.StructField(BUCKET, T.IntegerType())])).parquet(folder)
+        type_summaries(rows, name, by=BUCKET).write.mode("overwrite").parquet(f"{_folder(root, index, 'types')}/{WRITE}={write}")
+
+    todo = [(one, n, i) for n, i in sorted(indexed.items())] + [(types, n, i) for n, i in sorted((summaries or {}).items())]
     with ThreadPoolExecutor(JOBS) as pool:
-        list(pool.map(lambda b: one(*b), bins))
+        list(pool.map(lambda t: t[0](*t[1:]), [t for t in todo if t[1] in schema.fieldNames()]))
+
+
+def json_schema(spark: SparkSession, root: str, manifest: Manifest, json_bin: str) -> T.StructType:
+    """SRC-6 of a stored set: the bins inside of its JSON bin, as ``infer_schema`` over all stored records gives them.
+
+    Of buckets without deltas the kept summaries are merged; only buckets whose deltas replace records of the base, whose types may then be gone, and
+    those without a finished summary are opened.
+    """
+    index = manifest.summaries[json_bin]
+    done = _finished(spark, root, index, "types")
+    known = {b: own[0].write for b, own in manifest.segments.items() if len(own) == 1 and own[0].write in done}
+    parts = []
+    if known:
+        base = _folder(root, index, "types")
+        schema = f"{BUCKET} INT, bin STRING, t STRING, inner_t STRING, {WRITE} STRING"
+        kept = spark.read.schema(schema).option("basePath", base).parquet(*(f"{base}/{WRITE}={w}" for w in sorted(set(known.values()))))
+        live = spark.createDataFrame([(w, b) for b, w in known.items()], f"{WRITE} string, {BUCKET} int")  # one row a bucket
+        parts.append(kept.join(F.broadcast(live), [WRITE, BUCKET], "left_semi").select("bin", "t", "inner_t"))
+    changed = sorted(set(manifest.segments) - set(known))
+    if changed:
+        parts.append(type_summaries(layout.read_buckets(spark, root, manifest, changed), json_bin))
+    return schema_of(merged_types(reduce(DataFrame.unionByName, parts)) if parts else {})
 
 
 def _finished(spark: SparkSession, root: str, index: str, part: str) -> set[str]:

@@ -24,7 +24,7 @@ from recordset.functions.timefn import ttl_from_expiry
 from recordset.options import Options, resolve
 from recordset.sources.layout import BUCKET, latest_version, read_buckets
 from recordset.sources.schema import infer_schema, typed_bins
-from recordset.sources.skipping import Filter, cut
+from recordset.sources.skipping import Filter, cut, json_schema
 
 KEY, DIGEST, EXPIRY, GENERATION, TTL = "__key", "__digest", "__expiry", "__generation", "__ttl"
 STORED_META = (KEY, DIGEST, EXPIRY, GENERATION)
@@ -159,12 +159,21 @@ def scan_set(
         if key_col is None:
             raise ValueError(f"{opts.set_path()} has no {KEY} column; pass key_col")
         stored = as_set(stored, set_label(opts.set), key_col)
+    everything = stored
     if where is not None:
         stored = stored.where(where.column(stored))
+        if json_bins is not None and KEY in everything.columns:
+            everything = read_stored(spark, opts.set_path())  # the types are those of all records, whatever the filter
+            if KEY not in everything.columns:
+                everything = as_set(everything, set_label(opts.set), key_col)
     view = scan_view(stored, as_of, opts, live_only=live_only, set_name=set_label(opts.set))
     if json_bins is None:
         return view
-    schema = infer_schema(stored, json_bins, opts.schemaScan, KEY if opts.schemaScan else None)
+    _, manifest = latest_version(spark, opts.set_path())
+    if manifest is not None and json_bins in manifest.summaries and not opts.schemaScan:
+        schema = json_schema(spark, opts.set_path(), manifest, json_bins)
+    else:
+        schema = infer_schema(everything, json_bins, opts.schemaScan, KEY if opts.schemaScan else None)
     rest = [c for c in view.columns if c != json_bins]
     if clash := sorted(set(rest) & set(schema.fieldNames())):
         raise ValueError(f"{json_bins} has entries named like columns of the set: {clash}")
