@@ -11,6 +11,7 @@ from recordset.operators.bucketed_write import compact, write_bucketed
 from recordset.operators.keyed_write import WriteConflict, WriteSpec
 from recordset.operators.lookup import intersect_match, lookup_wide
 from recordset.plans.data import AS_OF_SEC, table
+from recordset.plans.q_types import order_records
 from recordset.plans.registry import query
 from recordset.session import scratch_folder
 from recordset.sources.api import reader, writer
@@ -286,3 +287,19 @@ def range_skipping_q(spark, sf_dir):
     got = reader(spark).option("namespace", root).load("years", as_of=AS_OF_SEC, where=where("year", ">=", last) & where("o_totalprice", ">", 1000.0))
     closed = not any(f"/w={w}/" in f for f in got.inputFiles() for w in old)
     return got.select("o_orderkey", "o_totalprice", "year", F.lit(closed).alias("bases_closed"))
+
+
+@query(
+    "typed_bins_kept",
+    """SELECT o_orderkey, o_orderkey AS k, CASE WHEN o_orderkey % 50 = 0 THEN 'e' END AS extra,
+         CASE WHEN o_orderkey % 50 <> 0 THEN o_totalprice END AS price FROM orders""",
+    ("SRC-6", "SRC-7"),
+)
+def typed_bins_kept_q(spark, sf_dir):
+    """Orders as JSON records whose types are kept at the write; every fiftieth is then replaced by a record of other bins."""
+    root = scratch_folder(spark, "set")
+    records = order_records(spark, sf_dir)
+    _save(records, root, "json", "append", buckets=8, jsonBins="j")
+    other = records.where("o_orderkey % 50 = 0").select("o_orderkey", F.to_json(F.struct(F.col("o_orderkey").alias("k"), F.lit("e").alias("extra"))).alias("j"))
+    _save(other, root, "json", "append")
+    return reader(spark).option("namespace", root).load("json", as_of=AS_OF_SEC, json_bins="j").select("o_orderkey", "k", "extra", "price")
