@@ -14,6 +14,7 @@ Main entry points (all return lazy DataFrames unless noted):
     where, index_bins                               sources.skipping
     ReportInputs, segment_report, report_lines,
     run_daily_report                                operators.report
+    ReportChanges, update_counts, kept_report       operators.report_state
     write_stream_to_set                             streaming.sink
 """
 
@@ -21,6 +22,7 @@ from recordset.operators.bucketed_write import bucket_cut, write_bucketed
 from recordset.operators.keyed_write import WriteConflict, WriteSpec, classify, merge, write_set
 from recordset.operators.lookup import intersect_match, lookup_map, lookup_typed, lookup_wide
 from recordset.operators.report import ReportInputs, report_lines, run_daily_report, segment_report
+from recordset.operators.report_state import ReportChanges, kept_report, update_counts
 from recordset.sources.api import reader, writer
 from recordset.sources.ingest import ingest_delimited, read_lines
 from recordset.sources.layout import drop_old_versions, latest_version
@@ -30,8 +32,8 @@ from recordset.sources.store import as_set, live_records, scan_set, scan_view
 from recordset.streaming.sink import write_stream_to_set
 
 __all__ = [
-    "ReportInputs", "WriteConflict", "WriteSpec", "as_set", "bucket_cut", "classify", "drop_old_versions", "index_bins", "infer_bin_types",
-    "infer_schema", "ingest_delimited", "intersect_match", "latest_version", "live_records", "lookup_map", "lookup_typed",
+    "ReportChanges", "ReportInputs", "WriteConflict", "WriteSpec", "as_set", "bucket_cut", "classify", "drop_old_versions", "index_bins", "infer_bin_types",
+    "infer_schema", "ingest_delimited", "intersect_match", "kept_report", "latest_version", "live_records", "lookup_map", "lookup_typed",
     "lookup_wide", "merge", "read_lines", "reader", "report_lines", "run_daily_report", "scan_set", "scan_view",
-    "segment_report", "typed_bins", "where", "write_bucketed", "write_set", "write_stream_to_set", "writer",
+    "segment_report", "typed_bins", "update_counts", "where", "write_bucketed", "write_set", "write_stream_to_set", "writer",
 ]

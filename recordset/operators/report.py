@@ -99,14 +99,20 @@ def app_segments(app: DataFrame, td: DataFrame) -> DataFrame:
         )
     )
     a = app.select(F.col("_id.oid").alias("oid"), F.col("ct"))
+    return segments_of_counts(a, td_counts)
+
+
+def segments_of_counts(a: DataFrame, td_counts: DataFrame, rows: Column | None = None) -> DataFrame:
+    """(oid, ct, segment, mult) of app rows (oid, ct), each standing for ``rows`` rows, and td counts (__oid, __n_app, __n_game, __n_any)."""
     j = a.join(td_counts, a["oid"] == td_counts["__oid"], "left")
+    rows = F.lit(1) if rows is None else rows
     seg = F.explode(
         F.array(
-            F.struct(F.lit("app").alias("segment"), F.coalesce("__n_app", F.lit(0)).alias("mult")),
-            F.struct(F.lit("game").alias("segment"), F.coalesce("__n_game", F.lit(0)).alias("mult")),
+            F.struct(F.lit("app").alias("segment"), (rows * F.coalesce("__n_app", F.lit(0))).alias("mult")),
+            F.struct(F.lit("game").alias("segment"), (rows * F.coalesce("__n_game", F.lit(0))).alias("mult")),
             F.struct(
                 F.lit("none").alias("segment"),
-                F.when(F.col("__n_any").isNull(), F.lit(1)).otherwise(F.lit(0)).alias("mult"),
+                F.when(F.col("__n_any").isNull(), rows).otherwise(F.lit(0)).cast("bigint").alias("mult"),
             ),
         )
     ).alias("s")
@@ -140,11 +146,11 @@ def _device_facts(dv: DataFrame, facts: list[tuple[str, str, Column]], lo: int,
     )
 
 
-def _day_bucket(facts: DataFrame) -> DataFrame:
+def day_bucket(facts: DataFrame, *further: Column) -> DataFrame:
     """Day of each fact; drop the first and last millisecond of every day (FLT-16)."""
     day = (F.floor(F.col("t") / F.lit(DAY_MS)) * F.lit(DAY_MS)).cast("bigint")
     off = F.col("t") - day
-    return facts.select("oid", "metric", day.alias("day_ms"), off.alias("off")).where(
+    return facts.select("oid", "metric", day.alias("day_ms"), off.alias("off"), *further).where(
         (F.col("off") > 0) & (F.col("off") < DAY_LAST_MS)
     )
 
@@ -170,17 +176,6 @@ def segment_report(
     end = date_ms(as_of)  # exclusive upper bound: midnight of as_of
     lo, hi = end - days * DAY_MS, end
     segs = app_segments(inputs.app, inputs.td)
-    cols = [METRICS[m] for m in METRICS if m in metrics] + (["apps_total"] if with_total else [])
-    zero = F.lit(0).cast("bigint")
-
-    def wide(df: DataFrame, values: dict[str, Column], facts: Column) -> DataFrame:
-        return df.select(
-            F.col("day_ms").cast("bigint").alias("day_ms"),
-            "segment",
-            *[values.get(c, zero).cast("bigint").alias(c) for c in cols],
-            facts.cast("bigint").alias("__facts"),
-        )
-
     event_parts = []
     if "push" in metrics:
         event_parts.append(_window_facts(inputs.push, F.col("app.oid"), "ct", "push", lo, hi))
@@ -194,11 +189,41 @@ def segment_report(
     if dv_facts:
         event_parts.append(_device_facts(inputs.dv, dv_facts, lo, hi))
 
-    parts = []
+    per_app = None
     if event_parts:
-        facts = _day_bucket(reduce(DataFrame.unionByName, event_parts))
+        facts = day_bucket(reduce(DataFrame.unionByName, event_parts))
         # Pre-aggregate before the join: at most apps x days x metrics rows.
         per_app = facts.groupBy("oid", "day_ms", "metric").agg(F.count(F.lit(1)).alias("n"))
+    return report_of_counts(per_app, segs, end, days, metrics, spine, with_total)
+
+
+def report_of_counts(
+    per_app: DataFrame | None,
+    segs: DataFrame,
+    end: int,
+    days: int,
+    metrics: tuple[str, ...] = tuple(METRICS),
+    spine: bool = True,
+    with_total: bool = True,
+) -> DataFrame:
+    """The report of ``segment_report`` from counts (oid, day_ms, metric, n) of its days and app rows (oid, ct, segment, mult).
+
+    A count may come in several rows, which add up.
+    """
+    lo, hi = end - days * DAY_MS, end
+    cols = [METRICS[m] for m in METRICS if m in metrics] + (["apps_total"] if with_total else [])
+    zero = F.lit(0).cast("bigint")
+
+    def wide(df: DataFrame, values: dict[str, Column], facts: Column) -> DataFrame:
+        return df.select(
+            F.col("day_ms").cast("bigint").alias("day_ms"),
+            "segment",
+            *[values.get(c, zero).cast("bigint").alias(c) for c in cols],
+            facts.cast("bigint").alias("__facts"),
+        )
+
+    parts = []
+    if per_app is not None:
         # Joined with every app row of the segment as it is: summing n * mult
         # over app rows equals n * (sum of mult), so no extra aggregation of
         # the segment rows (and no extra shuffle) is needed.
@@ -226,9 +251,8 @@ def segment_report(
         a = a.where(in_day(F.col("ct"), F.col("day_ms")))
         parts.append(wide(a, {"apps_added": F.col("mult")}, F.col("mult")))
 
-    spark = inputs.app.sparkSession
     if spine:
-        parts.append(wide(day_segment_spine(spark, end, days), {}, zero))
+        parts.append(wide(day_segment_spine(segs.sparkSession, end, days), {}, zero))
 
     long = reduce(DataFrame.unionByName, parts)
     agg = long.groupBy("day_ms", "segment").agg(

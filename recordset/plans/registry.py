@@ -44,6 +44,7 @@ def load_all() -> dict[str, Query]:
         q_ingest,
         q_lookup,
         q_report,
+        q_report_state,
         q_roundtrip,
         q_scan,
         q_types,

@@ -134,10 +134,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def _names(spark: SparkSession, pattern: str) -> list[str]:
+def path_entries(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """(name, time of last change in ms) of what matches the pattern."""
     p, fs = _path(spark, pattern)
     found = fs.globStatus(p)
-    return [] if found is None else [s.getPath().getName() for s in found]
+    return [] if found is None else [(s.getPath().getName(), s.getModificationTime()) for s in found]
+
+
+def _names(spark: SparkSession, pattern: str) -> list[str]:
+    return [name for name, _ in path_entries(spark, pattern)]
 
 
 def _manifest_path(root: str, version: int) -> str:
@@ -150,22 +155,27 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(int(m.group(1)) for m in found if m)
 
 
-def read_manifest(spark: SparkSession, root: str, version: int) -> Manifest:
+def read_published(spark: SparkSession, root: str, version: int) -> str:
+    """The text that was published as this version."""
     p, fs = _path(spark, _manifest_path(root, version))
     stream = fs.open(p)
     try:
-        return Manifest.from_json(bytes(stream.readAllBytes()).decode())
+        return bytes(stream.readAllBytes()).decode()
     finally:
         stream.close()
 
 
+def read_manifest(spark: SparkSession, root: str, version: int) -> Manifest:
+    return Manifest.from_json(read_published(spark, root, version))
+
+
 def latest_version(spark: SparkSession, root: str) -> tuple[int, Manifest | None]:
     """(number, manifest) of the newest version; (0, None) when the set has none."""
     found = versions(spark, root)
     return (found[-1], read_manifest(spark, root, found[-1])) if found else (0, None)
 
 
-def publish(spark: SparkSession, root: str, manifest: Manifest) -> None:
+def publish(spark: SparkSession, root: str, manifest) -> None:
     """Create the manifest's file, whole and only if its name is free; raise PublishConflict otherwise.
 
     The text goes to a file of its own first. The step that names it is atomic and refuses an
