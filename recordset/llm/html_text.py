@@ -3,8 +3,12 @@
 A page is cut into blocks at block-level tags. The first pass decides a block
 from its length, its share of characters inside links and its share of stop
 words, or from the part of the page it stands in (menu, footer, advert and the
-like). Short blocks, and long ones of middling stop-word share, stay undecided; in the second pass they take
-the label of the nearest decided block, counting blocks of the same part of the page as nearer than any other.
+like). Stop words speak for the block they stand in only: a long block of sentences without any is of a language that the
+rules do not know, and length and links decide it. Short blocks, and long ones of middling stop-word share, stay undecided; in the second pass they take
+the label of the nearest decided block, counting blocks of the same part of the page as nearer than any other. Lists of
+links label short blocks only, never a long plain one or sentences in an unknown language.
+
+Time and memory are linear in the page, however deep its tags are nested and however many stay open.
 """
 
 from __future__ import annotations
@@ -49,7 +53,7 @@ LINK_SHARE = 0.4
 STOP_SHARE_LOW, STOP_SHARE_HIGH = 0.05, 0.15
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<(?P<raw>script|style|xmp|noembed)\b[^>]*>.*?(?:</(?P=raw)\s*[^>]*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<(?P<raw>script|style|xmp|noembed)\b[^>]*+(?:>|\Z).*?(?:</(?P=raw)[^>]*+(?:>|\Z)|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>(?:\"[^\"<]*+\"|'[^'<]*+'|[^\"'<>])*+)>|<[/!?a-zA-Z][^<>]*+(?:>|\Z)",
     re.S | re.I)
 NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -58,6 +62,8 @@ PART = re.compile(r"[a-z]+")
 # A class like no-sidebar or has-comments says what stands beside the content, not what the element is.
 BESIDE = frozenset("no non not has have with without hide show".split())
 FIRM_TAGS = frozenset("nav footer menu select button".split())
+SENTENCE_END = re.compile(r"[.!?\u2026](?=[\s\"'\u201d\u2019\u00bb)]|$)")
+SENTENCE_WORDS = (8, 60)  # least and most words to an end, for a block to be sentences
 # Letters of other scripts than Latin, whose languages share no stop words with those the rules know.
 OTHER_LETTER = re.compile(r"[^\W\d_a-zA-Z\u00aa-\u024f\u1e00-\u1eff]")
 
@@ -79,17 +85,20 @@ def _is_chrome(tag: str, attrs: str, in_article: bool) -> int:
 
 
 class Block:
-    __slots__ = ("text", "linked", "chrome", "part", "article", "inside")
+    __slots__ = ("text", "linked", "chrome", "part", "article", "box")
 
-    def __init__(self, text: str, linked: int, chrome: bool, part: int, article: bool, inside: tuple[int, ...]):
+    def __init__(self, text: str, linked: int, chrome: bool, part: int, article: bool, box: int):
         self.text, self.linked, self.chrome, self.part, self.article = text, linked, chrome, part, article
-        self.inside = inside  # the chrome containers around it; those that are chrome in any case have negative numbers
+        self.box = box  # the innermost chrome container around it, -1 without any
 
 
-def blocks(page: str) -> list[Block]:
+def blocks(page: str) -> tuple[list[Block], list[tuple[int, bool]]]:
+    """The blocks of a page, and its chrome containers in page order: the container around each, and whether it is chrome in any case."""
     out: list[Block] = []
+    boxes: list[tuple[int, bool]] = []
     stack: list[tuple[str, bool, bool]] = []  # open container, whether it is chrome, whether it is skipped
-    inside: list[int] = []
+    open_tags: dict[str, int] = {}  # how many of each name the stack holds
+    box = -1
     pieces: list[str] = []
     linked, in_link, part, parts, at = 0, 0, 0, 0, 0
     chrome = skipped = article = 0
@@ -98,7 +107,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            out.append(Block(text, min(linked, len(text)), chrome > 0, part, article > 0, tuple(inside)))
+            out.append(Block(text, min(linked, len(text)), chrome > 0, part, article > 0, box))
         pieces.clear()
         linked = 0
 
@@ -110,10 +119,11 @@ def blocks(page: str) -> list[Block]:
                 linked += len(" ".join(html.unescape(text).split()))
 
     def pop() -> None:
-        nonlocal chrome, skipped, article
+        nonlocal chrome, skipped, article, box
         tag, c, s = stack.pop()
+        open_tags[tag] -= 1
         if c:
-            inside.pop()
+            box = boxes[box][0]
         chrome, skipped, article = chrome - c, skipped - s, article - (tag in ARTICLE_TAGS)
 
     for m in TOKEN.finditer(page):
@@ -137,13 +147,13 @@ def blocks(page: str) -> list[Block]:
             continue
         is_chrome = not m["close"] and _is_chrome(tag, attrs, article > 0)
         container = tag in BLOCK_TAGS or tag in SKIPPED_TAGS or is_chrome
-        if not container and not (m["close"] and any(t == tag for t, _, _ in stack)):
+        if not container and not (m["close"] and open_tags.get(tag)):
             continue
         if tag in BLOCK_TAGS or is_chrome or tag in SKIPPED_TAGS:
             flush()
             in_link = 0 if tag != "li" else in_link
         if m["close"]:
-            if any(t == tag for t, _, _ in stack):
+            if open_tags.get(tag):
                 flush()
                 changed = False
                 while stack:
@@ -163,8 +173,10 @@ def blocks(page: str) -> list[Block]:
                 pop()  # these end their own kind
             skip = tag in SKIPPED_TAGS
             stack.append((tag, is_chrome > 0, skip))
+            open_tags[tag] = open_tags.get(tag, 0) + 1
             if is_chrome:
-                inside.append((1 if is_chrome == 1 else -1) * (parts + 1))
+                boxes.append((box, is_chrome == 2))
+                box = len(boxes) - 1
             chrome, skipped, article = chrome + (is_chrome > 0), skipped + skip, article + (tag in ARTICLE_TAGS)
             if is_chrome or tag in ARTICLE_TAGS:
                 parts += 1
@@ -172,7 +184,26 @@ def blocks(page: str) -> list[Block]:
     if at < len(page):
         add(page[at:])
     flush()
-    return out
+    return out, boxes
+
+
+def _plain(b: Block, length: int) -> bool:
+    return len(b.text) >= length and b.linked <= LINK_SHARE * len(b.text)
+
+
+def _stop_share(words: list[str]) -> float:
+    return sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+
+
+def _other_script(text: str) -> bool:
+    return 2 * len(OTHER_LETTER.findall(text)) > sum(map(str.isalpha, text))
+
+
+def _foreign(text: str) -> bool:
+    """Sentences, by their length, with hardly a stop word that the rules know."""
+    words = re.findall(r"\w+", text.lower())
+    ends = len(SENTENCE_END.findall(text))
+    return ends > 0 and SENTENCE_WORDS[0] * ends <= len(words) <= SENTENCE_WORDS[1] * ends and _stop_share(words) < STOP_SHARE_LOW
 
 
 def decide(b: Block) -> bool | None:
@@ -181,67 +212,71 @@ def decide(b: Block) -> bool | None:
         return False
     if len(b.text) < MIN_LENGTH:
         return None
-    words = re.findall(r"\w+", b.text.lower())
-    share = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+    share = _stop_share(re.findall(r"\w+", b.text.lower()))
     if share >= STOP_SHARE_HIGH or (len(b.text) >= LONG and share >= STOP_SHARE_LOW):
         return True
     return None
 
 
-def _plain(b: Block, length: int) -> bool:
-    return len(b.text) >= length and b.linked <= LINK_SHARE * len(b.text)
-
-
-def lift(found: list[Block]) -> None:
+def lift(found: list[Block], boxes: list[tuple[int, bool]]) -> None:
     """Where no long text stands outside the chrome, a container with most of the page's long text is no chrome."""
     if not any(b.chrome for b in found) or any(not b.chrome and _plain(b, LONG) for b in found):
         return
-    held: dict[int, int] = {}
+    held = [0] * len(boxes)
     total = 0
     for b in found:
         if _plain(b, LONG):
             total += len(b.text)
-            for c in b.inside:
-                held[c] = held.get(c, 0) + len(b.text)
-    lifted = {c for c, n in held.items() if c > 0 and 2 * n > total}
+            if b.box >= 0:
+                held[b.box] += len(b.text)
+    for i in range(len(boxes) - 1, -1, -1):  # a container comes after the one around it
+        if boxes[i][0] >= 0:
+            held[boxes[i][0]] += held[i]
+    chrome: list[bool] = []
+    for (around, firm), n in zip(boxes, held):
+        chrome.append(firm or 2 * n <= total or (around >= 0 and chrome[around]))
     for b in found:
-        b.chrome = any(c not in lifted for c in b.inside)
-
+        b.chrome = b.box >= 0 and chrome[b.box]
 
-def _other_script(text: str) -> bool:
-    return 2 * len(OTHER_LETTER.findall(text)) > sum(map(str.isalpha, text))
 
+def _nearest(found: list[Block], first: list[bool | None], no_links: bool) -> list[list[tuple[int, int, bool]]]:
+    """For every undecided block (in another part, distance, label is False) of the nearest decided one on either side.
 
-def main_text(page: str | None) -> str:
-    found = blocks(page or "")
-    lift(found)
-    first = [decide(b) for b in found]
-    # Stop words say nothing of a language they are not of: then length and links decide.
-    known = True in first
-    for i, b in enumerate(found):
-        if first[i] is None and ((not known and _plain(b, LONG)) or (_plain(b, MIN_LENGTH) and _other_script(b.text))):
-            first[i] = True
-    # The nearest decided block on either side, for every block in two sweeps; blocks of the same part count first.
-    n = len(found)
-    near: list[list[tuple[int, int, bool]]] = [[] for _ in range(n)]
-    for order in (range(n), range(n - 1, -1, -1)):
+    Blocks of the same part count first. With ``no_links`` lists of links count as undecided.
+    """
+    near: list[list[tuple[int, int, bool]]] = [[] for _ in found]
+    for order in (range(len(found)), range(len(found) - 1, -1, -1)):
         last: int | None = None
         in_part: dict[int, int] = {}
         for i in order:
+            b = found[i]
             if first[i] is not None:
-                last = i
-                in_part[found[i].part] = i
-                continue
-            if found[i].part in in_part:
-                j = in_part[found[i].part]
+                if first[i] or b.chrome or not no_links:
+                    last = in_part[b.part] = i
+            elif b.part in in_part:
+                j = in_part[b.part]
                 near[i].append((0, abs(i - j), not first[j]))
             elif last is not None:
                 near[i].append((1, abs(i - last), not first[last]))
+    return near
+
+
+def main_text(page: str | None) -> str:
+    found, boxes = blocks(page or "")
+    lift(found, boxes)
+    first = [decide(b) for b in found]
+    # Stop words say nothing of a language they are not of: then length and links decide, for the block or, without any known text, the page.
+    known = True in first
+    for i, b in enumerate(found):
+        if first[i] is None and _plain(b, MIN_LENGTH):
+            if (not known and len(b.text) >= LONG) or _other_script(b.text) or _foreign(b.text):
+                first[i] = True
+    near = [_nearest(found, first, False), _nearest(found, first, True)]
     kept = []
     for i, b in enumerate(found):
         label = first[i]
         if label is None:
-            choice = min(near[i], default=None)
+            choice = min(near[_plain(b, LONG)][i], default=None)
             if choice is None or (choice[0] == 1 and b.article):
                 label = True  # nothing in this article, or on this page, speaks against it
             else:
@@ -255,7 +290,8 @@ def extract_main_text(pages: DataFrame, column: str = "html") -> DataFrame:
     """``pages`` with ``text`` and ``n_chars`` in place of the markup column.
 
     Whole pages are parsed; a null or empty page, and one without article text, has the empty text. Unclosed and
-    crossed tags, broken attributes and cut-off pages are read as far as they go. Repeated rows are treated alike.
+    crossed tags, broken attributes and cut-off pages are read as far as they go. Repeated rows are treated alike, an empty table
+    gives an empty one, and a column named like a new one is replaced by it.
     """
     def make():
         def extract(col: pa.Array) -> list:

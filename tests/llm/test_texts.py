@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -166,6 +167,43 @@ def test_main_text_of_other_languages(text):
     assert html_text.main_text(f"{menu}<div><p>{text}</p></div><footer>foot</footer>") == text
 
 
+POLISH = ("Rada miasta podjęła wczoraj wieczorem decyzję o budowie nowego mostu przez rzekę, który połączy oba brzegi. "
+          "Prace rozpoczną się wiosną przyszłego roku i potrwają prawdopodobnie trzy lata, powiedział burmistrz podczas konferencji prasowej.")
+LINKS = "<ul><li><a href=1>Wiadomości z kraju</a><li><a href=2>Sport i pogoda</a></ul>"
+FOOT = "<p>This is the site of the city and it is not for sale, and all that you read in it was written by us.</p>"
+
+
+def test_main_text_judges_the_language_block_by_block():
+    # One sentence of a known language says nothing of the other blocks, and lists of links do not decide a long plain one.
+    assert POLISH in html_text.main_text(f"<div>{LINKS}<p>{POLISH}</p>{LINKS}</div>{FOOT}").split("\n\n")
+    short = POLISH.split(". ")[0] + "."
+    got = html_text.main_text(f"<nav>{LINKS}</nav>{LINKS}<p>{short}</p><p>{POLISH}</p>{LINKS}{FOOT}").split("\n\n")
+    assert got[:2] == [short, POLISH]
+    assert LINKS not in got and not any("Sport" in t for t in got)
+    listing = "alpha beta gamma delta " * 12  # long and plain, no sentences: what is not a list of links decides
+    assert listing.strip() in html_text.main_text(f"{LINKS}<p>{LONG}</p>{LINKS}<div>{listing}</div>{LINKS}").split("\n\n")
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='nav'>x<p>y" * 50_000, "<b>" * 40_000 + "</i>" * 300_000, "<div class=menu>" * 60_000 + "</section>" * 60_000, "<script" * 200_000,
+    "<script>a</script" * 90_000, "<!-- <p>" * 180_000, "<p title='" * 150_000, "<a href=1>x<li>" * 90_000, "&amp;" * 300_000, "<" * 1_500_000])
+def test_pages_of_open_tags_take_linear_time(page):
+    def seconds(text):
+        start = time.process_time()
+        html_text.main_text(text)
+        return time.process_time() - start
+
+    assert len(page) > 600_000
+    eighth = min(seconds(page[: len(page) // 8]) for _ in range(2))
+    assert seconds(page) < 24 * eighth + 0.5  # 8 in proportion, 64 if it went with the square
+
+
+def test_lifted_containers_of_deep_pages():
+    page = "<div class=widget>" * 3000 + f"<p>{LONG}</p>" + "</div>" * 3000
+    assert html_text.main_text(page) == LONG.strip()
+    assert html_text.main_text(f"<nav>{page}</nav>") == ""
+
+
 @pytest.mark.parametrize("part", ["div class='content no-sidebar'", "div class='post has-comments'", "div class='with-ads'", "form id='aspnetForm'", "div class='sidebar-layout'"])
 def test_main_text_inside_of_what_is_named_like_chrome(part):
     page = f"<{part}><nav><a href=x>Menu</a></nav><p>{LONG}</p><div class=comments><p>{LONG}</p></div></{part.split()[0]}>"
