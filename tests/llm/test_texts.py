@@ -64,6 +64,33 @@ def test_decontamination_matches_brute_force(spark, docs, benchmark_case):
         assert all(re.fullmatch(ALNUM, r.text[i].translate(LOWER)) for s in r.hit_spans for i in (s.start, s.end - 1))
 
 
+def test_windows_automaton_reads_words():
+    rng = random.Random(3)
+    items = [(str(i % 70), prose(rng, rng.randrange(1, 60), 3000)) for i in range(80)]
+    windows = decontaminate.Windows(items, 10)
+    words = [alnum_words(t) for _, t in items]
+    assert windows.automaton.get_stats()["nodes_count"] <= 1 + 20 * sum(max(len(w) - 9, 1) for w in words)
+    assert max(map(ord, "".join(windows.code.values()))) <= 2 * (math.isqrt(len(windows.code)) + 1)
+    for _ in range(60):
+        piece = alnum_words(rng.choice(items)[1])
+        a = rng.randrange(len(piece))
+        text = " ".join([prose(rng, 7, 9000), *piece[a:a + rng.randrange(30)], prose(rng, 7, 3000)])
+        hits, ids = windows.find(decontaminate.normal_words(text.encode()))
+        assert (len({j for x, y in hits for j in range(x, y)}), sorted(ids)) == brute_hits(text, items)[1:]
+    assert decontaminate.Windows([("1", "")], 10).find([b"x"]) == ([], set())
+
+
+def test_decontamination_in_parts_by_states_and_odd_columns(spark, docs, benchmark_case):
+    items, texts = benchmark_case
+    ensure_checkpoint_dir(spark)
+    frame = docs(texts).selectExpr("doc_id", "text", "1 AS _item_ids", "2 AS `a.b`", "3 AS N_Hit", "4 AS _word_spans")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontaminate.decontaminate(frame, bench, automaton_states=1000)
+    assert got.columns[:4] == ["doc_id", "text", "_item_ids", "a.b"] and "N_Hit" not in got.columns
+    rows = sorted(got.collect(), key=lambda r: r.doc_id)
+    assert [(r.n_words, r.n_hit, sorted(r.item_ids)) for r in rows] == [brute_hits(t, items) for t in texts]
+
+
 def test_decontamination_of_nothing(spark, docs):
     bench = spark.createDataFrame([(1, "a b")], "item_id bigint, text string")
     assert decontaminate.decontaminate(docs([]), bench).collect() == []
