@@ -246,10 +246,12 @@ def write_id(version: int) -> str:
 
 def write_segments(spark: SparkSession, root: str, records: DataFrame, buckets: int, write: str, indexed: dict[str, str] | None = None,
                    summaries: dict[str, str] | None = None) -> dict[int, Segment]:
-    """Write records into the folder of ``write``, one task and so one file a bucket, index the ``indexed`` bins and sum up the types in the JSON bins of ``summaries``; the segments made."""
+    """Write records into the folder of ``write``, one file a bucket or, of a bucket too large for one task, several; index the ``indexed`` bins and sum up the types in the JSON bins of ``summaries``; the segments made."""
     folder = f"{root.rstrip('/')}/data/w={write}"
     keyed = records.withColumn(BUCKET, bucket_of(F.col("__digest"), buckets))
-    keyed.repartition(BUCKET).write.partitionBy(BUCKET).parquet(folder)
+    # A task sorts its records by bucket. Of many records for few buckets (a first write larger than its estimate, a set that is yet to be split)
+    # the rebalance deals those of one bucket to several tasks by their measured size, so that no task holds more at any size of the write.
+    keyed.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(folder)
     sizes: dict[int, int] = {}
     p, fs = _path(spark, folder)
     files = fs.listFiles(p, True)

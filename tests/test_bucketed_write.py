@@ -66,6 +66,32 @@ def test_load_writes_few_files(spark, tmp_out):
     assert layout.choose_buckets(numbers(spark, 20_000)) == 1
 
 
+def test_large_bucket_is_written_by_several_tasks(spark, tmp_out):
+    root, size = f"{tmp_out}/one", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "256KB")
+    try:
+        write_bucketed(spark, numbers(spark, 200_000), root, spec("one"), buckets=1)
+        _, first = layout.latest_version(spark, root)
+        write_bucketed(spark, numbers(spark, 200_000).withColumn("v", F.lit(1)), root, spec("one"))  # a fold into the base
+        _, second = layout.latest_version(spark, root)
+    finally:
+        spark.conf.set(size, before)
+    for m in (first, second):
+        assert m.rows == 200_000 and list(m.folders) == [0]
+        assert len(files(root, m)[0]) > 2  # no task had all of the bucket
+        assert m.bytes == sum(os.path.getsize(f"{root}/data/w={m.folders[0]}/__bucket=0/{f}") for f in files(root, m)[0])
+    assert scan_set(spark, root, as_of=AS_OF).where("v = 1 AND __generation = 2").select("k").distinct().count() == 200_000
+
+
+def test_lookup_groups_are_dealt_to_all_tasks(spark):
+    """Groups of a key each are not gathered into one task by their few bytes."""
+    from recordset.plans.q_roundtrip import lookup_mixed_key_types_q
+
+    plan = lookup_mixed_key_types_q(spark, "/root/testdata/sf0.001")
+    assert "hashpartitioning(k" in (text := plan._jdf.queryExecution().executedPlan().toString()) and "REPARTITION_BY_NUM" in text
+
+
 def test_new_bin_stays(spark, tmp_out):
     root = f"{tmp_out}/extra"
     write_bucketed(spark, numbers(spark, 200), root, spec("extra"), buckets=8)
