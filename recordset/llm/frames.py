@@ -43,12 +43,14 @@ def crc_fold(key: str, n: int) -> Column:
     return (F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % n).cast("int")
 
 
-def map_text(df: DataFrame, text: str, make: Callable[[], Callable[..., list]], fields: list[T.StructField], also: tuple[str, ...] = ()) -> DataFrame:
+def map_text(df: DataFrame, text: str, make: Callable[[], Callable[..., list]], fields: list[T.StructField], also: tuple[str, ...] = (),
+             rows: int | None = None) -> DataFrame:
     """Append columns computed from whole texts, in Arrow batches.
 
     ``make()`` runs once per task and returns a function from a text column
     (nulls included), and those named in ``also``, to the new columns, one value per row. A column of ``df`` with the name of a new
-    column is replaced. No row is added, dropped or moved, and nothing is shuffled.
+    column is replaced. No row is added, dropped or moved, and nothing is shuffled. With ``rows`` the function gets, and the task hands on,
+    so many rows at a time, for new columns as large as the texts.
     """
     new = {f.name.lower() for f in fields}
     kept = [c for c in df.columns if c.lower() not in new]
@@ -60,9 +62,7 @@ def map_text(df: DataFrame, text: str, make: Callable[[], Callable[..., list]],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = None
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in (b.slice(k, rows) for b in batches for k in range(0, b.num_rows, rows or max(b.num_rows, 1))):
             fn = fn or make()
             cols = [pa.array(v, t) if not isinstance(v, pa.Array) else v for v, t in zip(fn(b.column(i), *(b.column(j) for j in more)), types, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(j) for j in at] + cols, names=plain)

@@ -38,6 +38,9 @@ WIDTH = LENGTH + LEFT  # bytes of a sorted entry, without the two that count the
 # Anchors and entries a task gathers before it hands them on.
 FLUSH_ANCHORS = 1_000_000
 FLUSH_ENTRIES = 150_000
+# Entries compared at a time, and rows whose texts are cut at a time: both bound what a task holds besides its input.
+COMPARED = 8_192
+CUT_ROWS = 500
 # Buckets a shuffle partition: smaller ones are easier to balance.
 BUCKETS_PER_PARTITION = 4
 
@@ -80,6 +83,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def hand_on() -> Iterator[pa.RecordBatch]:
         h, row, pos = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        parts.clear()
         keys, first, inverse, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
         once = first[count == 1]
         n = len(once)
@@ -107,7 +111,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size += len(place)
             if size >= FLUSH_ANCHORS:
                 yield from hand_on()
-                parts, size = [], 0
+                size = 0
     if parts:
         yield from hand_on()
 
@@ -129,8 +133,11 @@ def entries(buf: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def common_prefix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    differ = a != b
-    return np.where(differ.any(axis=1), differ.argmax(axis=1), a.shape[1])
+    out = np.empty(len(a), np.int64)
+    for i in range(0, len(a), COMPARED):
+        differ = a[i:i + COMPARED] != b[i:i + COMPARED]
+        out[i:i + COMPARED] = np.where(differ.any(axis=1), differ.argmax(axis=1), a.shape[1])
+    return out
 
 
 def covered(own: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,7 +172,8 @@ def cover_batch(rows: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Reco
 def run_batch(own: np.ndarray, doc: np.ndarray, row: np.ndarray, pos: np.ndarray, n_buckets: int) -> Iterator[pa.RecordBatch]:
     """Sort entries, settle those equal to an earlier one of this task, and front-code the others by bucket."""
     order = np.lexsort((pos, row, doc))
-    order = order[np.argsort(np.ascontiguousarray(own[order]).view(f"S{WIDTH + 2}").ravel(), kind="stable")]
+    own, doc, row, pos = own[order], doc[order], row[order], pos[order]
+    order = np.argsort(own.view(f"S{WIDTH + 2}").ravel(), kind="stable")
     own, doc, row, pos = own[order], doc[order], row[order], pos[order]
     same = np.append(False, common_prefix(own[1:], own[:-1]) == WIDTH + 2) if len(own) else np.zeros(0, bool)
     again, start, end = covered(own[same], pos[same])
@@ -179,9 +187,8 @@ def run_batch(own: np.ndarray, doc: np.ndarray, row: np.ndarray, pos: np.ndarray
     cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(own) else np.zeros(0, np.int64)
     lcp[cut] = 0
     out: list[list] = [[] for _ in RUN_SCHEMA.names]
-    tail = np.arange(WIDTH + 2) >= lcp[:, None]
     for a, b in zip(cut, np.append(cut[1:], len(own))):
-        tails = own[a:b][tail[a:b]]
+        tails = own[a:b][np.arange(WIDTH + 2) >= lcp[a:b, None]]
         packed = len(tails).to_bytes(8, "little") + pa.compress(tails.tobytes(), codec="zstd", asbytes=True)
         values = (int(bucket[a]), lcp[a:b].astype(np.uint8).tobytes(), packed, doc[a:b].tobytes(), row[a:b].tobytes(), pos[a:b].astype(np.int32).tobytes())
         for o, v in zip(out, values):
@@ -198,7 +205,9 @@ def _runs(n_buckets: int, columns: list[str]):
         size = 0
 
         def hand_on() -> Iterator[pa.RecordBatch]:
-            return run_batch(*(np.concatenate([p[i] for p in parts]) for i in range(4)), n_buckets)
+            columns = [np.concatenate([p[i] for p in parts]) for i in (3, 2, 1, 0)]
+            parts.clear()
+            return run_batch(columns.pop(), columns.pop(), columns.pop(), columns.pop(), n_buckets)
 
         for b in batches:
             buf, offsets = column_bytes(b.column(at_text))
@@ -212,7 +221,7 @@ def _runs(n_buckets: int, columns: list[str]):
                     size += len(own)
                     if size >= FLUSH_ENTRIES:
                         yield from hand_on()
-                        parts, size = [], 0
+                        size = 0
         if parts:
             yield from hand_on()
 
@@ -345,7 +354,8 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     bucket, group = None, []
     for b in batches:
-        for one, *rest in zip(*(b.column(i).to_pylist() for i in range(6))):
+        for k, one in enumerate(b.column(0).to_pylist()):
+            rest = [b.column(i)[k].as_py() for i in range(1, 6)]
             if one < 0:
                 yield out(np.frombuffer(rest[3], np.int64), np.frombuffer(rest[2], np.int32), np.frombuffer(rest[4], np.int32))
                 continue
@@ -419,6 +429,6 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
 
     long = T.LongType()
     fields = [T.StructField(n, long) for n in new[:3]] + [T.StructField("kept_sha256", T.StringType()), T.StructField("_left", T.StringType())]
-    out = map_text(joined, "_text", make, fields, ("_spans",)).drop("_row", "_doc", "_spans", "_text")
+    out = map_text(joined, "_text", make, fields, ("_spans",), rows=CUT_ROWS).drop("_row", "_doc", "_spans", "_text")
     names = [columns[i] for i in kept] + list(new)
     return out.toDF(*names, text) if keep_text else out.drop("_left").toDF(*names)

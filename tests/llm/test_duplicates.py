@@ -3,8 +3,10 @@
 import hashlib
 import heapq
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -247,3 +249,31 @@ def test_mixing_of_odd_rows(docs):
     assert mixing.mix_sources(frame.limit(0)).collect() == []
     again = {(r.doc_id, r.source, r.slot, r.place) for r in mixing.mix_sources(docs(["x"] * 50, sources=["a", "b"] * 25), block_rows=4).collect()}
     assert again == {(r.doc_id, r.source, r.slot, r.place) for r in mixing.mix_sources(docs(["x"] * 50, sources=["a", "b"] * 25).repartition(3), block_rows=4).collect()}
+
+
+def test_merge_holds_one_run_at_a_time():
+    """A batch may hold the runs of a whole partition; the task takes them out of it one by one."""
+    n, each = 60, 20_000
+    i32 = np.arange(each, dtype=np.int32)
+    columns = [[-1] * n, [None] * n, [None] * n, [i32.tobytes()] * n, [np.arange(each).tobytes()] * n, [(i32 + 1).tobytes()] * n]
+    batch = pa.record_batch([pa.array(v, f.type) for v, f in zip(columns, suffix_dedup.RUN_SCHEMA)], schema=suffix_dedup.RUN_SCHEMA)
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in suffix_dedup._merge(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == n * each and peak < batch.nbytes / 4
+
+
+def test_map_text_hands_on_few_rows_at_a_time(spark):
+    from pyspark.sql import types as T
+
+    from recordset.llm.frames import map_text
+
+    docs = spark.range(0, 1000, 1, 1).selectExpr("id", "CASE WHEN id % 7 = 0 THEN NULL ELSE concat('t', id) END AS text")
+    fields = [T.StructField("n", T.LongType()), T.StructField("own", T.StringType())]
+    got = map_text(docs, "text", lambda: lambda col: [[len(col)] * len(col), col], fields, rows=64).collect()
+    assert [r["id"] for r in got] == list(range(1000)) and all(r["own"] == r["text"] for r in got)
+    assert max(r["n"] for r in got) == 64
+    assert map_text(docs.where("id < 0"), "text", lambda: lambda col: [[len(col)] * len(col), col], fields).count() == 0
